@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import date_text, int_to_yesno
-from obsledger.operators.stats import scalar_row
 from obsledger.roles import Roles
 
 # Fixed value: share of the largest variance added to every variance.
@@ -22,30 +22,28 @@ def fit_bayes(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.avg(f) for f in features]).alias("mean"),
         F.array(*[F.var_pop(f) for f in features]).alias("raw_var"))
-    # population variance of all rows from the class moments
-    n = F.sum("n")
+    # population variance of all rows from the class moments; one row per class
+    every = W.partitionBy()
+    n = F.sum("n").over(every)
     spreads = []
     for i in range(len(features)):
         m, v = F.col("mean")[i], F.col("raw_var")[i]
-        centre = F.sum(F.col("n") * m) / n
-        spreads.append(F.sum(F.col("n") * (v + m * m)) / n - centre * centre)
-    whole = scalar_row(groups.agg(n.alias("n"), F.array_max(F.array(*spreads)).alias("spread")))
-    smooth = whole["spread"] * VAR_SMOOTHING
-    return groups.select(
-        "class", "n", (F.col("n") / whole["n"]).alias("share"), "mean",
-        F.array(*[F.col("raw_var")[i] + smooth for i in range(len(features))]).alias("var"),
+        centre = F.sum(F.col("n") * m).over(every) / n
+        spreads.append(F.sum(F.col("n") * (v + m * m)).over(every) / n - centre * centre)
+    smooth = F.array_max(F.array(*spreads)) * VAR_SMOOTHING
+    return groups.withColumns({"all": n, "smooth": smooth}).select(
+        "class", "n", (F.col("n") / F.col("all")).alias("share"), "mean",
+        F.transform("raw_var", lambda v: v + F.col("smooth")).alias("var"),
         F.array(*[F.lit(f) for f in features]).alias("features"))
 
 
-def _likelihood(params: Column, cls: int, features: Sequence[str]) -> Column:
-    """Log prior plus log density of one class; its constant part is taken from the parameter row."""
-    p = F.get(params, F.lit(cls))
-    spread = None
+def _likelihood(fitted, features: Sequence[str]) -> Column:
+    """Log prior plus log density of one class, with the fitted numbers as constants."""
+    total = F.lit(fitted["constant"])
     for i, f in enumerate(features):
-        gap = F.col(f) - p["mean"][i]
-        term = gap * gap / p["var"][i]
-        spread = term if spread is None else spread + term
-    return p["constant"] - spread * 0.5
+        gap = F.col(f) - fitted["mean"][i]
+        total = total - gap * gap / (2 * fitted["var"][i])
+    return total
 
 
 def predict_bayes(df: DataFrame, params: DataFrame, features: Sequence[str],
@@ -53,13 +51,11 @@ def predict_bayes(df: DataFrame, params: DataFrame, features: Sequence[str],
     """Add the predicted class and P(class 1). A tie goes to class 0."""
     log_terms = sum((F.log(2 * F.pi() * F.col("var")[i]) for i in range(len(features))), F.lit(0.0))
     ready = params.select("class", "mean", "var", (F.log("share") - log_terms * 0.5).alias("constant"))
-    packed = ready.agg(F.array(*[
-        F.max(F.when(F.col("class") == c, F.struct("mean", "var", "constant"))) for c in (0, 1)
-    ]).alias("p")).scalar()
-    l0, l1 = _likelihood(packed, 0, features), _likelihood(packed, 1, features)
-    # a class that was never seen has no likelihood
-    prob = F.when(F.get(packed, F.lit(1)).isNull(), 0.0).when(F.get(packed, F.lit(0)).isNull(), 1.0)
-    prob = prob.otherwise(1 / (1 + F.exp(l0 - l1)))
+    fitted = {r["class"]: r for r in ready.collect()}  # one row per class
+    if len(fitted) == 2:
+        prob = 1 / (1 + F.exp(_likelihood(fitted[0], features) - _likelihood(fitted[1], features)))
+    else:  # only one class was ever seen
+        prob = F.lit(float(next(iter(fitted))))
     return df.withColumn(prob_out, prob).withColumn(label_out, (F.col(prob_out) > 0.5).cast("int"))
 
 

@@ -37,33 +37,46 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, restarts: int = 1
             float(best.summary.trainingCost))
 
 
+# Above this many terms distances are written over arrays instead of one long expression.
+LONG_EXPRESSION = 128
+
+
+def _nearest(df: DataFrame, centres: list, square, out: str, distance: str) -> DataFrame:
+    """Add the id and squared distance of the closest of ``centres`` [(id, numbers)]; ties go to the smaller id."""
+    options = [F.struct(square(c).alias("d"), F.lit(i).alias("c")) for i, c in sorted(centres)]
+    best = F.least(*options) if len(options) > 1 else options[0]
+    return (df.withColumn("_best", best)
+              .select(*df.columns, F.col("_best.c").alias(out), F.col("_best.d").alias(distance)))
+
+
+def _array_square(x):
+    def square(centre):
+        gaps = F.zip_with(x, F.array(*map(F.lit, centre)), lambda a, b: (a - b) * (a - b))
+        return F.aggregate(gaps, F.lit(0.0), lambda s, v: s + v)
+    return square
+
+
 def assign(df: DataFrame, centroids: DataFrame, cols: Sequence[str], out: str = "cluster",
            distance: str = "distance2") -> DataFrame:
-    """Nearest centroid and squared distance to it; a tie goes to the smaller id.
+    """Nearest centroid and squared distance to it.
 
     The centroids (k x columns numbers) become constants of one projection.
     """
-    options = []
-    for r in centroids.orderBy("cluster").collect():
-        d = sum(((F.col(c) - F.lit(float(r[c]))) * (F.col(c) - F.lit(float(r[c]))) for c in cols), F.lit(0.0))
-        options.append(F.struct(d.alias("d"), F.lit(r["cluster"]).alias("c")))
-    best = F.least(*options) if len(options) > 1 else options[0]
-    return (df.withColumn("_best", best)
-              .select(*df.columns, F.col("_best.c").alias(out), F.col("_best.d").alias(distance)))
+    centres = [(r["cluster"], [float(r[c]) for c in cols]) for r in centroids.collect()]
+    if len(centres) * len(cols) > LONG_EXPRESSION:
+        return _nearest(df, centres, _array_square(F.array(*[F.col(c).cast("double") for c in cols])), out, distance)
+
+    def square(centre):
+        return sum(((F.col(c) - v) * (F.col(c) - v) for c, v in zip(cols, centre)), F.lit(0.0))
+
+    return _nearest(df, centres, square, out, distance)
 
 
 def assign_vectors(df: DataFrame, centroids: DataFrame, vector: str, out: str = "cluster",
                    distance: str = "distance2") -> DataFrame:
     """As ``assign`` for an array column; ``centroids`` has (cluster, centre array)."""
-    options = []
-    for r in centroids.orderBy("cluster").collect():
-        centre = F.array(*[F.lit(float(v)) for v in r["centre"]])
-        gaps = F.zip_with(F.col(vector), centre, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
-        d = F.aggregate(gaps, F.lit(0.0), lambda s, v: s + v)
-        options.append(F.struct(d.alias("d"), F.lit(r["cluster"]).alias("c")))
-    best = F.least(*options) if len(options) > 1 else options[0]
-    return (df.withColumn("_best", best)
-              .select(*df.columns, F.col("_best.c").alias(out), F.col("_best.d").alias(distance)))
+    centres = [(r["cluster"], [float(v) for v in r["centre"]]) for r in centroids.collect()]
+    return _nearest(df, centres, _array_square(F.col(vector).cast("array<double>")), out, distance)
 
 
 def inertia(assigned: DataFrame, distance: str = "distance2") -> DataFrame:

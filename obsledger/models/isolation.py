@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from obsledger.operators.stats import quantiles, scalar_row
+from obsledger.operators.stats import fitted_row, quantiles, scalar_row
 
 FOREST_SCHEMA = "tree int, node int, feature int, split double, left int, right int, size int, depth int, sample int"
 
@@ -114,6 +114,6 @@ def score_rows(df: DataFrame, forest: DataFrame, cols: Sequence[str], out: str =
 def detect(df: DataFrame, forest: DataFrame, cols: Sequence[str], contamination: float = 0.05) -> DataFrame:
     """Add ``anomaly_score`` (negative = anomalous) and ``is_anomaly`` for about the share ``contamination``."""
     scored = score_rows(df, forest, cols)
-    cut = scalar_row(quantiles(scored, ["raw_score"], [contamination]))["raw_score"][0]
+    cut = fitted_row(quantiles(scored, ["raw_score"], [contamination]))["raw_score"][0]
     return (scored.withColumn("anomaly_score", F.col("raw_score") - cut).drop("raw_score")
                   .withColumn("is_anomaly", (F.col("anomaly_score") < 0).cast("int")))

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from obsledger.models.scale import fit_scaler, scale, scaler_values
 
+ROWS_PER_TASK = 50_000
+# Smoothing of the loss corner in target standard deviations, coarse to fine.
+SMOOTHING = (2.0, 0.8, 0.3, 0.1, 0.03)
 WEIGHT_SCHEMA = "target string, kind string, feature string, weight double, mean double, std double"
 
 
@@ -34,12 +37,31 @@ def _loss(margin: np.ndarray, y: np.ndarray, kind: str, eps: float, mu: float):
         over, direction = 1.0 - sign * margin, -sign
     else:
         r = margin - y
-        over, direction = np.abs(r) - eps, np.sign(r)
+        over, direction = np.abs(r) - eps, np.sign(np.nan_to_num(r))
     over = np.where(np.isnan(y), -1.0, over)
     bend = (over > 0) & (over < mu)
     value = np.where(over <= 0, 0.0, np.where(bend, over * over / (2 * mu), over - mu / 2))
     slope = np.where(over <= 0, 0.0, np.where(bend, over / mu, 1.0)) * direction
-    return value, slope
+    return value, slope, bend
+
+
+def sum_batches(rows: DataFrame, per_batch, width: int) -> np.ndarray:
+    """Sum a vector of ``width`` numbers over all Arrow batches of all tasks.
+
+    Every task adds its batches up first; the vectors of the tasks are summed
+    by a grouped aggregate, so the driver receives ``width`` numbers.
+    """
+    def task(batches):
+        total = np.zeros(width)
+        for b in batches:
+            if b.num_rows:
+                total += per_batch(b)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width), pa.int32()), pa.array(total)], names=["i", "v"])
+
+    out = np.zeros(width)
+    for r in rows.mapInArrow(task, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+        out[r["i"]] = r["v"]
+    return out
 
 
 class _Objective:
@@ -48,22 +70,6 @@ class _Objective:
     def __init__(self, rows: DataFrame, p: int, t: int, kind: str, C: float, eps: float):
         self.rows, self.p, self.t, self.kind, self.C, self.eps = rows, p, t, kind, C, eps
 
-    def _sum(self, per_batch, width: int) -> np.ndarray:
-        """Sum a vector of ``width`` numbers over all Arrow batches of all tasks."""
-        def task(batches):
-            total = np.zeros(width)
-            for b in batches:
-                if b.num_rows:
-                    total += per_batch(b)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(width), pa.int32()), pa.array(total)], names=["i", "v"])
-        parts = self.rows.mapInArrow(task, "i int, v double")
-        sums = parts.groupBy("i").agg(F.sum("v").alias("v")).collect()  # width numbers
-        out = np.zeros(width)
-        for r in sums:
-            out[r["i"]] = r["v"]
-        return out
-
     def moments(self):
         """Per target: rows, X'X and X'y over the rows that have it (least-squares start)."""
         p, t = self.p, self.t
@@ -73,77 +79,69 @@ class _Objective:
             y = _matrix(b.column(1), t)
             have = ~np.isnan(y)
             y0 = np.where(have, y, 0.0)
-            gram = np.einsum("ni,nj,nt->tij", x, x, have.astype(float), optimize=True)
+            gram = np.stack([x[have[:, i]].T @ x[have[:, i]] for i in range(t)])
             return np.concatenate([have.sum(0), gram.ravel(), (y0.T @ x).ravel()])
 
         q = p + 1
-        flat = self._sum(per_batch, t + t * q * q + t * q)
+        flat = sum_batches(self.rows, per_batch, t + t * q * q + t * q)
         return flat[:t], flat[t:t + t * q * q].reshape(t, q, q), flat[t + t * q * q:].reshape(t, q)
 
-    def value_and_grad(self, W: np.ndarray, n: np.ndarray, mu: float):
+    def evaluate(self, W: np.ndarray, n: np.ndarray, mu: float):
+        """Value, gradient and curvature of every target from one job."""
         p, t, kind, eps = self.p, self.t, self.kind, self.eps
+        q = p + 1
 
         def per_batch(b):
-            x, y = _matrix(b.column(0), p), _matrix(b.column(1), t)
-            value, slope = _loss(x @ W[:, :p].T + W[:, p], y, kind, eps, mu)
-            return np.concatenate([value.sum(0), (slope.T @ x).ravel(), slope.sum(0)])
-
-        flat = self._sum(per_batch, t + t * p + t)
-        w = W[:, :p]
-        f = 0.5 * (w * w).sum(1) + self.C * flat[:t]
-        g = np.hstack([w + self.C * flat[t:t + t * p].reshape(t, p), self.C * flat[t + t * p:, None]])
-        return f / n, g / n[:, None]
-
-
-def _direction(g, steps, changes):
-    """Quasi-Newton direction per target from the last few steps."""
-    q, alphas = g.copy(), []
-    for s, y in reversed(list(zip(steps, changes))):
-        sy = (s * y).sum(1)
-        a = np.where(sy > 1e-12, (s * q).sum(1) / np.where(sy > 1e-12, sy, 1), 0.0)
-        alphas.append(a)
-        q -= a[:, None] * y
-    if steps:
-        s, y = steps[-1], changes[-1]
-        yy = (y * y).sum(1)
-        q *= np.where(yy > 1e-12, (s * y).sum(1) / np.where(yy > 1e-12, yy, 1), 1.0).clip(1e-6, 1e6)[:, None]
-    for (s, y), a in zip(zip(steps, changes), reversed(alphas)):
-        sy = (s * y).sum(1)
-        b = np.where(sy > 1e-12, (y * q).sum(1) / np.where(sy > 1e-12, sy, 1), 0.0)
-        q += s * (a - b)[:, None]
-    return -q
-
-
-def _minimise(obj: _Objective, W, n, mus, max_iter: int, tol: float):
+            x = np.hstack([_matrix(b.column(0), p), np.ones((b.num_rows, 1))])
+            value, slope, bent = _loss(x @ W.T, _matrix(b.column(1), t), kind, eps, mu)
+            curve = np.stack([x[bent[:, i]].T @ x[bent[:, i]] for i in range(t)]) / mu
+            return np.concatenate([value.sum(0), (slope.T @ x).ravel(), curve.ravel()])
+
+        flat = sum_batches(self.rows, per_batch, t + t * q + t * q * q)
+        free = np.diag([1.0] * p + [0.0])  # the bias carries no penalty
+        f = 0.5 * (W[:, :p] ** 2).sum(1) + self.C * flat[:t]
+        g = W @ free + self.C * flat[t:t + t * q].reshape(t, q)
+        h = free + self.C * flat[t + t * q:].reshape(t, q, q)
+        return f / n, g / n[:, None], h / n[:, None, None]
+
+
+def _minimise(obj: _Objective, W: np.ndarray, n: np.ndarray, size: np.ndarray, mus, max_iter: int,
+              tol: float) -> np.ndarray:
+    """Damped Newton for all targets together, with a smoothing that shrinks in steps.
+
+    ``size`` is the curvature of each weight if every row counted. A share of it
+    is added to the curvature of a target whose last step went wrong. A target
+    that stops improving is left as it is while the others go on.
+    """
+    damping = np.full(len(n), 1e-3)
     for mu in mus:
-        f, g = obj.value_and_grad(W, n, mu)
-        steps, changes = [], []
+        f, g, h = obj.evaluate(W, n, mu)
+        live = np.ones(len(f), dtype=bool)
         for _ in range(max_iter):
-            d = _direction(g, steps, changes)
-            slope = (d * g).sum(1)
-            d = np.where((slope < 0)[:, None], d, -g)
-            slope = np.minimum((d * g).sum(1), 0.0)
-            rate = np.ones(len(f))
-            for _ in range(12):
-                W2 = W + rate[:, None] * d
-                f2, g2 = obj.value_and_grad(W2, n, mu)
-                bad = f2 > f + 1e-4 * rate * slope + 1e-15
-                if not bad.any():
-                    break
-                rate = np.where(bad, rate * 0.4, rate)
-            W2 = np.where(bad[:, None], W, W2)
-            f2, g2 = np.where(bad, f, f2), np.where(bad[:, None], g, g2)
-            steps, changes = (steps + [W2 - W])[-7:], (changes + [g2 - g])[-7:]
-            moved = np.abs(f - f2) > tol * np.maximum(np.abs(f), 1e-12)
-            W, f, g = W2, f2, g2
-            if not moved.any():
+            extra = damping[:, None] * (size / mu + 1e-12)
+            d = -np.stack([np.linalg.solve(a + np.diag(e), b) for a, e, b in zip(h, extra, g)])
+            W2 = np.where(live[:, None], W + d, W)
+            f2, g2, h2 = obj.evaluate(W2, n, mu)
+            took = live & (f2 <= f)
+            better = f - f2 > tol * np.maximum(np.abs(f), 1e-12)
+            damping = np.where(live, np.where(took, np.maximum(damping / 10, 1e-8), np.maximum(damping * 30, 1e-4)), damping)
+            W, g, h = (np.where(took.reshape(-1, *[1] * (v.ndim - 1)), v2, v) for v, v2 in ((W, W2), (g, g2), (h, h2)))
+            f = np.where(took, f2, f)
+            live &= np.where(took, better, damping < 1e3)
+            if not live.any():
                 break
+        damping = np.clip(damping, 1e-3, 1.0)
     return W
 
 
+def _resident(df: DataFrame, n: int) -> DataFrame:
+    """Keep rows at hand for the rounds of a fit, in no more parts than their number calls for."""
+    return df.coalesce(max(1, -(-n // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_margin(df: DataFrame, features: Sequence[str], targets: Sequence[str], kind: str = "eps",
-               C: float = 1.0, eps: float = 0.1, scaled: bool = True, max_iter: int = 25,
-               tol: float = 1e-6) -> DataFrame:
+               C: float = 1.0, eps: float = 0.1, scaled: bool = True, max_iter: int = 8,
+               tol: float = 1e-4) -> DataFrame:
     """Weight rows (target, feature, weight, mean, std) of linear models with an unpenalised bias.
 
     ``kind="eps"`` is epsilon-insensitive regression, ``kind="hinge"`` a
@@ -161,7 +159,8 @@ def fit_margin(df: DataFrame, features: Sequence[str], targets: Sequence[str], k
     fitted = fit_scaler(rows, features)
     centre = scaler_values(fitted) if scaled else {c: (0.0, 1.0) for c in features}
     x = scale(rows, fitted) if scaled else rows
-    data = x.select(F.array(*features).alias("x"), F.array(*usable).alias("y")).persist(StorageLevel.MEMORY_AND_DISK)
+    most = max(seen[c]["n"] for c in usable)
+    data = _resident(x.select(F.array(*features).alias("x"), F.array(*usable).alias("y")), most)
     try:
         obj = _Objective(data, p, t, kind, C, eps)
         n, gram, xy = obj.moments()
@@ -171,9 +170,8 @@ def fit_margin(df: DataFrame, features: Sequence[str], targets: Sequence[str], k
             spread = max(float(np.median([seen[c]["sd"] or 1.0 for c in usable])), 1e-9)
         else:
             W, spread = np.zeros((t, p + 1)), 1.0
-        # features of very different size converge in their own scale
-        unit = np.sqrt(np.maximum(np.stack([np.diag(gram[i]) / max(n[i], 1) for i in range(t)]), 1e-12))
-        W = _scaled_minimise(obj, W, n, unit, [spread * m for m in (0.3, 0.03, 0.003)], max_iter, tol)
+        size = obj.C * np.einsum("tii->ti", gram) / np.maximum(n, 1)[:, None]
+        W = _minimise(obj, W, n, size, [spread * m for m in SMOOTHING], max_iter, tol)
     finally:
         data.unpersist()
     out = [
@@ -183,15 +181,6 @@ def fit_margin(df: DataFrame, features: Sequence[str], targets: Sequence[str], k
     return spark.createDataFrame(out, WEIGHT_SCHEMA)
 
 
-def _scaled_minimise(obj, W, n, unit, mus, max_iter, tol):
-    """Minimise in coordinates where every feature has size 1, then scale back."""
-    class Scaled:
-        def value_and_grad(self, V, n, mu):
-            f, g = obj.value_and_grad(V / unit, n, mu)
-            return f, g / unit
-    return _minimise(Scaled(), W * unit, n, mus, max_iter, tol) / unit
-
-
 def fit_svr(df, features, target, C=1.0, eps=0.1, scaled=False, **kw) -> DataFrame:
     """Linear epsilon-SVR of one target on unscaled features."""
     return fit_margin(df, features, [target], "eps", C, eps, scaled, **kw)
@@ -264,38 +253,41 @@ def fit_kernel_svr(df: DataFrame, features: Sequence[str], target: str, C: float
 
 # ---- probabilities ------------------------------------------------------------------------
 
-def fit_platt(df: DataFrame, pairs: Sequence[tuple[str, str]], rounds: int = 25) -> dict[str, tuple[float, float]]:
+def fit_platt(df: DataFrame, pairs: Sequence[tuple[str, str]], rounds: int = 30) -> dict[str, tuple[float, float]]:
     """Sigmoid (a, b) per (margin column, 0/1 label): P = 1 / (1 + exp(a * margin + b)).
 
-    Newton steps; each round is one aggregate over all pairs.
+    Newton steps on slightly softened labels; every round is one job over all pairs.
     """
-    ab = {m: np.array([-1.0, 0.0]) for m, _ in pairs}
-    counts = df.agg(*[F.struct(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")).alias(m)
-                      for m, y in pairs]).first()
+    t = len(pairs)
+    counts = df.agg(*[F.count_if(F.col(y) == v).alias(f"{v}{i}") for i, (_, y) in enumerate(pairs) for v in (1, 0)]).first()
+    pos = np.array([counts[f"1{i}"] for i in range(t)], dtype=float)
+    neg = np.array([counts[f"0{i}"] for i in range(t)], dtype=float)
+    high, low = (pos + 1) / (pos + 2), 1 / (neg + 2)
+    rows = _resident(df.select(F.array(*[F.col(m).cast("double") for m, _ in pairs]).alias("m"),
+                               F.array(*[F.col(y).cast("double") for _, y in pairs]).alias("y")), int((pos + neg).max()))
+    a, b = np.full(t, -1.0), np.log((neg + 1) / (pos + 1))
+    a = np.where(pos * neg > 0, a, 0.0)
+
+    def moments(a, b):
+        def per_batch(batch):
+            x, y = _matrix(batch.column(0), t), _matrix(batch.column(1), t)
+            seen = ~np.isnan(y)
+            p = 1 / (1 + np.exp(np.clip(x * a + b, -35, 35)))
+            gap = np.where(seen, np.where(y > 0, high, low) - p, 0.0)
+            curve = np.where(seen, p * (1 - p), 0.0)
+            return np.concatenate([(gap * x).sum(0), gap.sum(0), (curve * x * x).sum(0), (curve * x).sum(0), curve.sum(0)])
+        return sum_batches(rows, per_batch, 5 * t).reshape(5, t)
+
     for _ in range(rounds):
-        aggs = []
-        for m, y in pairs:
-            hi = (counts[m]["pos"] + 1.0) / (counts[m]["pos"] + 2.0)
-            lo = 1.0 / (counts[m]["neg"] + 2.0)
-            a, b = map(float, ab[m])
-            x = F.when(F.col(y).isNotNull(), F.col(m))
-            z = F.least(F.greatest(x * a + b, F.lit(-35.0)), F.lit(35.0))
-            prob = 1 / (1 + F.exp(z))
-            gap = F.when(F.col(y) == 1, hi).otherwise(lo) - prob
-            curve = prob * (1 - prob)
-            aggs.append(F.struct(F.sum(gap * x).alias("ga"), F.sum(F.when(x.isNotNull(), gap)).alias("gb"),
-                                 F.sum(curve * x * x).alias("haa"), F.sum(curve * x).alias("hab"),
-                                 F.sum(curve).alias("hbb")).alias(m))
-        sums, largest = df.agg(*aggs).first(), 0.0
-        for m, _ in pairs:
-            s = sums[m]
-            hess = np.array([[s["haa"] + 1e-12, s["hab"]], [s["hab"], s["hbb"] + 1e-12]])
-            step = np.clip(np.linalg.solve(hess, np.array([s["ga"], s["gb"]])), -5, 5)
-            ab[m] = ab[m] - step
-            largest = max(largest, float(np.abs(step).max()))
-        if largest < 1e-8:
+        ga, gb, haa, hab, hbb = moments(a, b)
+        det = (haa + 1e-9) * (hbb + 1e-9) - hab * hab
+        da = np.clip(((hbb + 1e-9) * ga - hab * gb) / det, -5, 5)
+        db = np.clip(((haa + 1e-9) * gb - hab * ga) / det, -5, 5)
+        a, b = a - da, b - db
+        if max(np.abs(da).max(), np.abs(db).max()) < 1e-6:
             break
-    return {m: (float(v[0]), float(v[1])) for m, v in ab.items()}
+    rows.unpersist()
+    return {m: (float(a[i]), float(b[i])) for i, (m, _) in enumerate(pairs)}
 
 
 def platt_column(margin, ab: tuple[float, float]):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsledger.operators.stats import scalar_row
+from obsledger.operators.stats import fitted_row
 
 
 def fit_scaler(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -21,7 +21,7 @@ def fit_scaler(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def scale(df: DataFrame, fitted: DataFrame) -> DataFrame:
     """Standardise the fitted columns in place, every other column stays."""
-    s = scalar_row(fitted)
+    s = fitted_row(fitted)
     return df.select(*[
         ((F.col(c) - s[c]["mean"]) / s[c]["std"]).alias(c) if c in s else F.col(c) for c in df.columns])
 

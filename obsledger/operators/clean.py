@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import calendar_part, season, uniform
-from obsledger.operators.stats import medians, modes, quantiles, scalar_row
+from obsledger.operators.stats import fitted_row, medians, modes, quantiles
 
 
 # ---- projection and filters ----------------------------------------------------
@@ -117,7 +117,7 @@ def fit_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "median") ->
 
 def apply_imputer(df: DataFrame, fills: DataFrame, fallback: str | float | None = None) -> DataFrame:
     """Put the fill value, then ``fallback``, where a column is missing."""
-    fill = scalar_row(fills)
+    fill = fitted_row(fills)
 
     def filled(c: str) -> Column:
         extra = [] if fallback is None else [F.lit(fallback)]
@@ -190,20 +190,20 @@ def outside(col: str, fence: Column, two_sided: bool = True) -> Column:
 
 def flag_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, two_sided: bool = True) -> DataFrame:
     """Add ``<col>_Outlier`` 0/1 columns."""
-    fence = scalar_row(iqr_bounds(df, cols, k))
+    fence = fitted_row(iqr_bounds(df, cols, k))
     return df.select("*", *[outside(c, fence[c], two_sided).alias(f"{c}_Outlier") for c in cols])
 
 
 def clip_upper(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Lower values above the upper fence to the fence; the lower side stays."""
-    fence = scalar_row(iqr_bounds(df, cols, k))
+    fence = fitted_row(iqr_bounds(df, cols, k))
     clipped = {c: F.when(F.col(c) > fence[c]["upper"], fence[c]["upper"]).otherwise(F.col(c)) for c in cols}
     return df.select(*[clipped[c].alias(c) if c in clipped else F.col(c) for c in df.columns])
 
 
 def outlier_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Rows outside the fences per column."""
-    fence = scalar_row(iqr_bounds(df, cols, k))
+    fence = fitted_row(iqr_bounds(df, cols, k))
     wide = df.agg(*[F.sum(outside(c, fence[c])).alias(c) for c in cols])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_outliers")) for c in cols])
     return wide.select(F.explode(rows).alias("r")).select("r.*")
@@ -211,7 +211,7 @@ def outlier_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFr
 
 def extreme_rate(df: DataFrame, entity: str, col: str, k: float = 1.5) -> DataFrame:
     """Rows, outliers and outlier share per entity."""
-    fence = scalar_row(iqr_bounds(df, [col], k))
+    fence = fitted_row(iqr_bounds(df, [col], k))
     return (df.groupBy(entity)
               .agg(F.count(F.lit(1)).alias("n"), F.sum(outside(col, fence[col])).alias("n_extreme"),
                    F.avg(outside(col, fence[col])).alias("extreme_rate")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsledger.operators.aggregate import contrast, group_share, rate_by_cluster
@@ -22,13 +23,13 @@ def cluster_insights(df: DataFrame, cluster: str, cols: Sequence[str], k: int =
     sums = df.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("size"),
         *[F.struct(F.sum(c).alias("s"), F.count(c).alias("n")).alias(c) for c in cols])
-    whole = scalar_row(sums.agg(
-        F.sum("size").alias("size"),
-        *[F.try_divide(F.sum(F.col(c)["s"]), F.sum(F.col(c)["n"])).alias(c) for c in cols]))
+    every = W.partitionBy()  # one row per cluster
+    whole = {c: F.try_divide(F.sum(F.col(c)["s"]).over(every), F.sum(F.col(c)["n"]).over(every)) for c in cols}
+    sums = sums.withColumns({**{f"_{c}": v for c, v in whole.items()}, "_size": F.sum("size").over(every)})
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.try_divide(F.col(c)["s"], F.col(c)["n"]).alias("cluster_mean"),
-                 whole[c].alias("global_mean")) for c in cols]))
-    tall = (sums.select(cluster, "size", (F.col("size") * 100.0 / whole["size"]).alias("percentage"), rows.alias("r"))
+                 F.col(f"_{c}").alias("global_mean")) for c in cols]))
+    tall = (sums.select(cluster, "size", (F.col("size") * 100.0 / F.col("_size")).alias("percentage"), rows.alias("r"))
                 .select(cluster, "size", "percentage", "r.*")
                 .withColumn("difference", F.col("cluster_mean") - F.col("global_mean")))
     return (top_k(tall, [cluster], "feature", "difference", k)

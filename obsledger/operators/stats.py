@@ -1,7 +1,10 @@
 """Small statistics rows, exact quantiles and modes that hold at any size.
 
-A fitted statistic is a DataFrame of one row. It is applied through a scalar
-subquery, so the statistics and the data stay in one plan without a join.
+A statistic is a DataFrame of one row. Inside one operator it is applied as a
+scalar subquery, so statistics and data stay in one plan without a join. A
+*fitted* statistic (fill values, fences, scalers, model parameters) is read
+once and applied as constants: chains of fits then never compute an earlier
+fit again, and filters on the result can reach the scan.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obsledger.session import cut_lineage
 
@@ -25,8 +29,20 @@ def scalar_row(stats: DataFrame) -> dict[str, Column]:
     return {name: packed.getField(name) for name in stats.columns}
 
 
-def column_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+def _constant(value, kind: T.DataType) -> Column:
+    if value is None:
+        return F.lit(None).cast(kind)
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_constant(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return F.array(*[_constant(v, kind.elementType) for v in value]).cast(kind)
+    return F.lit(value).cast(kind)
+
+
+def fitted_row(stats: DataFrame) -> dict[str, Column]:
+    """Columns of a fitted one-row frame as constants."""
+    row = stats.first()
+    return {f.name: _constant(row[f.name], f.dataType) for f in stats.schema.fields}
 
 
 def _fits_one_task(df: DataFrame, cols: Sequence[str], by: Sequence[str], limit: int) -> bool:

@@ -179,7 +179,7 @@ def numeric_metrics(spark, sf_dir):
     return K.numeric_metrics(reg.withColumn("value", text.otherwise(F.col("value").cast("string"))))
 
 
-@query("forecast_metric_defaults", f"""WITH {METRICS} SELECT run_id, model_name, round(mae, 4) AS temperature_mae, 0.0 AS temperature_rmse,
+@query("forecast_metric_defaults", f"""WITH {METRICS} SELECT run_id, model_name, round(mae, 4) AS temperature_mae, CAST(0 AS DOUBLE) AS temperature_rmse,
   'ForecastSVM' AS model_type, CASE WHEN mae > 30000 THEN 'high' ELSE 'not_available' END AS status, 3 AS forecast_horizon_days FROM regw""")
 def forecast_metric_defaults(spark, sf_dir):
     from obsledger.operators.publish import FORECAST_METRIC_DEFAULTS as D

@@ -43,7 +43,7 @@ def rain_history(spark, sf_dir):
 _VIEW = """v AS (SELECT station, d, rn, total, top, n_events, rain_today FROM (
   SELECT *, row_number() OVER (PARTITION BY station ORDER BY d) AS rn FROM daily WHERE station = {chosen}) WHERE rn <= 3)
 SELECT CAST(v.station AS VARCHAR) AS location, strftime(v.d, '%Y-%m-%d') AS date, v.total AS temperature_max, v.top AS temperature_min,
-  60.0 AS humidity, round(v.n_events * 3, 4) AS precipitation_score, 15.0 AS wind_speed,
+  CAST(60 AS DOUBLE) AS humidity, round(v.n_events * 3, 4) AS precipitation_score, CAST(15 AS DOUBLE) AS wind_speed,
   CASE WHEN v.rain_today = 'Yes' THEN 'Rainy' WHEN v.top > 7 THEN 'Sunny' ELSE 'Partly Cloudy' END AS weather_condition,
   coalesce(n.n_name, 'nowhere') AS n_name FROM v LEFT JOIN (SELECT CAST(n_nationkey AS VARCHAR) AS nk, n_name FROM nation) n ON n.nk = CAST(v.station AS VARCHAR)"""
 

@@ -275,7 +275,7 @@ def dbscan_line(spark, sf_dir):
 
 @query("pca_two_measures", f"""WITH {DAILY}, r AS (SELECT abs(corr(top, n_events)) AS r FROM daily)
 SELECT 'PC1' AS component, round((1 + r) / 2, 6) AS explained_ratio, round((1 + r) / 2, 6) AS cumulative_ratio FROM r
-UNION ALL SELECT 'PC2', round((1 - r) / 2, 6), 1.0 FROM r""")
+UNION ALL SELECT 'PC2', round((1 - r) / 2, 6), CAST(1 AS DOUBLE) FROM r""")
 def pca_two_measures(spark, sf_dir):
     rows = _scaled_days(spark, sf_dir, ("top", "n_events"))
     return rounded(clusters.fit_pca(rows, ["top", "n_events"], 2)[1], "explained_ratio", "cumulative_ratio", digits=6)
