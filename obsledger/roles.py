@@ -53,8 +53,13 @@ WEATHER = Roles(
 )
 
 
+_TYPES = {"string": T.StringType(), "double": T.DoubleType(), "date": T.DateType(), "timestamp": T.TimestampType()}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from "name type, ..." text; needs no running session."""
+    pairs = [field.split() for field in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Table layouts.
