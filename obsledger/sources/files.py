@@ -20,7 +20,10 @@ def read_observations(spark: SparkSession, path: str, schema: StructType | None
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
+    """Read parquet, CSV (with header) or JSON files."""
     reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
