@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -113,7 +114,8 @@ def score_rows(df: DataFrame, forest: DataFrame, cols: Sequence[str], out: str =
 
 def detect(df: DataFrame, forest: DataFrame, cols: Sequence[str], contamination: float = 0.05) -> DataFrame:
     """Add ``anomaly_score`` (negative = anomalous) and ``is_anomaly`` for about the share ``contamination``."""
-    scored = score_rows(df, forest, cols)
+    # the threshold takes a few counting passes: rows are walked through the trees once
+    scored = score_rows(df, forest, cols).persist(StorageLevel.MEMORY_AND_DISK)
     cut = fitted_row(quantiles(scored, ["raw_score"], [contamination]))["raw_score"][0]
     return (scored.withColumn("anomaly_score", F.col("raw_score") - cut).drop("raw_score")
                   .withColumn("is_anomaly", (F.col("anomaly_score") < 0).cast("int")))

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsledger.operators.stats import medians, quantiles, scalar_row
+from obsledger.operators.stats import fitted_row, medians, quantiles, scalar_row
 from obsledger.operators.timeline import rank_by
+from obsledger.session import cut_lineage
 
 
 def mean_by(df: DataFrame, by: Sequence[str] | str, cols: Sequence[str], where: Column | None = None) -> DataFrame:
@@ -33,7 +34,7 @@ def cluster_profile(df: DataFrame, cluster: str, cols: Sequence[str]) -> DataFra
 def global_stats(df: DataFrame, cols: Sequence[str], date: str | None = None,
                  probs: Sequence[float] = (0.25, 0.75)) -> DataFrame:
     """One row: mean, sample std, median and quantiles of each column, and the latest date."""
-    med, qs = scalar_row(medians(df, cols)), scalar_row(quantiles(df, cols, probs))
+    med, qs = fitted_row(medians(df, cols)), fitted_row(quantiles(df, cols, probs))
     base = df.agg(*[a for c in cols for a in (F.avg(c).alias(f"mean_{c}"), F.stddev_samp(c).alias(f"std_{c}"))],
                   *([F.max(date).alias("max_date")] if date else []))
     return base.select("*", *[med[c].alias(f"median_{c}") for c in cols],
@@ -88,7 +89,8 @@ def composite_risk(df: DataFrame, entity: str, weights: Mapping[str, float], inv
     ``by`` scores and ranks inside each season or period.
     """
     keys = [entity] + ([by] if by else [])
-    means = df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in weights])
+    # the rows are read once; everything after works on one row per entity
+    means = cut_lineage(df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in weights]))
     spans = means.groupBy(*([by] if by else [])).agg(
         *[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(f"_{c}") for c in weights])
     if by:

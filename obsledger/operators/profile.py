@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsledger.operators.stats import quantiles, scalar_row
+from obsledger.operators.stats import fitted_row, quantiles, scalar_row
 
 
 def _tall(wide: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -53,7 +53,7 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, quartiles and max per column."""
-    q = scalar_row(quantiles(df, cols, [0.25, 0.5, 0.75]))
+    q = fitted_row(quantiles(df, cols, [0.25, 0.5, 0.75]))
     wide = df.agg(*[
         F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
                  F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(c)

@@ -9,6 +9,7 @@ fit again, and filters on the result can reach the scan.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ from obsledger.session import cut_lineage
 
 # Distinct values one task may hold for Spark's own exact percentile.
 MAX_DISTINCT = 1_000_000
+# Rows of one value bracket the driver may read to finish an exact quantile.
+MAX_ROWS = 10_000
 BUCKETS = 4096
 
 
@@ -58,14 +61,18 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     max_distinct: int = MAX_DISTINCT,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: one row per group, one array column per measure.
 
-    Spark's exact ``percentile`` holds every distinct value of a group in one
-    task. It is used only after a count shows the values fit; otherwise the
-    ranks are searched with histograms over all tasks.
+    Without groups the ranks are narrowed down by histograms over all tasks.
+    With groups Spark's exact ``percentile`` is used after a count shows that no
+    group has more than ``max_distinct`` values (it holds them in one task);
+    otherwise the ranks of all groups are searched with joined histograms.
     """
     cols, probs, by = list(cols), [float(p) for p in probs], list(by)
+    if not by:
+        return _global_quantiles(df, cols, probs, max_rows)
     if _fits_one_task(df, cols, by, max_distinct):
         wanted = F.array(*map(F.lit, probs))
         return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in cols])
@@ -80,6 +87,81 @@ def quantiles(
     return found.groupBy(*by).agg(*pick)
 
 
+def _global_quantiles(df: DataFrame, cols: list[str], probs: list[float], max_rows: int) -> DataFrame:
+    """One row of quantile arrays, found with a few counting passes over the needed columns.
+
+    Every wanted rank has a bracket of values. A pass counts the rows of each
+    bracket in BUCKETS equal cells and keeps the cell holding the rank, until a
+    bracket is a single value or holds at most ``max_rows`` rows, whose distinct
+    values are then read. The driver sees cell counts and those values only.
+    """
+    x = {c: F.col(c).cast("double") for c in cols}
+    span = df.agg(*[F.struct(F.count(c).alias("n"), F.min(x[c]).alias("lo"), F.max(x[c]).alias("hi")).alias(c)
+                    for c in cols]).first()
+    ends, brackets = {}, {}  # (column, rank) -> (lo, hi, rows below, rows inside)
+    for c in cols:
+        for p in probs:
+            at = p * (span[c]["n"] - 1)
+            ends[c, p] = (math.floor(at), math.ceil(at), at - math.floor(at))
+            for rank in ends[c, p][:2]:
+                if span[c]["n"]:
+                    brackets[c, rank] = (span[c]["lo"], span[c]["hi"], 0, span[c]["n"])
+    values = {}
+
+    def tagged(found: list, extra) -> DataFrame:
+        """Rows (bracket number, ..extra) for every bracket a value falls into."""
+        tags = [F.when(x[c].between(lo, hi), F.struct(F.lit(i).alias("i"), *extra(x[c], lo, hi)))
+                for i, (c, lo, hi) in enumerate(found)]
+        return df.select(F.explode(F.array(*tags)).alias("t")).where(F.col("t").isNotNull()).select("t.*")
+
+    while True:
+        values.update({k: b[0] for k, b in brackets.items() if b[0] == b[1]})
+        wide = {(k[0], *b[:2]) for k, b in brackets.items() if k not in values and b[3] > max_rows}
+        if not wide:
+            break
+        found = sorted(wide)
+
+        def cell(v, lo, hi):
+            step = F.least(F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * BUCKETS), F.lit(BUCKETS - 1))
+            return [step.cast("int").alias("cell"), v.alias("v")]
+
+        cells: dict[int, list] = {}
+        counted = tagged(found, cell).groupBy("i", "cell").agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        for r in counted.collect():  # at most BUCKETS rows per bracket
+            cells.setdefault(r["i"], []).append(r)
+        for (c, rank), (lo, hi, below, _) in list(brackets.items()):
+            if (c, lo, hi) not in wide:
+                continue
+            for r in sorted(cells[found.index((c, lo, hi))], key=lambda r: r["cell"]):
+                if rank < below + r["n"]:
+                    brackets[c, rank] = (r["lo"], r["hi"], below, r["n"])
+                    break
+                below += r["n"]
+    rest = {k: b for k, b in brackets.items() if k not in values}
+    if rest:
+        found = sorted({(k[0], *b[:2]) for k, b in rest.items()})
+        seen: dict[int, list] = {}
+        for r in (tagged(found, lambda v, lo, hi: [v.alias("v")]).groupBy("i", "v")
+                  .agg(F.count(F.lit(1)).alias("n")).collect()):  # at most max_rows rows per bracket
+            seen.setdefault(r["i"], []).append((r["v"], r["n"]))
+        for (c, rank), (lo, hi, below, _) in rest.items():
+            for v, n in sorted(seen[found.index((c, lo, hi))]):
+                below += n
+                if rank < below:
+                    values[c, rank] = v
+                    break
+
+    def value(c: str, p: float):
+        if not span[c]["n"]:
+            return F.lit(None).cast("double")
+        first, last, share = ends[c, p]
+        a, b = values[c, first], values[c, last]
+        return F.lit(a + (b - a) * share)
+
+    return df.sparkSession.range(1).select(*[F.array(*[value(c, p) for p in probs]).alias(c) for c in cols])
+
+
 def _search_ranks(df, cols, probs, by, limit) -> DataFrame:
     """Long rows (by.., column, prob, value) by repeated histograms around the wanted ranks."""
     long = (

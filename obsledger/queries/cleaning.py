@@ -154,11 +154,11 @@ def impute_median(spark, sf_dir):
     return rounded(out.select(*_KEYS, "quantity", "price"), "quantity", "price")
 
 
-@query("impute_median_by_rank_search", f"""WITH {OBS}, m AS (SELECT median(price) AS p FROM obs)
+@query("impute_median_narrowed", f"""WITH {OBS}, m AS (SELECT median(price) AS p FROM obs)
 SELECT {KEY}, round(coalesce(price, p), 4) AS price FROM obs, m""")
-def impute_median_by_rank_search(spark, sf_dir):
+def impute_median_narrowed(spark, sf_dir):
     obs = observations(spark, sf_dir)
-    fill = quantiles(obs, ["price"], [0.5], max_distinct=2000).select(F.col("price")[0].alias("price"))
+    fill = quantiles(obs, ["price"], [0.5], max_rows=10).select(F.col("price")[0].alias("price"))
     return rounded(C.apply_imputer(obs, fill).select(*_KEYS, "price"), "price")
 
 

@@ -32,11 +32,23 @@ def test_rank_search_equals_percentile(spark, limit):
         assert x[1] == pytest.approx(y[1]) and x[2] == pytest.approx(y[2])
 
 
-def test_rank_search_with_one_heavy_value_and_outlier(spark):
-    df = spark.createDataFrame([(1.0,)] * 300 + [(2.0,), (3.0,), (1e12,)], "x double")
-    got = stats.quantiles(df, ["x"], [0.5, 0.99, 1.0], max_distinct=1).first()[0]
-    want = stats.quantiles(df, ["x"], [0.5, 0.99, 1.0]).first()[0]
-    assert got == pytest.approx(want)
+@pytest.mark.parametrize("max_rows", [0, 2, 10**6])
+def test_narrowed_brackets_equal_percentile(spark, max_rows):
+    df = spark.range(700).repartition(5).select(
+        F.when(F.col("id") % 3 > 0, 4.25).otherwise((F.col("id") * 37 % 101).cast("double") / 7 - 5).alias("a"),
+        F.when(F.col("id") % 5 > 0, F.exp((F.col("id") % 60).cast("double"))).alias("b"),
+        F.lit(None).cast("double").alias("none"), F.lit(3.0).alias("same"))
+    probs = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
+    want = df.agg(*[F.percentile(c, F.array(*map(F.lit, probs))) for c in df.columns]).first()
+    got = stats.quantiles(df, df.columns, probs, max_rows=max_rows).first()
+    for c, w, g in zip(df.columns, want, got):
+        assert (g == [None] * 6) if c == "none" else (g == pytest.approx(w)), c
+
+
+def test_heavy_value_beside_an_outlier(spark):
+    df = spark.createDataFrame([(1.0,)] * 300 + [(2.0,), (3.0,), (1e300,), (-1e300,)], "x double")
+    got = stats.quantiles(df, ["x"], [0.0, 0.5, 0.99, 1.0], max_rows=1).first()[0]
+    assert got == pytest.approx(df.agg(F.percentile("x", F.array(*map(F.lit, [0.0, 0.5, 0.99, 1.0])))).first()[0])
 
 
 def test_mode_tie_takes_smallest_and_ignores_missing(spark):
