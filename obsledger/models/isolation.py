@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from obsledger.operators.stats import fitted_row, quantiles, scalar_row
+from obsledger.operators.stats import fitted_row, quantiles
 
 FOREST_SCHEMA = "tree int, node int, feature int, split double, left int, right int, size int, depth int, sample int"
 
@@ -49,17 +49,23 @@ def fit_iforest(df: DataFrame, key: Sequence[str], cols: Sequence[str], trees: i
                 seed: int = 42) -> DataFrame:
     """Forest rows, at most trees x (2 * sample - 1).
 
-    A row enters the sample of a tree when its hash with the tree number is
-    small; the ``sample`` smallest hashes are kept, so the draw depends on the
-    row key only. Each tree is grown from its own at most ``sample`` rows.
+    A row enters the sample of a tree when its hash is small; the ``sample``
+    smallest hashes are kept, so the draw depends on the row key only. Each
+    tree is grown from its own at most ``sample`` rows.
     """
-    rows = df.dropna(subset=list(cols))
-    n = scalar_row(rows.agg(F.count(F.lit(1)).alias("n")))["n"]
-    draw = F.pmod(F.xxhash64(*[F.col(k) for k in key], F.col("tree"), F.lit(seed)), F.lit(1 << 40))
-    share = F.least(F.lit(1.0), F.lit(2.0 * sample + 64) / n)
-    numbered = rows.select(*key, F.array(*[F.col(c).cast("double") for c in cols]).alias("x"),
-                           F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    drawn = numbered.withColumn("h", draw).where(F.col("h") < share * float(1 << 40))
+    x = F.array(*[F.col(c).cast("double") for c in cols])
+    rows = df.dropna(subset=list(cols)).select(*key, x.alias("x"))
+    n = rows.count()
+    wanted = 2 * sample + 64  # drawn per tree before the smallest ``sample`` hashes are kept
+    if n > 2 * wanted * trees:
+        # many rows: every row is a candidate of one tree only, one hash per row
+        drawn = (rows.withColumn("tree", F.pmod(F.xxhash64(*key, F.lit(seed), F.lit("tree")), F.lit(trees)).cast("int"))
+                     .withColumn("h", F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 40)))
+                     .where(F.col("h") < wanted * trees / n * float(1 << 40)))
+    else:
+        numbered = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        drawn = (numbered.withColumn("h", F.pmod(F.xxhash64(*key, F.col("tree"), F.lit(seed)), F.lit(1 << 40)))
+                         .where(F.col("h") < min(1.0, wanted / max(n, 1)) * float(1 << 40)))
     order = W.partitionBy("tree").orderBy("h", *key)
     chosen = (drawn.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= sample)
                    .select("tree", "rn", "x"))

@@ -70,23 +70,23 @@ def comparison_report(ranked: DataFrame, classifier: DataFrame, clusters: DataFr
     """(section, line) rows: best models, one sentence per cluster, one for the anomalies."""
     best = ranked.where("rank = 1").select(
         F.lit("mejor_modelo_regresion").alias("section"),
-        F.format_string("El modelo %s logra explicar el %.2f%% de la varianza (nivel %s).",
+        F.format_string("Mejor regresión: %s explica %.2f%% de la varianza (%s)",
                         "model_name", "explained_pct", "grade").alias("line"))
     cls = classifier.select(
         F.lit("clasificacion").alias("section"),
-        F.format_string("El modelo %s alcanza un nivel %s con precisión del %.1f%% (%s).",
+        F.format_string("Mejor clasificador: %s, calidad %s, aciertos %.1f%% (%s)",
                         "model_name", "grade", F.col("accuracy") * 100, "balance").alias("line"))
     named = F.format_string("%s %s", "feature", "direction")
     per_cluster = (
         clusters.groupBy(cluster, "percentage")
         .agg(F.array_sort(F.collect_list(F.struct("rank", named.alias("t")))).alias("f"))
         .select(F.lit("patrones_climaticos").alias("section"),
-                F.format_string("Cluster %s (%.1f%% de registros): %s", F.col(cluster).cast("string"), "percentage",
+                F.format_string("Grupo %s, %.1f%% de las filas: %s", F.col(cluster).cast("string"), "percentage",
                                 F.array_join(F.col("f.t"), ", ")).alias("line")))
     odd = (
         flagged.groupBy("flagged_pct")
         .agg(F.array_sort(F.collect_list(F.struct("rank", named.alias("t")))).alias("f"))
         .select(F.lit("anomalias_climaticas").alias("section"),
-                F.format_string("Eventos anómalos (%.1f%% de los registros): %s", "flagged_pct",
+                F.format_string("Filas anómalas, %.1f%% del total: %s", "flagged_pct",
                                 F.array_join(F.col("f.t"), ", ")).alias("line")))
     return best.unionByName(cls).unionByName(per_cluster).unionByName(odd)

@@ -1,8 +1,8 @@
 """Row shifts, next-day labels, splits and ranks that stay spread over the cluster.
 
 One entity may hold a large part of all rows, so no window runs over a whole
-entity: rows are cut into calendar blocks, the window runs per (entity, block)
-and only the few rows at block edges are looked at across blocks.
+entity: rows are cut into blocks of checked size, the window runs per (entity,
+block) and only the few rows at block edges are looked at across blocks.
 """
 
 from __future__ import annotations
@@ -15,23 +15,51 @@ from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import uniform
 from obsledger.operators.stats import scalar_row
+from obsledger.session import cut_lineage
 
 BLOCK_DAYS = 32
-RANK_BUCKETS = 1024
+# Rows of one entity a single task may order.
+BLOCK_ROWS = 2_000_000
 
 
 def _block(date: str, days: int) -> Column:
     return F.floor(F.datediff(F.col(date).cast("date"), F.lit("1970-01-01").cast("date")) / F.lit(days))
 
 
-def shifted(df: DataFrame, entity: str, order: Sequence[str],
-            shifts: Mapping[str, tuple[str, int]], block_days: int = BLOCK_DAYS) -> DataFrame:
+def ranged(df: DataFrame, cols: Sequence[str], out: str) -> DataFrame:
+    """Spread rows in sorted ranges of ``cols`` over the tasks and keep the range number.
+
+    The ranges are drawn from a sample of all rows, so they are even for any
+    spread of values. The numbered rows are written to the shared folder: a
+    later recomputation can not draw other ranges.
+    """
+    return cut_lineage(df.repartitionByRange(*cols).withColumn(out, F.spark_partition_id()))
+
+
+def in_blocks(df: DataFrame, entity: str, order: Sequence[str], block_days: int | None = None,
+              block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``_block``: consecutive pieces of each entity, none larger than a task can order.
+
+    Pieces are calendar blocks of 32 days, or of one day when an entity is too
+    dense for that, or sorted ranges of rows when even its days are.
+    """
+    for days in [block_days] if block_days else (BLOCK_DAYS, 1):
+        blocked = df.withColumn("_block", _block(order[0], days))
+        if block_days:
+            return blocked
+        largest = blocked.groupBy(entity, "_block").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (largest or 0) <= block_rows:
+            return blocked
+    return ranged(df, [entity, *order], "_block")
+
+
+def shifted(df: DataFrame, entity: str, order: Sequence[str], shifts: Mapping[str, tuple[str, int]],
+            block_days: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add columns holding the value ``k`` rows later (k > 0) or earlier (k < 0) in the entity.
 
     ``order`` starts with the date and ends with a tie-breaker where dates
     repeat. ``shifts`` maps the new column to (source column, k).
     """
-    date = order[0]
     ahead = max([k for _, k in shifts.values() if k > 0], default=0)
     behind = max([-k for _, k in shifts.values() if k < 0], default=0)
     reach = ahead + behind
@@ -45,14 +73,14 @@ def shifted(df: DataFrame, entity: str, order: Sequence[str],
     in_block = W.partitionBy(entity, "_block").orderBy(*order)
     whole = W.partitionBy(entity, "_block")
     rows = (
-        df.withColumn("_block", _block(date, block_days))
+        in_blocks(df, entity, order, block_days, block_rows)
         .withColumns({**moved(in_block), "_first": F.row_number().over(in_block),
                       "_size": F.count(F.lit(1)).over(whole)})
         .withColumn("_last", F.col("_size") - F.col("_first") + 1)
     )
     unsettled = (F.col("_last") <= ahead) | (F.col("_first") <= behind)
     settled = rows.where(~unsettled)
-    # at most 2 * reach rows per (entity, block): bounded by the calendar
+    # at most 2 * reach rows per (entity, block), and few blocks per entity
     edges = rows.where((F.col("_first") <= reach) | (F.col("_last") <= reach))
     across = W.partitionBy(entity).orderBy(*order)
     repaired = edges.withColumns(moved(across)).where(unsettled)
@@ -60,14 +88,14 @@ def shifted(df: DataFrame, entity: str, order: Sequence[str],
 
 
 def lead_targets(df: DataFrame, entity: str, order: Sequence[str], variables: Sequence[str],
-                 horizons: Sequence[int] = (1, 2, 3), block_days: int = BLOCK_DAYS) -> DataFrame:
+                 horizons: Sequence[int] = (1, 2, 3), block_days: int | None = None) -> DataFrame:
     """Add ``<variable>_day_<k>``: the value k rows later in the entity, missing at its end."""
     shifts = {f"{v}_day_{k}": (v, k) for v in variables for k in horizons}
     return shifted(df, entity, order, shifts, block_days)
 
 
 def diff_stats(df: DataFrame, entity: str, order: Sequence[str], variables: Sequence[str],
-               zero_std: float = 0.5, block_days: int = BLOCK_DAYS, extra_by: Sequence[str] = ()) -> DataFrame:
+               zero_std: float = 0.5, block_days: int | None = None, extra_by: Sequence[str] = ()) -> DataFrame:
     """Mean and population std of consecutive differences per entity and variable.
 
     Only pairs with both values count; a std of 0 becomes ``zero_std``.
@@ -87,7 +115,7 @@ def diff_stats(df: DataFrame, entity: str, order: Sequence[str], variables: Sequ
 
 
 def carry_label(df: DataFrame, entity: str, order: Sequence[str], source: str, target: str,
-                block_days: int = BLOCK_DAYS) -> DataFrame:
+                block_days: int | None = None) -> DataFrame:
     """Set ``target`` to the previous row's ``source``; the first row of an entity keeps its own."""
     out = shifted(df, entity, order, {"_carried": (source, -1)}, block_days)
     return out.withColumn(target, F.coalesce(F.col("_carried"), F.col(target))).drop("_carried")
@@ -130,29 +158,21 @@ def cumulative(df: DataFrame, order: str, col: str, out: str) -> DataFrame:
 def rank_by(df: DataFrame, col: str, out: str = "rank", desc: bool = True, by: str | None = None) -> DataFrame:
     """Competition rank over all rows (or inside ``by``) without one global sort task.
 
-    Distinct values are counted, put in equal-width buckets, and ranked inside
-    their bucket; the counts of at most RANK_BUCKETS better buckets are added.
+    Distinct values are counted and spread in sorted ranges; a value's rank is
+    the rows of the better ranges plus the better rows of its own range.
     """
     keys = [by] if by else []
     counts = (df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("_v"))
                 .agg(F.count(F.lit(1)).alias("_c")))
-    ends = counts.groupBy(*keys).agg(F.min("_v").cast("double").alias("_lo"), F.max("_v").cast("double").alias("_hi"))
-    if by:
-        counts, lo, hi = counts.join(ends, keys), F.col("_lo"), F.col("_hi")
-    else:
-        span = scalar_row(ends)
-        lo, hi = span["_lo"], span["_hi"]
-    place = F.coalesce(F.try_divide(F.col("_v") - lo, hi - lo), F.lit(0.0))
-    bucket = F.least(F.floor(place * RANK_BUCKETS), F.lit(RANK_BUCKETS - 1))
-    counts = counts.withColumn("_b", -bucket if desc else bucket)
-    # at most RANK_BUCKETS rows per group
+    spread = ranged(counts, [*keys, "_v"], "_b").withColumn("_b", -F.col("_b") if desc else F.col("_b"))
     better = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    ahead = (counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+    # one row per range
+    ahead = (spread.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
                    .select(*keys, "_b", F.coalesce(F.sum("_bc").over(better), F.lit(0)).alias("_ahead")))
     inside = (W.partitionBy(*keys, "_b").orderBy(F.desc("_v") if desc else F.asc("_v"))
                .rowsBetween(W.unboundedPreceding, -1))
     ranked = (
-        counts.withColumn("_in", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+        spread.withColumn("_in", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
         .join(ahead, [*keys, "_b"])
         .select(*keys, F.col("_v").alias(col), (F.col("_ahead") + F.col("_in") + 1).alias(out))
     )

@@ -13,6 +13,7 @@ from obsledger.operators.clean import add_calendar, clip_upper, flag_outliers, i
 from obsledger.operators.profile import columns_of
 from obsledger.roles import CLUSTER_MEASURES
 
+# Columns of the final feature table.
 FINAL_COLUMNS = (
     "MinTemp", "MaxTemp", "Rainfall", "Evaporation", "Sunshine", "WindGustDir", "WindGustSpeed", "WindDir9am",
     "WindDir3pm", "WindSpeed9am", "WindSpeed3pm", "Humidity9am", "Humidity3pm", "Pressure9am", "Pressure3pm",

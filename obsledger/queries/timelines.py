@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from obsledger.functions import scalars as S
@@ -244,3 +246,15 @@ def latest_forecast(spark, sf_dir):
     f = table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("forecast_id"), F.col("o_orderdate").alias("generated_at"), "o_orderkey")
     return R.latest_forecast(f).select("forecast_id", "o_orderkey")
+
+
+@query("parquet_roundtrip", """SELECT o_orderkey, o_orderpriority, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS version FROM orders
+WHERE year(o_orderdate) >= 2000""")
+def parquet_roundtrip(spark, sf_dir):
+    """Write a partitioned table to the shared folder and read two of its partitions back."""
+    from obsledger.session import checkpoint_dir
+    from obsledger.sources.files import read_table, write_table
+    path = f"{checkpoint_dir(spark)}/orders-by-year-{uuid.uuid4()}"
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", F.year("o_orderdate").alias("version"))
+    write_table(o, path, partition_by=["version"])
+    return read_table(spark, path).where("version >= 2000")

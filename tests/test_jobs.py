@@ -14,7 +14,7 @@ from obsledger.operators import publish as U
 from obsledger.operators import synth as Y
 from obsledger.operators.evaluate import timed
 from obsledger.operators.reshape import nest_forecast, unnest_forecast
-from obsledger.plans import forecast, patterns, prepare, regression, risk
+from obsledger.plans import forecast, patterns, prepare, regression, report, risk
 from obsledger.queries.forecasts import _HISTORY, STATION
 from obsledger.queries.frames import daily, metric_rows
 from obsledger.roles import METRIC_SCHEMA, OBSERVATION_SCHEMA, WEATHER
@@ -224,6 +224,20 @@ def test_patterns_job(spark, sf):
     assert found["pca_insights"].count() == 4
 
 
+def test_report_job(spark, sf):
+    reg, cls = metric_rows(spark, sf)
+    one = lambda df, m: df.where(f"model_name = '{m}' AND run_id = 'run_1997'")
+    summary = report.summarise({"svm": one(reg, "model1"), "ols": one(reg, "model2")}, {"bayes": one(cls, "model3")})
+    assert summary["summary"].where("type = 'regression'").first()["n_models"] == 2
+    assert [r["rank"] for r in summary["ranking"].orderBy("rank").collect()] == [1, 2]
+    assert summary["best_classifier"].first()["model_name"] == "bayes" and summary["series"].count() == 2
+    rows = spark.createDataFrame([(0, 1.0, 5.0, 0), (0, 2.0, 5.5, 0), (1, 9.0, 1.0, 1)], "cluster int, a double, b double, odd int")
+    from obsledger.operators import insight
+    found = {"kmeans_insights": insight.cluster_insights(rows, "cluster", ["a", "b"]),
+             "isolation_insights": insight.contrast_insights(rows, "odd", ["a", "b"])}
+    assert report.as_document(report.report(summary, found)).count() == 4
+
+
 def test_timed_metric():
     value, row = timed(lambda: 7, "training_time", "r1", "svm")
     assert value == 7 and row[:3] == ("r1", "svm", "training_time") and row[3] >= 0

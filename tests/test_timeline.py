@@ -27,6 +27,15 @@ def test_shift_equals_plain_window(spark, walk, days):
     assert got.select(want.columns).exceptAll(want).isEmpty()
 
 
+@pytest.mark.parametrize("rows", [1, 8, 300])
+def test_shift_with_a_dense_entity(spark, walk, rows):
+    # limits small enough to force one-day blocks and then sorted ranges
+    w = W.partitionBy("e").orderBy("d", "k")
+    want = walk.withColumns({"a": F.lead("v", 2).over(w), "c": F.lag("v", 1).over(w)})
+    got = L.shifted(walk, "e", ["d", "k"], {"a": ("v", 2), "c": ("v", -1)}, block_rows=rows)
+    assert got.count() == want.count() and got.select(want.columns).exceptAll(want).isEmpty()
+
+
 def test_shift_same_on_any_partitioning(spark, walk):
     a = L.lead_targets(walk.repartition(1), "e", ["d", "k"], ["v"], block_days=5)
     b = L.lead_targets(walk.repartition(7), "e", ["d", "k"], ["v"], block_days=5)
