@@ -6,6 +6,7 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,8 +86,11 @@ def fit_horizons(df: DataFrame, features: Sequence[str], targets: Sequence[str],
     Targets without data (or labels with one class) get no model.
     """
     start = time.perf_counter()
-    weights = fit_margin(df, features, targets, "eps", C, eps, scaled=True, **kw)
-    label_weights, platt = fit_classifier(df, features, labels, C, **kw) if labels else (weights.limit(0), {})
+    # both fits go over the same shifted rows several times
+    rows = df.select(*features, *targets, *labels).persist(StorageLevel.MEMORY_AND_DISK)
+    weights = fit_margin(rows, features, targets, "eps", C, eps, scaled=True, **kw)
+    label_weights, platt = fit_classifier(rows, features, labels, C, **kw) if labels else (weights.limit(0), {})
+    rows.unpersist()
     return HorizonModels(weights, label_weights, platt, time.perf_counter() - start)
 
 

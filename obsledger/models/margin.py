@@ -164,12 +164,12 @@ def fit_margin(df: DataFrame, features: Sequence[str], targets: Sequence[str], k
     try:
         obj = _Objective(data, p, t, kind, C, eps)
         n, gram, xy = obj.moments()
+        ridge = np.diag([1.0] * p + [0.0])
+        W = np.stack([np.linalg.lstsq(gram[i] + ridge, xy[i], rcond=None)[0] for i in range(t)])
         if kind == "eps":
-            ridge = np.diag([1.0] * p + [0.0])
-            W = np.stack([np.linalg.lstsq(gram[i] + ridge, xy[i], rcond=None)[0] for i in range(t)])
             spread = max(float(np.median([seen[c]["sd"] or 1.0 for c in usable])), 1e-9)
-        else:
-            W, spread = np.zeros((t, p + 1)), 1.0
+        else:  # least squares on labels -1 and 1
+            W, spread = 2 * W - np.eye(p + 1)[p], 1.0
         size = obj.C * np.einsum("tii->ti", gram) / np.maximum(n, 1)[:, None]
         W = _minimise(obj, W, n, size, [spread * m for m in SMOOTHING], max_iter, tol)
     finally:

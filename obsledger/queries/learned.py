@@ -140,6 +140,15 @@ def _split(spark, sf_dir):
     return hash_split(daily(spark, sf_dir), ["station", "d"])
 
 
+@query("tree_group_means", f"""WITH {DAILY}, p AS (SELECT total AS y, avg(total) OVER (PARTITION BY n_events) AS p FROM daily)
+SELECT count(*) AS n, round(avg((y - p) * (y - p)), 4) AS mse, round(1 - avg((y - p) * (y - p)) / var_pop(y), 6) AS r2 FROM p""")
+def tree_group_means(spark, sf_dir):
+    """A tree without a depth limit on one whole-number feature predicts the mean of each of its values."""
+    rows = daily(spark, sf_dir)
+    out = regression_metrics(regress.predict(regress.fit_regressor(rows, ["n_events"], "total", "tree"), rows), "total", "prediction")
+    return rounded(rounded(out, "mse"), "r2", digits=6).select("n", "mse", "r2")
+
+
 @query("tree_regression")
 def tree_regression(spark, sf_dir):
     train, test = _split(spark, sf_dir)
@@ -227,10 +236,16 @@ def kmeans_fit(spark, sf_dir):
     return clusters.assign(rows, centres, _F).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("distance2").alias("inertia"))
 
 
-@query("silhouette")
+@query("silhouette", """WITH x AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT label AS cluster, i, avg(v) AS m FROM x GROUP BY 1, 2),
+d AS (SELECT vec_id, label, cluster, sum((v - m) * (v - m)) AS d2 FROM x JOIN c USING (i) GROUP BY 1, 2, 3),
+w AS (SELECT cluster, avg(d2) AS spread, count(*) AS n FROM d WHERE label = cluster GROUP BY 1),
+p AS (SELECT vec_id, max((d2 + spread) * n / (n - 1)) FILTER (label = cluster) AS a, min(d2 + spread) FILTER (label <> cluster) AS b
+  FROM d JOIN w USING (cluster) GROUP BY 1)
+SELECT round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM p""")
 def silhouette(spark, sf_dir):
     e, names = clusters.embedding_columns(table(spark, sf_dir, "embeddings"), "embedding")
-    return spark.createDataFrame([(clusters.silhouette(e, "label", names),)], "silhouette double")
+    return spark.createDataFrame([(round(clusters.silhouette(e, "label", names), 6),)], "silhouette double")
 
 
 _DB = "s AS (SELECT event_id, value AS a, CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS b FROM events)"
