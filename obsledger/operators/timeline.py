@@ -71,20 +71,17 @@ def shifted(df: DataFrame, entity: str, order: Sequence[str], shifts: Mapping[st
         }
 
     in_block = W.partitionBy(entity, "_block").orderBy(*order)
-    whole = W.partitionBy(entity, "_block")
-    rows = (
-        in_blocks(df, entity, order, block_days, block_rows)
-        .withColumns({**moved(in_block), "_first": F.row_number().over(in_block),
-                      "_size": F.count(F.lit(1)).over(whole)})
-        .withColumn("_last", F.col("_size") - F.col("_first") + 1)
-    )
-    unsettled = (F.col("_last") <= ahead) | (F.col("_first") <= behind)
+    rows = in_blocks(df, entity, order, block_days, block_rows).withColumns({
+        **moved(in_block), "_first": F.row_number().over(in_block),
+        # missing on the last rows of a block
+        "_more": F.lead(F.lit(1), ahead).over(in_block), "_far": F.lead(F.lit(1), reach).over(in_block)})
+    unsettled = F.col("_more").isNull() | (F.col("_first") <= behind)
     settled = rows.where(~unsettled)
     # at most 2 * reach rows per (entity, block), and few blocks per entity
-    edges = rows.where((F.col("_first") <= reach) | (F.col("_last") <= reach))
+    edges = rows.where((F.col("_first") <= reach) | F.col("_far").isNull())
     across = W.partitionBy(entity).orderBy(*order)
     repaired = edges.withColumns(moved(across)).where(unsettled)
-    return settled.unionByName(repaired).drop("_block", "_first", "_size", "_last")
+    return settled.unionByName(repaired).drop("_block", "_first", "_more", "_far")
 
 
 def lead_targets(df: DataFrame, entity: str, order: Sequence[str], variables: Sequence[str],
