@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from obsledger.functions.scalars import rain_label, value_range, yesno_to_int
 from obsledger.models.margin import fit_classifier, fit_margin, margin_column, platt_column, weights_of
 from obsledger.operators.clean import add_calendar, conform, encode_code, filter_in, impute
-from obsledger.operators.timeline import lead_targets
+from obsledger.operators.timeline import lead_targets, value_ranks
 from obsledger.roles import HORIZONS, Roles
 
 
@@ -30,16 +30,10 @@ class HorizonModels:
         return sorted([*weights_of(self.weights), *weights_of(self.label_weights)])
 
 
-def entity_codes(df: DataFrame, entity: str, limit: int = 100_000) -> DataFrame:
-    """(name, code) dimension: codes follow the sorted names; stored with the model.
-
-    The codes need one order over the names, so the number of names is checked.
-    """
-    names = [r[0] for r in df.select(entity).where(F.col(entity).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(names) > limit:
-        raise ValueError(f"more than {limit} entities to number")
-    kind = df.schema[entity].dataType.simpleString()
-    return df.sparkSession.createDataFrame([(n, i) for i, n in enumerate(sorted(names))], f"name {kind}, code int")
+def entity_codes(df: DataFrame, entity: str) -> DataFrame:
+    """(name, code) dimension: codes follow the sorted names; stored with the model."""
+    names = df.select(F.col(entity).alias("name")).where(F.col("name").isNotNull()).distinct()
+    return value_ranks(names, "name", "code", desc=False).select("name", (F.col("code") - 1).cast("int").alias("code"))
 
 
 def forecast_features(df: DataFrame, roles: Roles, entities: Sequence | None = None,

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import calendar_part, season, uniform
 from obsledger.operators.stats import fitted_row, medians, modes, quantiles
+from obsledger.operators.timeline import value_ranks
+from obsledger.session import cut_lineage
 
 
 # ---- projection and filters ----------------------------------------------------
@@ -144,27 +146,47 @@ def impute_coerced_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return impute(numbers.drop(*empty), [c for c in cols if c not in empty], "mean")
 
 
-def impute_random(df: DataFrame, col: str, key: Sequence[str], seed: int = 42, max_values: int = 10_000) -> DataFrame:
+def impute_random(df: DataFrame, col: str, key: Sequence[str], seed: int = 42, max_values: int = 1000) -> DataFrame:
     """Fill a missing category with an observed one, drawn by its frequency.
 
     The draw is a hash of the row key, compared with the cumulative shares of
-    the categories (a list, refused above ``max_values``).
+    the categories: written into the plan for up to ``max_values`` categories,
+    joined by share bucket for more.
     """
-    counts = (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-                .limit(max_values + 1).collect())
-    if len(counts) > max_values:
-        raise ValueError(f"{col} has more than {max_values} values")
-    total, upto, draw = sum(r["n"] for r in counts), 0, F.lit(None).cast("string")
+    known = df.where(F.col(col).isNotNull())
+    counts = known.groupBy(col).agg(F.count(F.lit(1)).alias("n")).limit(max_values + 1).collect()
+    if not counts:
+        return df
     u = uniform(*[F.col(k) for k in key], seed, col)
-    steps = []
+    if len(counts) > max_values:
+        return _fill_from_ranges(df, known, col, u)
+    total, upto, steps = sum(r["n"] for r in counts), 0, []
     for r in sorted(counts, key=lambda r: str(r[col])):
         upto += r["n"]
         steps.append(F.struct(F.lit(upto / total).alias("upto"), F.lit(r[col]).alias("v")))
-    if steps:
-        draw = F.element_at(F.filter(F.array(*steps), lambda s: s["upto"] >= u), 1)["v"]
+    draw = F.element_at(F.filter(F.array(*steps), lambda s: s["upto"] >= u), 1)["v"]
     return df.withColumn(col, F.coalesce(F.col(col), draw))
 
 
+def _fill_from_ranges(df: DataFrame, known: DataFrame, col: str, u: Column) -> DataFrame:
+    """Draw a position among the known rows and take the category whose sorted rows cover it.
+
+    Positions are cut into as many buckets as there are categories, so a bucket
+    meets few categories whatever their number.
+    """
+    ranges = cut_lineage(value_ranks(known, col, "first", desc=False))
+    size = ranges.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("values")).first()
+    width = max(1, size["total"] // size["values"])
+    low = F.col("first") - 1
+    spans = ranges.select(F.col(col).alias("_v"), low.alias("_lo"), (low + F.col("n")).alias("_hi")).withColumn(
+        "_b", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor((F.col("_hi") - 1) / width))))
+    gaps = (df.where(F.col(col).isNull()).withColumn("_at", F.floor(u * size["total"]))
+              .withColumn("_b", F.floor(F.col("_at") / width)))
+    hit = (F.col("_at") >= F.col("_lo")) & (F.col("_at") < F.col("_hi"))
+    filled = gaps.join(spans, "_b").where(hit).withColumn(col, F.col("_v")).select(*df.columns)
+    return known.unionByName(filled)
+
+
 # ---- outliers --------------------------------------------------------------------
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:

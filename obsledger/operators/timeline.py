@@ -152,8 +152,8 @@ def cumulative(df: DataFrame, order: str, col: str, out: str) -> DataFrame:
     return df.withColumn(out, F.sum(col).over(W.orderBy(order).rowsBetween(W.unboundedPreceding, 0)))
 
 
-def rank_by(df: DataFrame, col: str, out: str = "rank", desc: bool = True, by: str | None = None) -> DataFrame:
-    """Competition rank over all rows (or inside ``by``) without one global sort task.
+def value_ranks(df: DataFrame, col: str, out: str = "rank", desc: bool = True, by: str | None = None) -> DataFrame:
+    """(.., value, rank, n) of every distinct value, without one global sort task.
 
     Distinct values are counted and spread in sorted ranges; a value's rank is
     the rows of the better ranges plus the better rows of its own range.
@@ -168,11 +168,17 @@ def rank_by(df: DataFrame, col: str, out: str = "rank", desc: bool = True, by: s
                    .select(*keys, "_b", F.coalesce(F.sum("_bc").over(better), F.lit(0)).alias("_ahead")))
     inside = (W.partitionBy(*keys, "_b").orderBy(F.desc("_v") if desc else F.asc("_v"))
                .rowsBetween(W.unboundedPreceding, -1))
-    ranked = (
+    return (
         spread.withColumn("_in", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
         .join(ahead, [*keys, "_b"])
-        .select(*keys, F.col("_v").alias(col), (F.col("_ahead") + F.col("_in") + 1).alias(out))
+        .select(*keys, F.col("_v").alias(col), (F.col("_ahead") + F.col("_in") + 1).alias(out), F.col("_c").alias("n"))
     )
+
+
+def rank_by(df: DataFrame, col: str, out: str = "rank", desc: bool = True, by: str | None = None) -> DataFrame:
+    """Add the competition rank over all rows (or inside ``by``); missing values get no rank."""
+    keys = [by] if by else []
+    ranked = value_ranks(df, col, out, desc, by).drop("n")
     return df.join(ranked, [*keys, col], "left").select(*df.columns, out)
 
 

@@ -94,6 +94,17 @@ def test_random_fill_is_stable_and_observed(spark):
     assert a == b and {r["c"] for r in a} == {"v0", "v1", "v2"}
 
 
+def test_random_fill_with_many_categories(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 4 > 0, F.when(F.col("id") % 3 == 0, "often").otherwise(
+        F.concat(F.lit("v"), F.col("id") % 50))).alias("c"))
+    out = C.impute_random(df, "c", ["id"], max_values=5)
+    assert out.count() == 3000 and out.where("c IS NULL").isEmpty()
+    assert out.join(df.where("c IS NOT NULL"), ["id", "c"]).count() == df.where("c IS NOT NULL").count()
+    assert 0.25 < out.where("id % 4 = 0").agg(F.avg((F.col("c") == "often").cast("double"))).first()[0] < 0.42
+    again = C.impute_random(df.repartition(5), "c", ["id"], max_values=5)
+    assert out.exceptAll(again).isEmpty()
+
+
 def test_clip_and_flag(spark, weather):
     hi = C.iqr_bounds(weather, ["Rainfall"]).first()["Rainfall"]["upper"]
     clipped = C.clip_upper(weather, ["Rainfall"])
