@@ -41,7 +41,7 @@ def rain_history(spark, sf_dir):
 
 
 _VIEW = """v AS (SELECT station, d, rn, total, top, n_events, rain_today FROM (
-  SELECT *, row_number() OVER (PARTITION BY station ORDER BY d) AS rn FROM daily WHERE station = {chosen}) WHERE rn <= 3)
+  SELECT *, row_number() OVER (PARTITION BY station ORDER BY d) AS rn FROM daily WHERE station = (SELECT CASE WHEN count(*) > 0 THEN {wanted} ELSE 9 END FROM daily WHERE station = {wanted})) WHERE rn <= 3)
 SELECT CAST(v.station AS VARCHAR) AS location, strftime(v.d, '%Y-%m-%d') AS date, v.total AS temperature_max, v.top AS temperature_min,
   CAST(60 AS DOUBLE) AS humidity, round(v.n_events * 3, 4) AS precipitation_score, CAST(15 AS DOUBLE) AS wind_speed,
   CASE WHEN v.rain_today = 'Yes' THEN 'Rainy' WHEN v.top > 7 THEN 'Sunny' ELSE 'Partly Cloudy' END AS weather_condition,
@@ -55,12 +55,12 @@ def _view(spark, sf_dir, location):
     return rounded(out, "precipitation_score")
 
 
-@query("latest_location_view", f"WITH {DAILY}, " + _VIEW.format(chosen=17))
+@query("latest_location_view", f"WITH {DAILY}, " + _VIEW.format(wanted=17))
 def latest_location_view(spark, sf_dir):
     return _view(spark, sf_dir, 17)
 
 
-@query("unknown_location_view", f"WITH {DAILY}, " + _VIEW.format(chosen=9))
+@query("unknown_location_view", f"WITH {DAILY}, " + _VIEW.format(wanted=-5))
 def unknown_location_view(spark, sf_dir):
     return _view(spark, sf_dir, -5)
 
