@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from obsledger.models.scale import fit_scaler, scale, scaler_values
 
 ROWS_PER_TASK = 50_000
+SMALL_PARTS = 64
 # Smoothing of the loss corner in target standard deviations, coarse to fine.
 SMOOTHING = (2.0, 0.8, 0.3, 0.1, 0.03)
 WEIGHT_SCHEMA = "target string, kind string, feature string, weight double, mean double, std double"
@@ -135,8 +136,14 @@ def _minimise(obj: _Objective, W: np.ndarray, n: np.ndarray, size: np.ndarray, m
 
 
 def _resident(df: DataFrame, n: int) -> DataFrame:
-    """Keep rows at hand for the rounds of a fit, in no more parts than their number calls for."""
-    return df.coalesce(max(1, -(-n // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
+    """Keep rows at hand for the rounds of a fit.
+
+    A small frame is first gathered into as many parts as its rows call for;
+    a large one stays spread as it is, without another shuffle.
+    """
+    parts = max(1, -(-n // ROWS_PER_TASK))
+    rows = df.repartition(parts) if parts <= SMALL_PARTS else df
+    return rows.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_margin(df: DataFrame, features: Sequence[str], targets: Sequence[str], kind: str = "eps",
