@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsledger.models.margin import _resident
 from obsledger.operators.timeline import cumulative
 
 
@@ -25,7 +25,8 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, restarts: int = 1
     Clusters are numbered by ascending centroid, so their ids do not depend on
     which restart won.
     """
-    rows = _vectors(df.dropna(subset=list(cols)), cols).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    complete = df.dropna(subset=list(cols))
+    rows = _resident(_vectors(complete, cols).select("features"), complete.count())
     try:
         fits = [KMeans(k=k, seed=seed + i).fit(rows) for i in range(restarts)]
     finally:
