@@ -8,8 +8,10 @@ parts, so chunks between blanks are encoded once for each worker and looked up a
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +19,39 @@ from pyspark.sql import DataFrame
 
 from obsledger.llm.common import process_cache
 
-CACHE_ROWS = 600_000
-TAIL = ".,;:!?|"
-# Letters below this code point are the same in all Unicode versions, and lower-casing keeps them single letters
-# (but for U+0130), so a word of such letters is one word of the tokenizer.
-PLAIN_BELOW = "ɐ"
+CHUNKS = 1_000_000  # entries that a worker remembers
+# Below U+0250 all Unicode versions agree on letters, and (but for U+0130) lower-casing maps letters to single letters.
+ODD = re.compile("[İɐ-\U0010ffff]")
+LETTERS = "a-zªµºß-öø-ÿāăąćĉċčďđēĕėęěĝğġģĥħĩīĭįıĳĵķĸĺļľŀłńņňŋōŏőœŕŗřśŝşšţťŧũūŭůűųŵŷźżžſ"
+MARKS = ".,;:!?|"
+PLAIN = re.compile(f"[{LETTERS}]+[{MARKS}]*")
+BREAK = re.compile(f"(?<=[{LETTERS}])(?=[{MARKS}])")  # the tokenizer parts the text here anyway
+
+
+class Memory(dict):
+    """Chunk -> number; unknown chunks get the next number and are noted."""
+
+    def __init__(self):
+        super().__init__({"": 0})
+        self.unknown: list[str] = []
+        self.ids, self.used = np.zeros(1 << 20, "<u4"), 0  # ids of all chunks, one after the other
+        self.start, self.size = np.zeros(CHUNKS, np.int64), np.zeros(CHUNKS, np.int64)
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        self.unknown.append(chunk)
+        return number
+
+    def add(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), "<u4")])
+        if len(self) > len(self.start):  # more chunks in one batch of texts than are kept between batches
+            more = np.zeros(2 * len(self) - len(self.start), np.int64)
+            self.start, self.size = np.concatenate([self.start, more]), np.concatenate([self.size, more])
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.start[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.size[numbers] = sizes
+        self.used += len(ids)
 
 
 class Encoder:
@@ -29,7 +59,7 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         # the word route needs ids of words that never span white space, and word ends that can be seen in the vocabulary
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -38,55 +68,58 @@ class Encoder:
         if self.by_word:
             suffix = self.tokenizer.model.end_of_word_suffix
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
+        # plain words need no normalizing and no pattern; a lighter pipeline serves if it agrees on a sample
+        self.light = self.tokenizer
+        if self.by_word:
+            light = Tokenizer(self.tokenizer.model)
+            light.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            sample = " ".join("abcdefghijklmnopqrstuvwxyzàéîõüßþœșž"[a:b] for a in range(36) for b in range(a + 1, 37, 5))
+            if self._ids(sample).tolist() == light.encode(sample).ids:
+                self.light = light
+        self.memory = Memory()
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn_words(self, words: list[str]) -> None:
-        for at in range(0, len(words), 2000):
-            some = words[at:at + 2000]
-            encoded = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
-            ids = np.array(encoded.ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else []
-            if len(stops) == len(some) and stops[-1] == len(ids):
-                raw, stops = ids.tobytes(), [0, *(4 * stops).tolist()]
-                self.words.update(zip(some, (raw[a:b] for a, b in zip(stops, stops[1:]))))
-            else:
-                self.words.update((w, self._ids(w).tobytes()) for w in some)
-
-    def _learn(self, chunks: list[str]) -> None:
-        missing = list({c for c in chunks if c not in self.chunks})
-        if len(self.chunks) + len(missing) > CACHE_ROWS:
-            self.chunks = {"": b""}
-            missing = list({c for c in chunks if c})
-        if len(self.words) > CACHE_ROWS // 2:
-            self.words = {}
-        plain, odd = [], []
-        for chunk in missing:
-            core = chunk.rstrip(TAIL)
-            lower = core.lower()
-            if core.isalpha() and lower.isalpha() and max(lower) < PLAIN_BELOW and max(core) < PLAIN_BELOW:
-                plain.append((chunk, lower, chunk[len(core):]))
+    def learn(self) -> None:
+        memory, plain, odd = self.memory, [], []
+        chunks, memory.unknown = memory.unknown, []
+        for number, chunk in enumerate(chunks, len(memory) - len(chunks)):
+            (plain if PLAIN.fullmatch(chunk) else odd).append((number, chunk))
+        for at in range(0, len(plain), 2000):
+            numbers, some = zip(*plain[at:at + 2000])
+            joined = BREAK.sub(" ", " ".join(some))
+            ids = np.array(self.light.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
+            last = np.cumsum([1 + (c[-1] in MARKS) for c in some]) - 1  # a word, and the marks behind it
+            if len(stops) == last[-1] + 1 and stops[-1] == len(ids):
+                memory.add(np.array(numbers), ids, np.diff(stops[last], prepend=0))
             else:
-                odd.append(chunk)
-        self._learn_words(list({w for _, w, _ in plain if w not in self.words}))
-        tails = {t: self._ids(t).tobytes() if t else b"" for t in {t for _, _, t in plain}}
-        self.chunks.update((c, self.words[w] + tails[t]) for c, w, t in plain)
+                odd += plain[at:at + 2000]
         if odd:
-            encoded = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
-            self.chunks.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(odd, encoded))
+            numbers, some = zip(*odd)
+            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(list(some), add_special_tokens=False)]
+            memory.add(np.array(numbers), np.array(list(chain.from_iterable(encoded)), "<u4"),
+                       np.fromiter(map(len, encoded), np.int64, len(encoded)))
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as bytes."""
         if not self.by_word:
-            return self._ids(text).tobytes()
-        chunks = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.chunks.__getitem__, chunks))
-        except KeyError:
-            self._learn(chunks)
-            return b"".join(map(self.chunks.__getitem__, chunks))
+            return [self._ids(t).tobytes() for t in texts]
+        parted = [(t if ODD.search(t) else t.lower()).replace("\n", " ").split(" ") for t in texts]
+        if len(self.memory) > CHUNKS // 2 and len(self.memory) + sum(map(len, parted)) // 4 > CHUNKS:
+            self.memory = Memory()
+        memory, words = self.memory, np.fromiter(map(len, parted), np.int64, len(parted))
+        at = np.fromiter(map(memory.__getitem__, chain.from_iterable(parted)), np.int64, int(words.sum()))
+        if memory.unknown:
+            self.learn()
+        sizes = memory.size[at]
+        stops = np.cumsum(sizes)
+        source = np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(memory.start[at] - (stops - sizes), sizes)
+        raw = memory.ids[source].tobytes()
+        cuts = [0, *(4 * np.concatenate([[0], stops])[np.cumsum(words)]).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def encoder(path: str) -> Encoder:
@@ -112,10 +145,11 @@ def pieces(docs: DataFrame, path: str, most: int, end_id: int = 0, doc_id: str =
         encode, last = encoder(path).encode, np.array([end_id], "<u4").tobytes()
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             at, piece, start, length, crc, raw = [], [], [], [], [], []
-            for row, value in enumerate(texts):
-                whole = (encode(value) if value else b"") + last
+            encoded = (e for n in range(0, len(texts), 500) for e in encode(texts[n:n + 500]))
+            for row, whole in enumerate(encoded):
+                whole += last
                 for k, a in enumerate(range(0, len(whole), 4 * most)):
                     part = whole[a:a + 4 * most]
                     at.append(row)
