@@ -29,43 +29,74 @@ from pyspark.sql import types as T
 from obsledger.llm.common import process_cache, text_hash, utf8
 from obsledger.session import cut_lineage
 
-HASHES = 400_000  # words whose hashes a worker remembers
 TILE = 1 << 20  # bytes of text that are hashed at a time
 HELD = 40 << 20  # bytes of packed strings that a map task gathers before it sends them
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 LAST = (1 << 64) - 1
+MARK_BITS = 22
+BLANKS = bytes(32 if 9 <= b <= 13 else b for b in range(256))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    import xxhash
-    cache = process_cache("word_hashes")
-    try:
-        return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-    except KeyError:
-        if len(cache) > HASHES:
-            cache.clear()
-        cache.update((w, xxhash.xxh64_intdigest(w, 7)) for w in set(words) if w not in cache)
-        return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+def tidy(text: bytes | None) -> bytes:
+    """The words of a text, parted by one blank."""
+    text = (text or b"").translate(BLANKS).strip(b" ")
+    return b" ".join(text.split()) if b"  " in text else text
 
 
-def gram_names(words: list[bytes], m: int) -> np.ndarray:
-    """63-bit names of all ``m``-word grams."""
-    h = word_hashes(words)
-    n = len(h) - m + 1
-    grams = h[:n].copy()
-    for j in range(1, m):
-        grams = (grams ^ (grams >> np.uint64(29))) * BASE + h[j:n + j]
-    return (grams ^ (grams >> np.uint64(32))) >> np.uint64(1)
+def tiles(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Consecutive texts of about TILE bytes together (a longer one alone): first, after the last."""
+    at = 0
+    while at < len(texts):
+        stop, size = at + 1, len(texts[at])
+        while stop < len(texts) and size + len(texts[stop]) < TILE:
+            size += len(texts[stop]) + 1
+            stop += 1
+        yield at, stop
+        at = stop
 
 
-def minimisers(words: list[bytes], k: int, m: int, hot: np.ndarray) -> np.ndarray:
-    """Least gram of each window; ``hot`` (sorted names) are ranked last, told by the top bit."""
-    grams = gram_names(words, m)
+class Words:
+    """Words of tidy texts that are not empty: bounds in the joined bytes, text number, and prefix sums that hash any span."""
+
+    def __init__(self, texts: list[bytes]):
+        self.joined = b" ".join(texts)
+        raw = np.frombuffer(self.joined, np.uint8)
+        up, self.down = _powers(len(raw))
+        blanks = np.flatnonzero(raw == 32)
+        self.start, self.end = np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(raw)]])
+        self.begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])[:-1]])
+        self.first = np.searchsorted(self.start, self.begin)  # each text's first word
+        self.owner = np.repeat(np.arange(len(texts)), np.diff(np.append(self.first, len(self.start))))
+        self.sums = np.zeros(len(raw) + 1, np.uint64)
+        powered = up[:len(raw)] * raw
+        powered += up[:len(raw)]
+        np.cumsum(powered, out=self.sums[1:])
+
+    def hashes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Rolling hash of the bytes from the first to the last word."""
+        a = self.start[first]
+        return (self.sums[self.end[last]] - self.sums[a]) * self.down[a]
+
+    def windows(self, k: int) -> np.ndarray:
+        """First words of all windows of ``k`` words inside one text."""
+        return np.flatnonzero(self.owner[:max(0, len(self.owner) - k + 1)] == self.owner[k - 1:])
+
+    def grams(self, m: int) -> np.ndarray:
+        """63-bit names of the ``m``-word grams at every word but the last m - 1; some cross texts."""
+        at = np.arange(len(self.start) - m + 1)
+        h = self.hashes(at, at + m - 1) * BASE
+        h = (h ^ (h >> np.uint64(29))) * INVERSE
+        return (h ^ (h >> np.uint64(32))) >> np.uint64(1)
+
+
+def minimisers(grams: np.ndarray, k: int, m: int, hot: np.ndarray, marks: np.ndarray | None) -> np.ndarray:
+    """Least gram of each window; ``hot`` (sorted names, ``marks`` by their top bits) are ranked last, told by the top bit."""
     if len(hot):
-        at = np.searchsorted(hot, grams)
+        maybe = np.flatnonzero(marks[grams >> np.uint64(63 - MARK_BITS)])
+        at = np.searchsorted(hot, grams[maybe])
         at[at == len(hot)] = 0
-        grams |= (hot[at] == grams).astype(np.uint64) << np.uint64(63)
+        grams[maybe[hot[at] == grams[maybe]]] |= np.uint64(1) << np.uint64(63)
     span, width = grams, 1
     while 2 * width <= k - m + 1:
         span, width = np.minimum(span[:-width], span[width:]), 2 * width
@@ -80,13 +111,12 @@ def true_runs(flags: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 class HeavyGrams:
-    """Gram counts of a task in bounded memory: beyond ``most`` grams those seen once so far are forgotten."""
+    """Gram counts of a task in bounded memory: a gram seen only once among ``most`` places is forgotten there."""
 
-    def __init__(self, most: int = 1 << 20):
-        self.most, self.total = most, 0
+    def __init__(self, most: int = 1 << 21):
+        self.most, self.total, self.size = most, 0, 0
         self.names, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.waiting: list[np.ndarray] = []
-        self.size = 0
 
     def add(self, grams: np.ndarray) -> None:
         self.waiting.append(grams)
@@ -97,14 +127,13 @@ class HeavyGrams:
     def settle(self) -> None:
         if not self.size:
             return
-        fresh, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+        names, counts = np.unique(np.concatenate(self.waiting), return_counts=True)
         self.total, self.waiting, self.size = self.total + self.size, [], 0
-        both = np.concatenate([self.names, fresh])
-        counts = np.concatenate([self.counts, n])
-        self.names, at = np.unique(both, return_inverse=True)
-        self.counts = np.bincount(at, weights=counts).astype(np.int64)
+        names, counts = names[counts > 1], counts[counts > 1]
+        self.names, at = np.unique(np.concatenate([self.names, names]), return_inverse=True)
+        self.counts = np.bincount(at, weights=np.concatenate([self.counts, counts])).astype(np.int64)
         if len(self.names) > self.most:
-            often = self.counts > 1
+            often = self.counts > np.median(self.counts)
             self.names, self.counts = self.names[often], self.counts[often]
 
 
@@ -126,33 +155,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return cache["tables"]
 
 
-def windows(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every window of every text (words parted by one blank): text number, first and last byte, rolling hash."""
-    found, at = [], 0
-    while at < len(texts):
-        stop, size = at, 0
-        while stop < len(texts) and (stop == at or size + len(texts[stop]) < TILE):
-            size += len(texts[stop]) + 1
-            stop += 1
-        raw = np.frombuffer(b" ".join(texts[at:stop]), np.uint8)
-        up, down = _powers(len(raw))
-        blanks = np.flatnonzero(raw == 32)
-        starts, ends = np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(raw)]])
-        bounds = np.cumsum([len(t) + 1 for t in texts[at:stop]])
-        owner = np.searchsorted(bounds, starts, side="right")
-        first = np.flatnonzero(owner[:len(owner) - k + 1] == owner[k - 1:])
-        a, b = starts[first], ends[first + k - 1]
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
-        begin = np.concatenate([[0], bounds[:-1]])[owner[first]]
-        found.append((owner[first] + at, a - begin, b - begin, (sums[b] - sums[a]) * down[a]))
-        at = stop
-    return tuple(np.concatenate(c) for c in zip(*found))
-
-
 def first_windows(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, seen first) of all windows of ``texts``, which come in the order of their places."""
-    owner, a, b, value = windows(texts, k)
+    """Bounds of each text's windows, and for every window whether it is seen first; texts come in the order of their places."""
+    found = []
+    for at, stop in tiles(texts):
+        words = Words(texts[at:stop])
+        first = words.windows(k)
+        begin = words.begin[words.owner[first]]
+        found.append((words.owner[first] + at, words.start[first] - begin, words.end[first + k - 1] - begin,
+                      words.hashes(first, first + k - 1)))
+    owner, a, b, value = (np.concatenate(c) for c in zip(*found))
     order = np.argsort(value, kind="stable")
     same = np.zeros(len(order), bool)
     same[1:] = value[order[1:]] == value[order[:-1]]
@@ -171,7 +183,7 @@ def first_windows(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
             window = texts[owner[w]][a[w]:b[w]]
             first[w] = window not in seen
             seen.add(window)
-    return owner, first
+    return np.searchsorted(owner, np.arange(len(texts) + 1)), first
 
 
 def kept_words(words: list[bytes], firsts: list[tuple[int, int]], k: int) -> list[bytes]:
@@ -201,7 +213,14 @@ def _unpack(raw: bytes, kinds: list[type]) -> tuple[list[list], int]:
     return out, at
 
 
-PLACE = [np.uint64, np.int64, np.int64]  # place of the document, hash of its text, word number
+# place of the document, 32 bits of its text's hash (to tell rows of one id apart), word number
+PLACE = [np.uint64, np.uint32, np.uint32]
+LOW = (1 << 32) - 1
+
+
+def shard_of(place: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Number that spreads documents over result groups, copies of a text too."""
+    return (place ^ (h.astype(np.uint64) << np.uint64(20))) & np.uint64((1 << 62) - 1)
 
 
 def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, hot_share: float = 1e-6, bucket_bytes: int = 8 << 20,
@@ -226,11 +245,13 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, hot_share: float =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, size = HeavyGrams(), 0
         for batch in batches:
-            for t in utf8(batch.column(0)):
-                words = (t or b"").split()
-                size += len(t or b"")
-                if len(words) >= k:
-                    heavy.add(gram_names(words, m))
+            texts = [t for t in map(tidy, utf8(batch.column(0))) if t]
+            size += sum(map(len, texts))
+            for at, stop in tiles(texts):
+                words = Words(texts[at:stop])
+                if len(words.start) >= k:
+                    inside = words.owner[:len(words.owner) - m + 1] == words.owner[m - 1:]
+                    heavy.add(words.grams(m)[inside])
         heavy.settle()
         often = heavy.counts >= max(16, heavy.total * hot_share / 2)
         names = np.concatenate([np.array([-1, -2], np.int64), heavy.names[often].astype(np.int64)])
@@ -242,43 +263,51 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, hot_share: float =
     least = max(64, hot_share * totals.get(-1, 0) / 2)
     hot = counted.where((F.col("gram") >= 0) & (F.col("n") >= least)).select("gram").collect()
     ranked_last = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in hot], np.uint64)))
+    del hot
     buckets = max(1, math.ceil(3.2 * totals.get(-2, 0) / bucket_bytes))
     shards = max(1, math.ceil(totals.get(-2, 0) / shard_bytes))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         held: dict[int, dict[bytes, tuple]] = {}
-        size, last = 0, ranked_last.value
+        size, last, marks = 0, ranked_last.value, None
+        if len(last):
+            marks = np.zeros(1 << MARK_BITS, bool)
+            marks[last >> np.uint64(63 - MARK_BITS)] = True
 
         def blobs() -> pa.RecordBatch:
-            out = [squeeze(_pack([*zip(zip(*own.values()), PLACE), ([len(p) for p in own], np.int64)], b"".join(own)))
+            out = [squeeze(_pack([*zip(zip(*own.values()), PLACE), ([len(p) for p in own], np.uint32)], b"".join(own)))
                    for own in held.values()]
             return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(out, pa.binary())],
                                               ["bucket", "blob"])
 
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)))
-            for number, h, t in rows:
-                words = (t or b"").split()
-                if len(words) < k:
+            rows = [(LAST if i is None else i + (1 << 63), h & LOW, t) for i, h, t in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist(), map(tidy, utf8(batch.column(2)))) if t]
+            for at, stop in tiles([t for _, _, t in rows]):
+                words = Words([t for _, _, t in rows[at:stop]])
+                inside = words.windows(k)
+                if not len(inside):
                     continue
-                place = LAST if number is None else number + (1 << 63)
-                minima = minimisers(words, k, m, last)
-                cuts = np.flatnonzero(minima[1:] != minima[:-1]) + 1
-                start, stop = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(minima)]])
+                minima = minimisers(words.grams(m), k, m, last, marks)[inside]
+                owner = words.owner[inside]
+                cuts = np.flatnonzero((minima[1:] != minima[:-1]) | (owner[1:] != owner[:-1])) + 1
+                start, final = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(minima)]]) - 1
                 mixed = minima[start] * BASE
-                bucket = ((mixed ^ (mixed >> np.uint64(31))) % np.uint64(buckets)).tolist()
-                joined, ends = b" ".join(words), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-                a, b = (ends[start] - list(map(len, map(words.__getitem__, start.tolist()))) - 1).tolist(), (ends[stop + k - 2] - 1).tolist()
-                for key, s, x, y in zip(bucket, start.tolist(), a, b):
-                    own, packed, at = held.setdefault(key, {}), joined[x:y], (place, h, s)
+                bucket = (mixed ^ (mixed >> np.uint64(31))) % np.uint64(buckets)
+                first, text = inside[start], owner[start]
+                columns = (bucket, text + at, first - words.first[text], words.start[first], words.end[inside[final] + k - 1])
+                joined = words.joined
+                for key, d, s, x, y in zip(*(c.tolist() for c in columns)):
+                    own, packed = held.setdefault(key, {}), joined[x:y]
+                    place, h, _ = rows[d]
                     had = own.get(packed)
                     if had is None:
                         size += y - x
-                        own[packed] = at
-                    elif at < had:
-                        own[packed] = at
+                        own[packed] = (place, h, s)
+                    elif (place, h, s) < had:
+                        own[packed] = (place, h, s)
                 if size > HELD:
                     yield blobs()
                     held, size = {}, 0
@@ -292,35 +321,39 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, hot_share: float =
         for batch in batches:
             for blob in batch.column(batch.schema.get_field_index("blob")).to_pylist():
                 raw = expand(blob)
-                (*places, sizes), at = _unpack(raw, [*PLACE, np.int64])
+                (*places, sizes), at = _unpack(raw, [*PLACE, np.uint32])
                 for place, n in zip(zip(*places), sizes):
                     packed, at = raw[at:at + n], at + n
                     had = earliest.get(packed)
                     if had is None or place < had:
                         earliest[packed] = place
         held = sorted(earliest, key=earliest.__getitem__)
-        owner, first = first_windows(held, k)
-        bounds = np.searchsorted(owner, np.arange(len(held) + 1))
-        new = np.add.reduceat(first.astype(np.int64), bounds[:-1]).tolist()
-        bounds, shard = bounds.tolist(), {}
-        for e, packed in enumerate(held):
-            if not new[e]:
-                continue
-            place, h, s = earliest[packed]
-            lo, hi = bounds[e], bounds[e + 1]
-            spans = [(0, hi - lo)] if new[e] == hi - lo else zip(*true_runs(first[lo:hi]))
-            number = -1 if place == LAST else place - (1 << 63)
-            rows = shard.setdefault((number ^ h) % shards, [])
-            rows.extend((place, h, s + x, y - x) for x, y in spans)
-        blobs = [squeeze(_pack([*zip(zip(*rows), [*PLACE, np.int64])])) for rows in shard.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(shard), pa.int64()), pa.array(blobs, pa.binary())],
-                                         ["shard", "blob"])
+        bounds, first = first_windows(held, k)
+        new = np.add.reduceat(first.astype(np.int64), bounds[:-1])
+        columns = list(zip(*map(earliest.__getitem__, held)))
+        place, h, s = (np.array(c, kind) for c, kind in zip(columns, PLACE))
+        whole = np.flatnonzero(new == np.diff(bounds))
+        rows, starts, counts = [whole], [s[whole]], [new[whole]]
+        for e in np.flatnonzero((new > 0) & (new < np.diff(bounds))).tolist():
+            x, y = true_runs(first[bounds[e]:bounds[e + 1]])
+            rows.append(np.full(len(x), e))
+            starts.append((s[e] + np.array(x)).astype(np.uint32))
+            counts.append(np.array(y) - np.array(x))
+        row, start, count = (np.concatenate(c) for c in (rows, starts, counts))
+        shard = shard_of(place[row], h[row]) % np.uint64(shards)
+        order = np.argsort(shard, kind="stable")
+        names, cuts = np.unique(shard[order], return_index=True)
+        blobs = []
+        for part in np.split(order, cuts[1:]):
+            blobs.append(squeeze(_pack([(place[row[part]], np.uint64), (h[row[part]], np.uint32),
+                                        (start[part], np.uint32), (count[part], np.uint32)])))
+        yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
         import zstandard
         expand, firsts = zstandard.ZstdDecompressor().decompress, {}
         for blob in right.column("blob").to_pylist():
-            columns, _ = _unpack(expand(blob), [*PLACE, np.int64])
+            columns, _ = _unpack(expand(blob), [*PLACE, np.uint32])
             for place, h, s, n in zip(*columns):
                 firsts.setdefault((place, h), []).append((s, n))
         texts, n_words, n_removed, digests = [], [], [], []
@@ -328,7 +361,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, hot_share: float =
                    utf8(left.column("text").combine_chunks()))
         for number, h, t in rows:
             words = (t or b"").split()
-            kept = kept_words(words, firsts.get((LAST if number is None else number + (1 << 63), h), []), k)
+            kept = kept_words(words, firsts.get((LAST if number is None else number + (1 << 63), h & LOW), []), k)
             rest = b" ".join(kept)
             n_words.append(len(words))
             n_removed.append(len(words) - len(kept))
@@ -342,7 +375,10 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, hot_share: float =
 
     firsts = (base.select("doc_id", "text_hash", "text").mapInArrow(send, "bucket long, blob binary")
               .groupBy("bucket").applyInArrow(sort_bucket, "shard long, blob binary"))
-    shard = F.pmod(F.coalesce("doc_id", F.lit(-1)).bitwiseXOR(F.col("text_hash")), F.lit(shards).cast("long"))
+    # the same number as shard_of gives
+    mixed = F.coalesce("doc_id", F.lit((1 << 63) - 1)).bitwiseXOR(
+        F.shiftleft(F.col("text_hash").bitwiseAND(LOW), 20)).bitwiseAND((1 << 62) - 1)
+    shard = F.pmod(mixed, F.lit(shards).cast("long"))
     schema = T.StructType([base.schema["other"], T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
     return base.withColumn("shard", shard).groupBy("shard").cogroup(firsts.groupBy("shard")).applyInArrow(settle, schema)
