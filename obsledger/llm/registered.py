@@ -36,6 +36,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query("op2_lattice_near_duplicates")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsledger.llm.lattice import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_simhash_near_duplicates")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from obsledger.llm.simhash import near_duplicates
@@ -51,6 +57,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "severity", "grade", "p_toxic", F.col("rejected").alias("toxic"), "rejected")
 
 
+@query("op5_compression_language")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsledger.llm.language import held_out, identify, learn
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, learn(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", F.col("lang").alias("lang_sure"))
+
+
 @query("op6_super_kmer_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from obsledger.llm.superkmer import remove_repeats
@@ -58,6 +72,27 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("other.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query("op7_training_order")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsledger.llm.trainorder import write_in_order
+    return write_in_order(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op8_improbable_digest")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsledger.llm.digest import edited_pairs
+    return edited_pairs(table(spark, sf_dir, "documents"))
+
+
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query("op9_association_url_filter")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from obsledger.llm.urlrules import judge
+    return judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), RULES)
+
+
 @query("op10_source_mixing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from obsledger.llm.mixing import mix
