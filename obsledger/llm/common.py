@@ -26,11 +26,16 @@ def fresh(df: DataFrame, *bases: str) -> list[str]:
 
 
 def process_cache(name: str) -> dict:
-    """A dict that stays in a Python worker from one task to the next; callers bound its size."""
+    """A dict that stays in a Python worker from one task to the next; callers bound its size.
+
+    A worker serves one operator after the other, so it keeps the dict of the last name only.
+    """
     holder = sys.modules.get("_obsledger_process_cache")
     if holder is None:
         holder = sys.modules["_obsledger_process_cache"] = types.ModuleType("_obsledger_process_cache")
-    return holder.__dict__.setdefault(name, {})
+    if getattr(holder, "held", (None,))[0] != name:
+        holder.held = (name, {})
+    return holder.held[1]
 
 
 def utf8(column: pa.Array) -> list:

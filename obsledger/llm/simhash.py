@@ -131,7 +131,7 @@ def candidate_counts(p: np.ndarray, rows: int, part: list[int], most: int) -> li
     return list(np.cumsum(chance[:most + 1]) * rows * rows / 2)
 
 
-PROBE_COST = 500  # what sending and sorting a probe costs, in comparisons of two fingerprints
+PROBE_COST = 200  # what sending and sorting a probe costs, in comparisons of two fingerprints
 
 
 def allocate(p: np.ndarray, rows: int, parts: list[list[int]], distance: int) -> tuple[float, list[int]]:

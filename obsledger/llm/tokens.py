@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 
 from obsledger.llm.common import process_cache
 
-CHUNKS = 1_000_000  # entries that a worker remembers
+CHUNKS = 600_000  # entries that a worker remembers
 # Below U+0250 all Unicode versions agree on letters, and (but for U+0130) lower-casing maps letters to single letters.
 ODD = re.compile("[İɐ-\U0010ffff]")
 LETTERS = "a-zªµºß-öø-ÿāăąćĉċčďđēĕėęěĝğġģĥħĩīĭįıĳĵķĸĺļľŀłńņňŋōŏőœŕŗřśŝşšţťŧũūŭůűųŵŷźżžſ"
