@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -42,6 +42,12 @@ class Memory(dict):
         self.unknown.append(chunk)
         return number
 
+    def shrink(self, n: int) -> None:
+        """Forget all but the first ``n`` chunks; frequent ones come early."""
+        for chunk in list(self)[n:]:
+            del self[chunk]
+        self.used = int((self.start[:n] + self.size[:n]).max())
+
     def add(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), "<u4")])
@@ -108,8 +114,8 @@ class Encoder:
         if not self.by_word:
             return [self._ids(t).tobytes() for t in texts]
         parted = [(t if ODD.search(t) else t.lower()).replace("\n", " ").split(" ") for t in texts]
-        if len(self.memory) > CHUNKS // 2 and len(self.memory) + sum(map(len, parted)) // 4 > CHUNKS:
-            self.memory = Memory()
+        if len(self.memory) > CHUNKS * 2 // 3 and len(self.memory) + sum(map(len, parted)) // 4 > CHUNKS:
+            self.memory.shrink(CHUNKS // 2)
         memory, words = self.memory, np.fromiter(map(len, parted), np.int64, len(parted))
         at = np.fromiter(map(memory.__getitem__, chain.from_iterable(parted)), np.int64, int(words.sum()))
         if memory.unknown:
@@ -131,25 +137,29 @@ def encoder(path: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, path: str, most: int, end_id: int = 0, doc_id: str = "doc_id", text: str = "text",
-           packed: bool = False) -> DataFrame:
-    """Pieces of at most ``most`` ids: doc_id, piece, start, length, ids_crc32 and, if ``packed``, the ids compressed.
+           width: int = 0, more: tuple[str, Callable] | None = None) -> DataFrame:
+    """Pieces of at most ``most`` ids: doc_id, piece, start, length, ids_crc32 and, with a ``width``, ids in so many bytes each.
 
-    A document's ids are those of its text (null: none) and then ``end_id``; so each row of ``docs``, repeated or
+    ``more`` adds columns in the same pass: their schema, and a function of a batch's ids and piece numbers. A document's
+    ids are those of its text (null: none) and then ``end_id``; so each row of ``docs``, repeated or
     not, gives at least one piece. A null id stays null. No rows give no pieces.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", packed binary" * packed
+    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * bool(width) + (f", {more[0]}" if more else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
         encode, last = encoder(path).encode, np.array([end_id], "<u4").tobytes()
-        squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             at, piece, start, length, crc, raw = [], [], [], [], [], []
             encoded = (e for n in range(0, len(texts), 500) for e in encode(texts[n:n + 500]))
             for row, whole in enumerate(encoded):
                 whole += last
+                if width:
+                    own = np.frombuffer(whole, "<u4")
+                    if int(own.max()) >> (8 * width):
+                        raise ValueError(f"id {own.max()} needs more than {width} bytes")
+                    narrow = own.astype(f"<u{width}").tobytes()
                 for k, a in enumerate(range(0, len(whole), 4 * most)):
                     part = whole[a:a + 4 * most]
                     at.append(row)
@@ -157,14 +167,17 @@ def pieces(docs: DataFrame, path: str, most: int, end_id: int = 0, doc_id: str =
                     start.append(a // 4)
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
-                    if packed:
-                        raw.append(squeeze(part))
+                    if width:
+                        raw.append(narrow[a // 4 * width:a // 4 * width + len(part) // 4 * width])
             columns = [ids.take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                        pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            if packed:
+            if width:
                 columns.append(pa.array(raw, pa.binary()))
-                names.append("packed")
+                names.append("ids")
+            if more:
+                columns += map(pa.array, more[1](columns[0], columns[1].to_numpy()))
+                names += [part.split()[0] for part in more[0].split(", ")]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.select(docs[doc_id], docs[text].cast("string")).mapInArrow(cut, schema)

@@ -1,10 +1,12 @@
 """Token ids as binary files in training order.
 
-Sequences are numbered from 0 without gaps; a keyed Feistel network over the next power of four, walked until it lands
-inside the range, permutes the numbers, so every sequence knows its slot without any other being known. A shard holds a
-range of slots; a slot has a fixed stride (a header and ids padded with 0), so the place of any slot is a
-product and a reader resumes by seeking. A shard is written under a temporary name and then renamed; retries write the
-same bytes.
+A sequence's number is its document's id times the most pieces that any document can have, plus its piece; a keyed Feistel
+network over the next power of four, walked until it lands inside the range of numbers, permutes them. Equal ranges of permuted numbers are
+the shards: each is sorted and written by one task, at a fixed stride (a header and ids padded with 0). A sequence's global slot is
+its place in that order, without gaps: the records of the shards before, and its place in its own. So the place of any slot is a
+product, and a reader resumes by seeking. The ids are shuffled once and kept nowhere else.
+
+A shard is written under a temporary name and then renamed; retries write the same bytes.
 
 Record: doc_id (int64, the least one for null), piece (int32), number of ids (int32), ids (uint16, or uint32 if the
 vocabulary needs it), all little-endian.
@@ -70,72 +72,75 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
-def write_in_order(docs: DataFrame, vocabulary: str, folder: str | None = None, most: int = 512, shard_slots: int = 16_384,
+def write_in_order(docs: DataFrame, vocabulary: str, folder: str | None = None, most: int = 512, shard_bytes: int = 16 << 20,
                    key: int = 20, width: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write all documents' pieces of at most ``most`` ids; one row for each with its slot, shard and byte offset.
 
     Returns (doc_id, piece, start, length, ids_crc32, slot, shard, byte_offset). A document ends with id 0; null and empty texts
-    are that id alone, repeated rows are written each. Files lie in ``folder``, or in a new folder beside the checkpoints;
-    they are written as the rows are computed. ``width`` 2 refuses ids above 65535. No rows give no rows and no files.
+    are that id alone. Rows that repeat an id (whole numbers; null is one) are written each, in the order of their ids' checksums.
+    Files of about ``shard_bytes`` lie in ``folder``, or in a new folder beside the checkpoints, and are complete when this returns.
+    ``width`` 2 refuses ids above 65535. No rows give no rows and no files.
     """
     spark = docs.sparkSession
     folder = folder or f"{checkpoint_dir(spark)}/training-order-{uuid.uuid4().hex}"
-    cut = cut_lineage(pieces(docs, vocabulary, most, doc_id=doc_id, text=text, packed=True).withColumn(
-        "at", F.monotonically_increasing_id()))
-    # a kept row's number: rows of the partitions before its own, and its place there
-    partition = F.shiftrightunsigned("at", 33)
-    counts = cut.groupBy(partition.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
-    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col("part").alias("p"), F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("before"))
-    n = cut.count()
-    numbered = cut.join(F.broadcast(offsets), partition == F.col("p")).withColumn(
-        "number", F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).drop("p", "before", "at")
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = permute(batch.column(batch.num_columns - 1).to_numpy(), n, key)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(slot), pa.array(slot // shard_slots)],
-                                             [*batch.schema.names[:-1], "slot", "shard"])
-
+    size = F.octet_length(docs[text].cast("string"))
+    low, high, longest, total = docs.agg(F.min(docs[doc_id]), F.max(docs[doc_id]), F.max(size), F.sum(size)).first()
+    # an id stands for a byte at least, so this many pieces are enough for any document
+    fold, low, high = ((longest or 0) + 1) // most + 1, low or 0, high or 0
+    span = (high - low + 2) * fold
+    if span >= 1 << 62:
+        raise ValueError("ids too far apart for one permutation; number the documents first")
+    shards = max(1, math.ceil((total or 0) / 2.5 * width / shard_bytes))
+
+    def placed(ids: pa.Array, piece: np.ndarray) -> list[np.ndarray]:
+        number = ids.cast(pa.int64()).fill_null(high + 1).to_numpy() - low
+        order = permute(number * fold + piece, span, key)
+        return [order, np.searchsorted(edges, order, side="right") - 1]
+
+    edges = np.array([span * k // shards for k in range(shards)], np.int64)
     kind = docs.schema[doc_id].dataType.simpleString()
     named = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    slotted = numbered.mapInArrow(placed, f"{named}, packed binary, slot long, shard long")
+    cut = pieces(docs, vocabulary, most, doc_id=doc_id, text=text, width=width, more=("order long, shard long", placed))
 
     def write(table: pa.Table) -> pa.Table:
-        import zstandard
-        table = table.sort_by("slot").combine_chunks()
-        record = np.dtype([("doc_id", "<i8"), ("piece", "<i4"), ("length", "<i4"), ("ids", f"<u{width}", (most,))])
+        table = table.sort_by([("order", "ascending"), ("ids_crc32", "ascending")]).combine_chunks()
+        record = np.dtype([("doc_id", "<i8"), ("piece", "<i4"), ("length", "<i4"), ("ids", f"S{most * width}")])
         out = np.zeros(table.num_rows, record)
-        ids, shard = table.column("doc_id").to_pylist(), table.column("shard")[0].as_py()
-        out["doc_id"] = [NO_ID if i is None else i for i in ids]
+        out["doc_id"] = [NO_ID if i is None else i for i in table.column("doc_id").to_pylist()]
         out["piece"], out["length"] = table.column("piece").to_numpy(), table.column("length").to_numpy()
-        expand = zstandard.ZstdDecompressor().decompress
-        for k, packed in enumerate(table.column("packed").to_pylist()):
-            own = np.frombuffer(expand(packed), "<u4")
-            if len(own) and own.max() >> (8 * width):
-                raise ValueError(f"id {own.max()} needs more than {width} bytes")
-            out["ids"][k, :len(own)] = own
+        out["ids"] = table.column("ids").to_pylist()  # shorter ones are padded with zero bytes
         system, base = _file_system(folder)
         system.create_dir(base, recursive=True)
-        final, passing = f"{base}/{shard_name(shard)}", f"{base}/.{shard_name(shard)}.{uuid.uuid4().hex}"
+        name = shard_name(table.column("shard")[0].as_py())
+        passing = f"{base}/.{name}.{uuid.uuid4().hex}"
         with system.open_output_stream(passing) as stream:
             stream.write(out.tobytes())
-        system.move(passing, final)
-        offset = pa.array((table.column("slot").to_numpy() - shard * shard_slots) * stride(most, width))
-        return table.drop_columns(["packed"]).append_column("byte_offset", offset)
+        system.move(passing, f"{base}/{name}")
+        return table.drop_columns(["ids", "order"]).append_column("place", pa.array(np.arange(table.num_rows)))
 
-    return slotted.groupBy("shard").applyInArrow(write, f"{named}, slot long, shard long, byte_offset long")
+    written = cut_lineage(cut.groupBy("shard").applyInArrow(write, f"{named}, shard long, place long"))
+    counts = written.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
+    ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select(F.col("shard").alias("s"), F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("before"))
+    # one row for each shard of shard_bytes
+    return written.join(F.broadcast(bases), F.col("shard") == F.col("s")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("place")).alias("slot"), "shard",
+        (F.col("place") * stride(most, width)).alias("byte_offset"))
 
 
-def read_from(folder: str, slot: int = 0, most: int = 512, shard_slots: int = 16_384, width: int = 2) -> Iterator[tuple]:
+def read_from(folder: str, slot: int = 0, most: int = 512, width: int = 2) -> Iterator[tuple]:
     """(slot, doc_id, piece, ids) from a slot on, shard by shard: the sequential reader of one training process."""
+    from pyarrow import fs
     system, base = _file_system(folder)
-    record, shard = stride(most, width), slot // shard_slots
-    while system.get_file_info(f"{base}/{shard_name(shard)}").type.name == "File":
-        with system.open_input_file(f"{base}/{shard_name(shard)}") as stream:
-            stream.seek((slot - shard * shard_slots) * record)
-            while raw := stream.read(record):
-                doc, (piece, n) = int(np.frombuffer(raw, "<i8", 1)[0]), np.frombuffer(raw, "<i4", 2, 8).tolist()
-                yield slot, None if doc == NO_ID else doc, piece, np.frombuffer(raw, f"<u{width}", n, 16).tolist()
-                slot += 1
-        shard += 1
+    record, at = stride(most, width), 0
+    files = sorted((f for f in system.get_file_info(fs.FileSelector(base)) if f.base_name.startswith("shard-")), key=lambda f: f.path)
+    for file in files:
+        n = file.size // record
+        if slot < at + n:
+            with system.open_input_file(file.path) as stream:
+                stream.seek((slot - at) * record)
+                while raw := stream.read(record):
+                    doc, (piece, length) = int(np.frombuffer(raw, "<i8", 1)[0]), np.frombuffer(raw, "<i4", 2, 8).tolist()
+                    yield slot, None if doc == NO_ID else doc, piece, np.frombuffer(raw, f"<u{width}", length, 16).tolist()
+                    slot += 1
+        at += n
