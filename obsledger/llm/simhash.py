@@ -249,7 +249,7 @@ def near_links(nodes: DataFrame, words: int, distance: int, most: int, bucket_ro
 
     Two nodes are near if some word of them is within ``distance`` bits and all words together within ``most``.
     """
-    count, keyed = nodes.count(), None
+    count, keyed = max(1, nodes.count()), None
     for w, name in enumerate(names(words)):
         for k, (bits, t) in enumerate(plan(bit_pairs(nodes.select(name)), count, distance)):
             value = F.col(name).bitwiseAND(F.lit(signed(sum(1 << b for b in bits))))
