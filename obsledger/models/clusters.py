@@ -46,6 +46,7 @@ def _nearest(df: DataFrame, centres: list, square, out: str, distance: str) -> D
     """Add the id and squared distance of the closest of ``centres`` [(id, numbers)]; ties go to the smaller id."""
     options = [F.struct(square(c).alias("d"), F.lit(i).alias("c")) for i, c in sorted(centres)]
     best = F.least(*options) if len(options) > 1 else options[0]
+    best = F.when(best["d"].isNotNull(), best)  # a row with a missing measure has no cluster
     return (df.withColumn("_best", best)
               .select(*df.columns, F.col("_best.c").alias(out), F.col("_best.d").alias(distance)))
 

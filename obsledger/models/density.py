@@ -214,8 +214,8 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float = 0.5, min_s
               .join(unit_number, "unit").groupBy(F.col("a").alias("pid")).agg(F.min("number").alias("border")))
     labels = (
         pts.select("pid", "x", "unit").join(unit_number, "unit", "left").join(border, "pid", "left")
-        .select("x", F.coalesce("number", "border", F.lit(-1)).alias("dbscan_cluster"))
+        .select(F.col("x").alias("_point"), F.coalesce("number", "border", F.lit(-1)).alias("dbscan_cluster"))
     )
     x = F.array(*[F.col(c).cast("double") for c in cols])
-    return (df.withColumn("x", x).join(labels, "x").drop("x")
+    return (df.withColumn("_point", x).join(labels, "_point").drop("_point")
               .withColumn("is_anomaly", (F.col("dbscan_cluster") == -1).cast("int")))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsledger.operators.stats import fitted_row, medians, quantiles, scalar_row
+from obsledger.operators.stats import fitted_row, medians, null_safe_join, quantiles, scalar_row
 from obsledger.operators.timeline import rank_by
 from obsledger.session import cut_lineage
 
@@ -94,7 +94,7 @@ def composite_risk(df: DataFrame, entity: str, weights: Mapping[str, float], inv
     spans = means.groupBy(*([by] if by else [])).agg(
         *[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(f"_{c}") for c in weights])
     if by:
-        wide = means.join(spans, by)
+        wide = null_safe_join(means, spans, [by])
         span = {c: F.col(f"_{c}") for c in weights}
     else:
         wide, span = means, {c: v for c, v in zip(weights, scalar_row(spans).values())}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsledger.operators.stats import fitted_row, quantiles, scalar_row
+from obsledger.operators.stats import fitted_row, null_safe_join, quantiles, scalar_row
 
 
 def _tall(wide: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -109,7 +109,7 @@ def quantiles_by(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[flo
     q = quantiles(df, [col], probs, by=by)
     n = df.groupBy(*by).agg(F.count(col).alias("n"))
     names = [f"p{int(round(p * 100)):02d}" for p in probs]
-    return n.join(q, list(by)).select(*by, "n", *[F.col(col)[i].alias(x) for i, x in enumerate(names)])
+    return null_safe_join(n, q, list(by)).select(*by, "n", *[F.col(col)[i].alias(x) for i, x in enumerate(names)])
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -10,6 +10,7 @@ fit again, and filters on the result can reach the scan.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,7 @@ MAX_DISTINCT = 1_000_000
 # Rows of one value bracket the driver may read to finish an exact quantile.
 MAX_ROWS = 10_000
 BUCKETS = 4096
+LARGEST = sys.float_info.max
 
 
 def scalar_row(stats: DataFrame) -> dict[str, Column]:
@@ -68,9 +70,11 @@ def quantiles(
     Without groups the ranks are narrowed down by histograms over all tasks.
     With groups Spark's exact ``percentile`` is used after a count shows that no
     group has more than ``max_distinct`` values (it holds them in one task);
-    otherwise the ranks of all groups are searched with joined histograms.
+    otherwise the ranks of all groups are searched with joined histograms. NaN is missing, infinities are ordered, and
+    a missing group key is a group.
     """
     cols, probs, by = list(cols), [float(p) for p in probs], list(by)
+    df = _known(df, cols)
     if not by:
         return _global_quantiles(df, cols, probs, max_rows)
     if _fits_one_task(df, cols, by, max_distinct):
@@ -84,7 +88,26 @@ def quantiles(
         ]).alias(c)
         for c in cols
     ]
-    return found.groupBy(*by).agg(*pick)
+    # groups without any value have missing quantiles
+    empty = F.array(*[F.lit(None).cast("double") for _ in probs])
+    every = null_safe_join(df.select(*by).distinct(), found.groupBy(*by).agg(*pick), by, "left")
+    return every.select(*by, *[F.coalesce(c, empty).alias(c) for c in cols])
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where a missing key equals a missing key; the left side's keys stay."""
+    names = {c: f"_right_{c}" for c in on}
+    other = right.withColumnsRenamed(names)
+    same = F.lit(True)
+    for c, n in names.items():
+        same = same & left[c].eqNullSafe(other[n])
+    return left.join(other, same, how).drop(*names.values())
+
+
+def _known(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """NaN is a missing value."""
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in cols
+                           if df.schema[c].dataType.typeName() in ("float", "double")})
 
 
 def _global_quantiles(df: DataFrame, cols: list[str], probs: list[float], max_rows: int) -> DataFrame:
@@ -122,8 +145,7 @@ def _global_quantiles(df: DataFrame, cols: list[str], probs: list[float], max_ro
         found = sorted(wide)
 
         def cell(v, lo, hi):
-            step = F.least(F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * BUCKETS), F.lit(BUCKETS - 1))
-            return [step.cast("int").alias("cell"), v.alias("v")]
+            return [_cell(v, F.lit(lo), F.lit(hi)).alias("cell"), v.alias("v")]
 
         cells: dict[int, list] = {}
         counted = tagged(found, cell).groupBy("i", "cell").agg(
@@ -157,11 +179,19 @@ def _global_quantiles(df: DataFrame, cols: list[str], probs: list[float], max_ro
             return F.lit(None).cast("double")
         first, last, share = ends[c, p]
         a, b = values[c, first], values[c, last]
-        return F.lit(a + (b - a) * share)
+        return F.lit(a if a == b or not share else a + (b - a) * share)
 
     return df.sparkSession.range(1).select(*[F.array(*[value(c, p) for p in probs]).alias(c) for c in cols])
 
 
+def _cell(v: Column, lo: Column, hi: Column) -> Column:
+    """Cell of a value between lo and hi; the ends have cells of their own, so a bracket always shrinks."""
+    low, high = F.greatest(lo, F.lit(-LARGEST)), F.least(hi, F.lit(LARGEST))
+    share = F.coalesce(F.try_divide(v / 2 - low / 2, high / 2 - low / 2), F.lit(0.0))
+    inner = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    return F.when(v == hi, BUCKETS).when(v == lo, -1).otherwise(inner)
+
+
 def _search_ranks(df, cols, probs, by, limit) -> DataFrame:
     """Long rows (by.., column, prob, value) by repeated histograms around the wanted ranks."""
     long = (
@@ -190,9 +220,8 @@ def _search_ranks(df, cols, probs, by, limit) -> DataFrame:
         open_ = brackets.where((F.col("inside") > limit) & (F.col("lo") < F.col("hi")))
         if open_.isEmpty():
             break
-        width = F.col("hi") - F.col("lo")
-        hits = long.join(open_, group).where(F.col("v").between(F.col("lo"), F.col("hi")))
-        cell = F.least(F.floor((F.col("v") - F.col("lo")) / width * BUCKETS), F.lit(BUCKETS - 1))
+        hits = null_safe_join(long, open_, group).where(F.col("v").between(F.col("lo"), F.col("hi")))
+        cell = _cell(F.col("v"), F.col("lo"), F.col("hi"))
         hist = hits.groupBy(*search, "position", "below", cell.alias("cell")).agg(
             F.count(F.lit(1)).alias("inside"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         # at most BUCKETS rows per searched rank
@@ -204,7 +233,7 @@ def _search_ranks(df, cols, probs, by, limit) -> DataFrame:
         )
         done = brackets.where((F.col("inside") <= limit) | (F.col("lo") >= F.col("hi")))
         brackets = cut_lineage(done.unionByName(narrowed))
-    hits = long.join(brackets, group).where(F.col("v").between(F.col("lo"), F.col("hi")))
+    hits = null_safe_join(long, brackets, group).where(F.col("v").between(F.col("lo"), F.col("hi")))
     seen = hits.groupBy(*search, "position", "below", "v").agg(F.count(F.lit(1)).alias("c"))
     # bounded by ``limit`` distinct values per searched rank
     upto = W.partitionBy(*search).orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from obsledger.functions.scalars import normal
 from obsledger.operators.clean import filter_month, filter_month_or_all
 from obsledger.operators.stats import scalar_row
-from obsledger.operators.timeline import carry_label, diff_stats
+from obsledger.operators.timeline import diff_stats
 from obsledger.roles import Roles
 
 # Noise of a bootstrapped row and of a daily step, in standard deviations.
@@ -106,10 +106,12 @@ def coherent_sequences(df: DataFrame, roles: Roles, variables: Sequence[str], en
         step = F.col(f"_step_{v}")
         change = F.when(F.col("day") == 0, F.col(v)).otherwise(
             step["mean_step"] + normal(F.col(roles.entity), F.col("day"), v, seed, "step") * step["std_step"] * STEP_NOISE)
-        walks[v] = F.when(step.isNull(), F.col(v)).otherwise(F.sum(change).over(upto))
+        known = F.first(F.col(v)).over(upto).isNotNull()  # a walk from a missing day stays missing
+        walks[v] = F.when(step.isNull(), F.col(v)).otherwise(F.when(known, F.sum(change).over(upto)))
     out = drawn.withColumns(walks).withColumn(roles.date, F.date_add(first, F.col("day")))
     if len(labels) == 2:
-        out = carry_label(out, roles.entity, [roles.date], roles.label, roles.today)
+        before = F.lag(roles.label).over(W.partitionBy(roles.entity).orderBy("day"))
+        out = out.withColumn(roles.today, F.coalesce(before, F.col(roles.today)))
     return out.select(roles.entity, roles.date, "day", *roles.measures, *others, *labels)
 
 

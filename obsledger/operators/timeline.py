@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import uniform
-from obsledger.operators.stats import scalar_row
+from obsledger.operators.stats import null_safe_join, scalar_row
 from obsledger.session import cut_lineage
 
 BLOCK_DAYS = 32
@@ -80,7 +80,9 @@ def shifted(df: DataFrame, entity: str, order: Sequence[str], shifts: Mapping[st
     # at most 2 * reach rows per (entity, block), and few blocks per entity
     edges = rows.where((F.col("_first") <= reach) | F.col("_far").isNull())
     across = W.partitionBy(entity).orderBy(*order)
-    repaired = edges.withColumns(moved(across)).where(unsettled)
+    # dealt out evenly: a union whose sides both claim the entity's partitioning lets later plans skip an exchange they need
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    repaired = edges.withColumns(moved(across)).where(unsettled).repartition(parts)
     return settled.unionByName(repaired).drop("_block", "_first", "_more", "_far")
 
 
@@ -169,8 +171,7 @@ def value_ranks(df: DataFrame, col: str, out: str = "rank", desc: bool = True, b
     inside = (W.partitionBy(*keys, "_b").orderBy(F.desc("_v") if desc else F.asc("_v"))
                .rowsBetween(W.unboundedPreceding, -1))
     return (
-        spread.withColumn("_in", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
-        .join(ahead, [*keys, "_b"])
+        null_safe_join(spread.withColumn("_in", F.coalesce(F.sum("_c").over(inside), F.lit(0))), ahead, [*keys, "_b"])
         .select(*keys, F.col("_v").alias(col), (F.col("_ahead") + F.col("_in") + 1).alias(out), F.col("_c").alias("n"))
     )
 
@@ -179,7 +180,8 @@ def rank_by(df: DataFrame, col: str, out: str = "rank", desc: bool = True, by: s
     """Add the competition rank over all rows (or inside ``by``); missing values get no rank."""
     keys = [by] if by else []
     ranked = value_ranks(df, col, out, desc, by).drop("n")
-    return df.join(ranked, [*keys, col], "left").select(*df.columns, out)
+    # a missing value meets no rank, a missing group is a group
+    return null_safe_join(df, ranked, [*keys, col], "left").select(*df.columns, out)
 
 
 def sort_limit(df: DataFrame, order: Sequence[str | Column], n: int | None = None) -> DataFrame:
