@@ -19,23 +19,22 @@ from pyspark.sql import DataFrame
 
 from obsledger.llm.common import process_cache
 
-CHUNKS = 600_000  # entries that a worker remembers
+CHUNKS = 600_000  # entries that a worker remembers, unless told otherwise
 # Below U+0250 all Unicode versions agree on letters, and (but for U+0130) lower-casing maps letters to single letters.
 ODD = re.compile("[İɐ-\U0010ffff]")
 LETTERS = "a-zªµºß-öø-ÿāăąćĉċčďđēĕėęěĝğġģĥħĩīĭįıĳĵķĸĺļľŀłńņňŋōŏőœŕŗřśŝşšţťŧũūŭůűųŵŷźżžſ"
 MARKS = ".,;:!?|"
 PLAIN = re.compile(f"[{LETTERS}]+[{MARKS}]*")
-BREAK = re.compile(f"(?<=[{LETTERS}])(?=[{MARKS}])")  # the tokenizer parts the text here anyway
 
 
 class Memory(dict):
     """Chunk -> number; unknown chunks get the next number and are noted."""
 
-    def __init__(self):
+    def __init__(self, entries: int):
         super().__init__({"": 0})
         self.unknown: list[str] = []
         self.ids, self.used = np.zeros(1 << 20, "<u4"), 0  # ids of all chunks, one after the other
-        self.start, self.size = np.zeros(CHUNKS, np.int64), np.zeros(CHUNKS, np.int64)
+        self.start, self.size = np.zeros(entries, np.int64), np.zeros(entries, np.int64)
 
     def __missing__(self, chunk: str) -> int:
         self[chunk] = number = len(self)
@@ -59,11 +58,18 @@ class Memory(dict):
         self.size[numbers] = sizes
         self.used += len(ids)
 
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the numbered chunks, one after the other, and where each one's ids end."""
+        sizes = self.size[numbers]
+        stops = np.cumsum(sizes)
+        total = int(stops[-1]) if len(stops) else 0
+        return self.ids[np.arange(total) + np.repeat(self.start[numbers] - (stops - sizes), sizes)], stops
+
 
 class Encoder:
     """Encode texts to little-endian unsigned 32-bit ids, with a bounded memory of chunks."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
@@ -83,72 +89,83 @@ class Encoder:
             sample = " ".join("abcdefghijklmnopqrstuvwxyzàéîõüßþœșž"[a:b] for a in range(36) for b in range(a + 1, 37, 5))
             if self._ids(sample).tolist() == light.encode(sample).ids:
                 self.light = light
-        self.memory = Memory()
+        self.entries, self.memory = entries, Memory(entries)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def learn(self) -> None:
-        memory, plain, odd = self.memory, [], []
-        chunks, memory.unknown = memory.unknown, []
-        for number, chunk in enumerate(chunks, len(memory) - len(chunks)):
-            (plain if PLAIN.fullmatch(chunk) else odd).append((number, chunk))
-        for at in range(0, len(plain), 2000):
-            numbers, some = zip(*plain[at:at + 2000])
-            joined = BREAK.sub(" ", " ".join(some))
-            ids = np.array(self.light.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        """Encode the unknown chunks. A word and the marks behind it are encoded apart: the tokenizer parts them anyway."""
+        # flat lists: millions of small tuples would keep the garbage collector busy
+        memory, words, odd, marked = self.memory, [], [], []
+        unknown, first = memory.unknown, len(memory) - len(memory.unknown)
+        for number, chunk in enumerate(unknown, first):  # words and marks not met alone are appended
+            if not PLAIN.fullmatch(chunk):
+                odd.append(number)
+            elif chunk[-1] in MARKS:
+                word = chunk.rstrip(MARKS)
+                marked += number, memory[word], memory[chunk[len(word):]]
+            else:
+                words.append(number)
+        memory.unknown = []
+        for at in range(0, len(words), 2000):
+            numbers = words[at:at + 2000]
+            text = " ".join([unknown[n - first] for n in numbers])
+            ids = np.array(self.light.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
-            last = np.cumsum([1 + (c[-1] in MARKS) for c in some]) - 1  # a word, and the marks behind it
-            if len(stops) == last[-1] + 1 and stops[-1] == len(ids):
-                memory.add(np.array(numbers), ids, np.diff(stops[last], prepend=0))
+            if len(stops) == len(numbers) and stops[-1] == len(ids):
+                memory.add(np.array(numbers), ids, np.diff(stops, prepend=0))
             else:
-                odd += plain[at:at + 2000]
-        if odd:
-            numbers, some = zip(*odd)
-            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(list(some), add_special_tokens=False)]
+                odd += numbers
+        for at in range(0, len(odd), 2000):
+            numbers = odd[at:at + 2000]
+            encoded = [e.ids for e in self.tokenizer.encode_batch_fast([unknown[n - first] for n in numbers], add_special_tokens=False)]
             memory.add(np.array(numbers), np.array(list(chain.from_iterable(encoded)), "<u4"),
                        np.fromiter(map(len, encoded), np.int64, len(encoded)))
+        if marked:
+            parts = np.array(marked).reshape(-1, 3)
+            ids, stops = memory.gather(parts[:, 1:].ravel())
+            memory.add(parts[:, 0], ids, np.diff(stops[1::2], prepend=0))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes."""
         if not self.by_word:
             return [self._ids(t).tobytes() for t in texts]
         parted = [(t if ODD.search(t) else t.lower()).replace("\n", " ").split(" ") for t in texts]
-        if len(self.memory) > CHUNKS * 2 // 3 and len(self.memory) + sum(map(len, parted)) // 4 > CHUNKS:
-            self.memory.shrink(CHUNKS // 2)
+        if len(self.memory) > self.entries * 2 // 3 and len(self.memory) + sum(map(len, parted)) // 4 > self.entries:
+            self.memory.shrink(self.entries // 2)
         memory, words = self.memory, np.fromiter(map(len, parted), np.int64, len(parted))
         at = np.fromiter(map(memory.__getitem__, chain.from_iterable(parted)), np.int64, int(words.sum()))
         if memory.unknown:
             self.learn()
-        sizes = memory.size[at]
-        stops = np.cumsum(sizes)
-        source = np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(memory.start[at] - (stops - sizes), sizes)
-        raw = memory.ids[source].tobytes()
+        ids, stops = memory.gather(at)
+        raw = ids.tobytes()
         cuts = [0, *(4 * np.concatenate([[0], stops])[np.cumsum(words)]).tolist()]
         return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, entries: int = CHUNKS) -> Encoder:
     """The worker's encoder of a vocabulary file."""
     cache = process_cache("encoders")
-    if path not in cache:
-        cache[path] = Encoder(path)
-    return cache[path]
+    if (path, entries) not in cache:
+        cache.clear()
+        cache[path, entries] = Encoder(path, entries)
+    return cache[path, entries]
 
 
 def pieces(docs: DataFrame, path: str, most: int, end_id: int = 0, doc_id: str = "doc_id", text: str = "text",
-           width: int = 0, more: tuple[str, Callable] | None = None) -> DataFrame:
+           width: int = 0, more: tuple[str, Callable] | None = None, entries: int = CHUNKS) -> DataFrame:
     """Pieces of at most ``most`` ids: doc_id, piece, start, length, ids_crc32 and, with a ``width``, ids in so many bytes each.
 
     ``more`` adds columns in the same pass: their schema, and a function of a batch's ids and piece numbers. A document's
     ids are those of its text (null: none) and then ``end_id``; so each row of ``docs``, repeated or
-    not, gives at least one piece. A null id stays null. No rows give no pieces.
+    not, gives at least one piece. A null id stays null. No rows give no pieces. A worker remembers ``entries`` chunks.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * bool(width) + (f", {more[0]}" if more else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = encoder(path).encode, np.array([end_id], "<u4").tobytes()
+        encode, last = encoder(path, entries).encode, np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             at, piece, start, length, crc, raw = [], [], [], [], [], []

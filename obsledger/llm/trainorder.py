@@ -73,13 +73,13 @@ def shard_name(shard: int) -> str:
 
 
 def write_in_order(docs: DataFrame, vocabulary: str, folder: str | None = None, most: int = 512, shard_bytes: int = 16 << 20,
-                   key: int = 20, width: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                   key: int = 20, width: int = 2, entries: int = 1_000_000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write all documents' pieces of at most ``most`` ids; one row for each with its slot, shard and byte offset.
 
     Returns (doc_id, piece, start, length, ids_crc32, slot, shard, byte_offset). A document ends with id 0; null and empty texts
     are that id alone. Rows that repeat an id (whole numbers; null is one) are written each, in the order of their ids' checksums.
     Files of about ``shard_bytes`` lie in ``folder``, or in a new folder beside the checkpoints, and are complete when this returns.
-    ``width`` 2 refuses ids above 65535. No rows give no rows and no files.
+    ``width`` 2 refuses ids above 65535. A worker remembers the ids of ``entries`` chunks of text. No rows give no rows and no files.
     """
     spark = docs.sparkSession
     folder = folder or f"{checkpoint_dir(spark)}/training-order-{uuid.uuid4().hex}"
@@ -100,7 +100,7 @@ def write_in_order(docs: DataFrame, vocabulary: str, folder: str | None = None,
     edges = np.array([span * k // shards for k in range(shards)], np.int64)
     kind = docs.schema[doc_id].dataType.simpleString()
     named = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    cut = pieces(docs, vocabulary, most, doc_id=doc_id, text=text, width=width, more=("order long, shard long", placed))
+    cut = pieces(docs, vocabulary, most, doc_id=doc_id, text=text, width=width, more=("order long, shard long", placed), entries=entries)
 
     def write(table: pa.Table) -> pa.Table:
         table = table.sort_by([("order", "ascending"), ("ids_crc32", "ascending")]).combine_chunks()
@@ -108,7 +108,7 @@ def write_in_order(docs: DataFrame, vocabulary: str, folder: str | None = None,
         out = np.zeros(table.num_rows, record)
         out["doc_id"] = [NO_ID if i is None else i for i in table.column("doc_id").to_pylist()]
         out["piece"], out["length"] = table.column("piece").to_numpy(), table.column("length").to_numpy()
-        out["ids"] = table.column("ids").to_pylist()  # shorter ones are padded with zero bytes
+        out["ids"] = table.column("ids").to_numpy()  # shorter ones are padded with zero bytes
         system, base = _file_system(folder)
         system.create_dir(base, recursive=True)
         name = shard_name(table.column("shard")[0].as_py())
