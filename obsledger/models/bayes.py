@@ -42,20 +42,22 @@ def _likelihood(fitted, features: Sequence[str]) -> Column:
     total = F.lit(fitted["constant"])
     for i, f in enumerate(features):
         gap = F.col(f) - fitted["mean"][i]
-        total = total - gap * gap / (2 * fitted["var"][i])
+        if fitted["var"][i]:  # a measure without any spread tells nothing
+            total = total - gap * gap / (2 * fitted["var"][i])
     return total
 
 
 def predict_bayes(df: DataFrame, params: DataFrame, features: Sequence[str],
                   label_out: str = "prediction", prob_out: str = "probability") -> DataFrame:
-    """Add the predicted class and P(class 1). A tie goes to class 0."""
-    log_terms = sum((F.log(2 * F.pi() * F.col("var")[i]) for i in range(len(features))), F.lit(0.0))
+    """Add the predicted class and P(class 1). A tie goes to class 0. Without any fitted class both are missing."""
+    spread = [F.col("var")[i] for i in range(len(features))]
+    log_terms = sum((F.when(v == 0, 0.0).otherwise(F.log(2 * F.pi() * v)) for v in spread), F.lit(0.0))
     ready = params.select("class", "mean", "var", (F.log("share") - log_terms * 0.5).alias("constant"))
     fitted = {r["class"]: r for r in ready.collect()}  # one row per class
     if len(fitted) == 2:
         prob = 1 / (1 + F.exp(_likelihood(fitted[0], features) - _likelihood(fitted[1], features)))
-    else:  # only one class was ever seen
-        prob = F.lit(float(next(iter(fitted))))
+    else:  # only one class was ever seen, or none
+        prob = F.lit(float(next(iter(fitted))) if fitted else None).cast("double")
     return df.withColumn(prob_out, prob).withColumn(label_out, (F.col(prob_out) > 0.5).cast("int"))
 
 

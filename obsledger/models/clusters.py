@@ -128,8 +128,12 @@ def project(df: DataFrame, loadings: DataFrame) -> DataFrame:
 
 
 def embedding_columns(df: DataFrame, vector: str, prefix: str = "v") -> tuple[DataFrame, list[str]]:
-    """Array column to one double column per position (the width is read from one row)."""
-    width = len(df.select(vector).first()[0])
+    """Array column to one double column per position; vectors of different widths are refused, missing ones stay missing."""
+    size = F.when(F.col(vector).isNotNull(), F.size(vector))
+    narrow, width = df.agg(F.min(size), F.max(size)).first()
+    if narrow != width:
+        raise ValueError(f"{vector} has vectors of {narrow} to {width} numbers")
+    width = width or 0
     names = [f"{prefix}{i}" for i in range(width)]
     return df.select(*[c for c in df.columns if c != vector],
                      *[F.col(vector)[i].cast("double").alias(n) for i, n in enumerate(names)]), names

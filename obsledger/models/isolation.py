@@ -7,12 +7,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsledger.operators.stats import fitted_row, quantiles
+from obsledger.session import cut_lineage
 
 FOREST_SCHEMA = "tree int, node int, feature int, split double, left int, right int, size int, depth int, sample int"
 
@@ -49,23 +49,22 @@ def fit_iforest(df: DataFrame, key: Sequence[str], cols: Sequence[str], trees: i
                 seed: int = 42) -> DataFrame:
     """Forest rows, at most trees x (2 * sample - 1).
 
-    A row enters the sample of a tree when its hash is small; the ``sample``
-    smallest hashes are kept, so the draw depends on the row key only. Each
-    tree is grown from its own at most ``sample`` rows.
+    A row enters the sample of a tree when its hash for that tree is small; the
+    ``sample`` smallest hashes are kept, so the draw depends on the row key only
+    and is the same at every size. Rows are copied only for the trees that drew
+    them. Each tree is grown from its own at most ``sample`` rows.
     """
     x = F.array(*[F.col(c).cast("double") for c in cols])
     rows = df.dropna(subset=list(cols)).select(*key, x.alias("x"))
     n = rows.count()
     wanted = 2 * sample + 64  # drawn per tree before the smallest ``sample`` hashes are kept
-    if n > 2 * wanted * trees:
-        # many rows: every row is a candidate of one tree only, one hash per row
-        drawn = (rows.withColumn("tree", F.pmod(F.xxhash64(*key, F.lit(seed), F.lit("tree")), F.lit(trees)).cast("int"))
-                     .withColumn("h", F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 40)))
-                     .where(F.col("h") < wanted * trees / n * float(1 << 40)))
-    else:
-        numbered = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        drawn = (numbered.withColumn("h", F.pmod(F.xxhash64(*key, F.col("tree"), F.lit(seed)), F.lit(1 << 40)))
-                         .where(F.col("h") < min(1.0, wanted / max(n, 1)) * float(1 << 40)))
+    below = int(min(1.0, wanted / max(n, 1)) * (1 << 40))
+
+    def hashed(tree):
+        return F.pmod(F.xxhash64(*key, tree, F.lit(seed)), F.lit(1 << 40))
+
+    hits = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: hashed(t) < below)
+    drawn = rows.withColumn("tree", F.explode(hits)).withColumn("h", hashed(F.col("tree")))
     order = W.partitionBy("tree").orderBy("h", *key)
     chosen = (drawn.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= sample)
                    .select("tree", "rn", "x"))
@@ -86,7 +85,7 @@ def score_rows(df: DataFrame, forest: DataFrame, cols: Sequence[str], out: str =
     """Add the forest's score -2^(-mean path / expected path): nearer to -1 is more isolated.
 
     The forest is at most trees x 511 small rows; every task walks whole
-    batches through all trees.
+    batches through all trees. A row with a missing measure gets no score.
     """
     spark = df.sparkSession
     trees = []
@@ -115,13 +114,15 @@ def score_rows(df: DataFrame, forest: DataFrame, cols: Sequence[str], out: str =
             expected += float(_average_path(size))
         return pd.Series(-np.power(2.0, -total / max(expected, 1e-12)))
 
-    return df.withColumn(out, score(F.array(*[F.col(c).cast("double") for c in cols])))
+    x = [F.col(c).cast("double") for c in cols]
+    known = F.forall(F.array(*x), lambda v: v.isNotNull() & ~F.isnan(v))
+    return df.withColumn(out, F.when(known, score(F.array(*x))))
 
 
 def detect(df: DataFrame, forest: DataFrame, cols: Sequence[str], contamination: float = 0.05) -> DataFrame:
     """Add ``anomaly_score`` (negative = anomalous) and ``is_anomaly`` for about the share ``contamination``."""
     # the threshold takes a few counting passes: rows are walked through the trees once
-    scored = score_rows(df, forest, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = cut_lineage(score_rows(df, forest, cols))
     cut = fitted_row(quantiles(scored, ["raw_score"], [contamination]))["raw_score"][0]
     return (scored.withColumn("anomaly_score", F.col("raw_score") - cut).drop("raw_score")
                   .withColumn("is_anomaly", (F.col("anomaly_score") < 0).cast("int")))

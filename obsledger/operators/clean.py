@@ -12,6 +12,9 @@ from obsledger.operators.stats import fitted_row, medians, modes, quantiles
 from obsledger.operators.timeline import value_ranks
 from obsledger.session import cut_lineage
 
+# Buckets that random fills are joined by, at least.
+FILL_BUCKETS = 4096
+
 
 # ---- projection and filters ----------------------------------------------------
 
@@ -87,10 +90,10 @@ def encode_code(df: DataFrame, col: str, dim: DataFrame, code: str, default: int
 
 
 def categories(df: DataFrame, col: str, limit: int = 1000) -> list:
-    """Sorted categories for one-hot columns; refuses a column with more than ``limit`` of them."""
+    """Sorted categories for wide one-hot columns; refuses more than ``limit`` columns (``one_hot_index`` has no limit)."""
     rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} categories: index it instead of one-hot columns")
+        raise ValueError(f"{col} has more than {limit} categories: use one_hot_index or name the values")
     return sorted(r[0] for r in rows)
 
 
@@ -102,6 +105,19 @@ def one_hot(df: DataFrame, col: str, values: Sequence | None = None, drop_first:
     return df.select(*[c for c in df.columns if c != col], *hot)
 
 
+def one_hot_index(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """Sparse one-hot form for any number of categories: ``out`` is the position of the hot column, from 0.
+
+    Positions follow the sorted categories and are numbered in sorted ranges
+    over all tasks. A missing category has no hot column.
+    """
+    out = out or f"{col}_index"
+    places = value_ranks(df.select(col).distinct(), col, "_place", desc=False).select(
+        F.col(col).alias("_value"), (F.col("_place") - 1).alias("_place"))
+    return df.join(places, F.col(col) == F.col("_value"), "left").select(
+        *[c for c in df.columns if c != out], F.col("_place").alias(out))
+
+
 # ---- imputation ------------------------------------------------------------------
 
 def fit_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "median") -> DataFrame:
@@ -146,37 +162,21 @@ def impute_coerced_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return impute(numbers.drop(*empty), [c for c in cols if c not in empty], "mean")
 
 
-def impute_random(df: DataFrame, col: str, key: Sequence[str], seed: int = 42, max_values: int = 1000) -> DataFrame:
+def impute_random(df: DataFrame, col: str, key: Sequence[str], seed: int = 42) -> DataFrame:
     """Fill a missing category with an observed one, drawn by its frequency.
 
-    The draw is a hash of the row key, compared with the cumulative shares of
-    the categories: written into the plan for up to ``max_values`` categories,
-    joined by share bucket for more.
+    A hash of the row key draws a position among the known rows; the category
+    whose sorted rows cover it is taken. Positions are cut into at least
+    ``FILL_BUCKETS`` buckets and as many as there are categories, so the join
+    spreads whatever their number. Without any known row nothing is filled.
     """
     known = df.where(F.col(col).isNotNull())
-    counts = known.groupBy(col).agg(F.count(F.lit(1)).alias("n")).limit(max_values + 1).collect()
-    if not counts:
-        return df
-    u = uniform(*[F.col(k) for k in key], seed, col)
-    if len(counts) > max_values:
-        return _fill_from_ranges(df, known, col, u)
-    total, upto, steps = sum(r["n"] for r in counts), 0, []
-    for r in sorted(counts, key=lambda r: str(r[col])):
-        upto += r["n"]
-        steps.append(F.struct(F.lit(upto / total).alias("upto"), F.lit(r[col]).alias("v")))
-    draw = F.element_at(F.filter(F.array(*steps), lambda s: s["upto"] >= u), 1)["v"]
-    return df.withColumn(col, F.coalesce(F.col(col), draw))
-
-
-def _fill_from_ranges(df: DataFrame, known: DataFrame, col: str, u: Column) -> DataFrame:
-    """Draw a position among the known rows and take the category whose sorted rows cover it.
-
-    Positions are cut into as many buckets as there are categories, so a bucket
-    meets few categories whatever their number.
-    """
     ranges = cut_lineage(value_ranks(known, col, "first", desc=False))
     size = ranges.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("values")).first()
-    width = max(1, size["total"] // size["values"])
+    if not size["values"]:
+        return df
+    u = uniform(*[F.col(k) for k in key], seed, col)
+    width = max(1, size["total"] // max(size["values"], FILL_BUCKETS))
     low = F.col("first") - 1
     spans = ranges.select(F.col(col).alias("_v"), low.alias("_lo"), (low + F.col("n")).alias("_hi")).withColumn(
         "_b", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor((F.col("_hi") - 1) / width))))

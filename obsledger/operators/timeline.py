@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import uniform
-from obsledger.operators.stats import null_safe_join, scalar_row
+from obsledger.operators.stats import null_safe_join
 from obsledger.session import cut_lineage
 
 BLOCK_DAYS = 32
@@ -197,14 +197,12 @@ def hash_split(df: DataFrame, key: Sequence[str], test_size: float = 0.2, seed:
     return df.where(u >= test_size), df.where(u < test_size)
 
 
-def cap_rows(df: DataFrame, key: Sequence[str], threshold: int = 50_000, ratio: float = 0.3,
-             seed: int = 42) -> DataFrame:
-    """The whole frame up to ``threshold`` rows, else a hashed share ``ratio`` of it.
+def sample_rows(df: DataFrame, key: Sequence[str], ratio: float = 0.3, seed: int = 42) -> DataFrame:
+    """A hashed share ``ratio`` of the rows, at every size.
 
     This is the opt-in training sample; fits run on all rows by default.
     """
-    n = scalar_row(df.agg(F.count(F.lit(1)).alias("n")))["n"]
-    return df.where((n <= threshold) | (uniform(*[F.col(k) for k in key], seed, "cap") < ratio))
+    return df.where(uniform(*[F.col(k) for k in key], seed, "cap") < ratio)
 
 
 def split_point(df: DataFrame, entity: str, date: str, key: str, test_size: float = 0.2,
@@ -213,6 +211,7 @@ def split_point(df: DataFrame, entity: str, date: str, key: str, test_size: floa
 
     Works down in three counted steps (entities, days of one entity, keys of
     one day), so nothing larger than ``max_rows`` groups is ordered in one task.
+    Missing values come first, as in a sort.
     """
     n = df.count()
     want = int(n * (1 - test_size))
@@ -223,7 +222,7 @@ def split_point(df: DataFrame, entity: str, date: str, key: str, test_size: floa
         groups = narrowed.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
         value, before = _value_at(groups, want, max_rows)
         ends.append(value)
-        narrowed, want = narrowed.where(F.col(col) == F.lit(value)), want - before
+        narrowed, want = narrowed.where(F.col(col).eqNullSafe(F.lit(value))), want - before
     return tuple(ends)
 
 
@@ -233,7 +232,7 @@ def _value_at(groups: DataFrame, want: int, max_rows: int):
     while groups.count() > max_rows:
         # split the ordered groups at about 1000 hashed values and keep the part holding the row
         share = min(1.0, 1000.0 / groups.count())
-        cuts = [r["v"] for r in groups.where(uniform(F.col("v"), "cut") < share).select("v").orderBy("v").collect()]
+        cuts = [r["v"] for r in groups.where(F.col("v").isNotNull() & (uniform(F.col("v"), "cut") < share)).select("v").orderBy("v").collect()]
         if not cuts:
             break
         part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("v")))
@@ -245,7 +244,7 @@ def _value_at(groups: DataFrame, want: int, max_rows: int):
                 if low is not None:
                     groups = groups.where(F.col("v") >= F.lit(low))
                 if high is not None:
-                    groups = groups.where(F.col("v") < F.lit(high))
+                    groups = groups.where((F.col("v") < F.lit(high)) | F.col("v").isNull())
                 break
             before += r["c"]
     w = W.orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from obsledger.models import margin, regress
 from obsledger.operators.evaluate import regression_metrics
 from obsledger.operators.reshape import metrics_long
-from obsledger.operators.timeline import cap_rows, hash_split
+from obsledger.operators.timeline import hash_split, sample_rows
 from obsledger.plans.prepare import regression_input
 
 SCORES = ("mse", "rmse", "mae", "r2")
@@ -19,15 +19,15 @@ MODEL_NAMES = {"ols": "LinearRegression", "multiple": "MultipleRegression", "tre
 
 def run_regressions(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str], run_id: str,
                     kinds: Sequence[str] = ("ols", "tree", "forest", "svr"),
-                    params: Mapping[str, Mapping] | None = None, sample_svr: bool = False) -> DataFrame:
-    """Metric rows of the chosen learners on a hashed 80 / 20 split."""
+                    params: Mapping[str, Mapping] | None = None, svr_share: float = 1.0) -> DataFrame:
+    """Metric rows of the chosen learners on a hashed 80 / 20 split; ``svr_share`` below 1 fits the SVR on that share."""
     rows = regression_input(df, features, target, keys)
     train, test = hash_split(rows, keys)
     out = None
     for kind in kinds:
         extra = dict((params or {}).get(kind, {}))
         if kind == "svr":
-            pool = cap_rows(train, keys) if sample_svr else train
+            pool = sample_rows(train, keys, svr_share) if svr_share < 1 else train
             weights = margin.fit_svr(pool, features, target, **extra)
             scored = margin.predict_margin(test, weights, "_hat").withColumnRenamed(f"{target}_hat", "prediction")
         else:

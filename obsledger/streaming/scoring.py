@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from obsledger.models.bayes import predict_bayes
-from obsledger.session import checkpoint_dir
 
 
 def arriving(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
@@ -21,15 +20,16 @@ def arriving(spark: SparkSession, path: str, schema: StructType, fmt: str = "par
 
 
 def score_arriving(rows: DataFrame, params: DataFrame, features: Sequence[str], out_path: str,
-                   name: str = "scores") -> StreamingQuery:
+                   progress: str | None = None) -> StreamingQuery:
     """Append scored rows to parquet, processing all files present, then stop.
 
-    The query's progress is kept in the shared checkpoint folder.
+    The query's progress is kept in the folder ``progress``, by default beside
+    the batches, so a later session goes on where this one stopped.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         scored = predict_bayes(batch, params, features)
         scored.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")  # a repeated batch replaces itself
 
-    place = f"{checkpoint_dir(rows.sparkSession)}/stream-{name}"
+    place = progress or f"{out_path}/_progress"
     return (rows.writeStream.foreachBatch(write).option("checkpointLocation", place)
                 .trigger(availableNow=True).start())

@@ -5,8 +5,10 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from obsledger.models.clusters import assign
+from obsledger.models.bayes import fit_bayes, predict_bayes
+from obsledger.models.clusters import assign, embedding_columns
 from obsledger.models.density import dbscan
+from obsledger.models.isolation import detect, fit_iforest
 from obsledger.operators.aggregate import composite_risk
 from obsledger.operators.profile import quantiles_by
 from obsledger.operators.stats import quantiles
@@ -62,3 +64,25 @@ def test_sequences_of_any_number_of_entities(spark, entities):
     assert len(out) == 4 * entities and all(r.v is None or 900 < r.v < 1200 for r in out)
     by = {(r.e, r.day): r for r in out}
     assert all(by[e, d].today == by[e, d - 1].label for e, d in by if d and by[e, d - 1].label)
+
+
+def test_vectors_of_different_widths_are_refused(spark):
+    frame = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (3, [1.0, 2.0, 3.0])], "id long, v array<double>")
+    with pytest.raises(ValueError):
+        embedding_columns(frame, "v")
+    wide, names = embedding_columns(frame.where("id < 3"), "v")
+    assert names == ["v0", "v1"] and wide.where("v0 IS NULL").count() == 1
+
+
+def test_bayes_without_classes_or_spread(spark):
+    frame = spark.createDataFrame([(1.0, 0), (1.0, 1), (1.0, 1)], "x double, y int")
+    got = predict_bayes(frame, fit_bayes(frame, ["x"], "y"), ["x"]).first()
+    assert got["probability"] == pytest.approx(2 / 3) and got["prediction"] == 1
+    nothing = predict_bayes(frame, fit_bayes(frame.where("y > 1"), ["x"], "y"), ["x"]).first()
+    assert nothing["probability"] is None and nothing["prediction"] is None
+
+
+def test_forest_leaves_rows_without_measures_unscored(spark):
+    frame = spark.range(500).select("id", F.when(F.col("id") != 7, F.rand(1)).alias("x"), F.rand(2).alias("y"))
+    out = detect(frame, fit_iforest(frame, ["id"], ["x", "y"], trees=10, sample=32), ["x", "y"]).collect()
+    assert len(out) == 500 and [r["id"] for r in out if r["is_anomaly"] is None] == [7]

@@ -97,11 +97,11 @@ def test_random_fill_is_stable_and_observed(spark):
 def test_random_fill_with_many_categories(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") % 4 > 0, F.when(F.col("id") % 3 == 0, "often").otherwise(
         F.concat(F.lit("v"), F.col("id") % 50))).alias("c"))
-    out = C.impute_random(df, "c", ["id"], max_values=5)
+    out = C.impute_random(df, "c", ["id"])
     assert out.count() == 3000 and out.where("c IS NULL").isEmpty()
     assert out.join(df.where("c IS NOT NULL"), ["id", "c"]).count() == df.where("c IS NOT NULL").count()
     assert 0.25 < out.where("id % 4 = 0").agg(F.avg((F.col("c") == "often").cast("double"))).first()[0] < 0.42
-    again = C.impute_random(df.repartition(5), "c", ["id"], max_values=5)
+    again = C.impute_random(df.repartition(5), "c", ["id"])
     assert out.exceptAll(again).isEmpty()
 
 
@@ -137,6 +137,14 @@ def test_one_hot_refuses_wide_columns(spark):
         C.categories(spark.range(20).select(F.col("id").cast("string").alias("c")), "c", limit=10)
 
 
+def test_one_hot_index_numbers_any_width(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 7 > 0, F.format_string("v%05d", F.col("id") % 1500)).alias("c"))
+    out = C.one_hot_index(df, "c", "place")
+    assert out.columns == ["id", "c", "place"] and out.count() == 3000
+    names = sorted({r["c"] for r in df.collect() if r["c"]})
+    assert all(r["place"] == (names.index(r["c"]) if r["c"] else None) for r in out.collect())
+
+
 def test_default_calendar_uses_date_when_there(spark):
     df = spark.createDataFrame([(dt.date(2024, 3, 1),)], "Date date")
     assert rows(C.default_calendar(df), "Date") == [(dt.date(2024, 3, 1), 3, 61)]

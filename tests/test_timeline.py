@@ -95,9 +95,20 @@ def test_hash_split_is_a_stable_partition(spark, walk):
     assert train.exceptAll(train2).isEmpty() and 70 < test.count() < 170
 
 
-def test_cap_rows_only_above_threshold(spark, walk):
-    assert L.cap_rows(walk, ["k"], threshold=600).count() == 600
-    assert 120 < L.cap_rows(walk, ["k"], threshold=599).count() < 240
+def test_sample_rows_takes_one_share_at_every_size(spark, walk):
+    assert 120 < L.sample_rows(walk, ["k"], 0.3).count() < 240
+    small = walk.where("k < 300")
+    assert L.sample_rows(small, ["k"], 0.3).exceptAll(L.sample_rows(walk, ["k"], 0.3)).isEmpty()
+
+
+@pytest.mark.parametrize("limit", [10**6, 20])
+def test_positional_split_orders_missing_values_first(spark, walk, limit):
+    holes = walk.select(F.when(F.col("k") % 2 > 0, F.col("e")).alias("e"), F.when(F.col("k") % 3 > 0, F.col("d")).alias("d"), "k")
+    w = W.orderBy("e", "d", "k")
+    for test_size in (0.2, 0.55, 0.9):
+        out = L.positional_split(holes, "e", "d", "k", test_size, max_rows=limit)
+        want = holes.withColumn("is_train", (F.row_number().over(w) <= int(600 * (1 - test_size))).cast("int"))
+        assert out.select(want.columns).exceptAll(want).isEmpty() and out.count() == 600
 
 
 def test_carry_label(spark):
