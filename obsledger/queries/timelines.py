@@ -258,3 +258,71 @@ def parquet_roundtrip(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", F.year("o_orderdate").alias("version"))
     write_table(o, path, partition_by=["version"])
     return read_table(spark, path).where("version >= 2000")
+
+
+@query("csv_roundtrip", """SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal,
+  CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS c_mktsegment FROM customer""")
+def csv_roundtrip(spark, sf_dir):
+    """Write a CSV table whose missing values read NA, and read it with a given schema."""
+    from obsledger.session import checkpoint_dir
+    from obsledger.sources.files import read_observations, write_table
+    path = f"{checkpoint_dir(spark)}/customers-{uuid.uuid4()}"
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("c_mktsegment"))
+    write_table(c.select(*[F.coalesce(F.col(n).cast("string"), F.lit("NA")).alias(n) for n in c.columns]), path, "csv")
+    return read_observations(spark, path, c.schema)
+
+
+@query("json_roundtrip", """SELECT o_custkey, count(*) AS n, sum(CAST(round(o_totalprice * 100) AS BIGINT))::BIGINT AS cents
+FROM orders GROUP BY o_custkey""")
+def json_roundtrip(spark, sf_dir):
+    """Write one JSON document per customer and day with its orders, read the documents and sum what they hold."""
+    from obsledger.session import checkpoint_dir
+    from obsledger.sources.files import read_doc, write_doc
+    path = f"{checkpoint_dir(spark)}/order-documents-{uuid.uuid4()}"
+    o = table(spark, sf_dir, "orders")
+    docs = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("day")).agg(
+        F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("orders"))  # one customer's orders of one day
+    write_doc(docs, path)
+    lines = read_doc(spark, path, docs.schema).select("o_custkey", F.explode("orders").alias("o"))
+    cents = F.round(F.col("o.o_totalprice") * 100).cast("long")
+    return lines.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum(cents).alias("cents"))
+
+
+@query("hash_split_whole", "SELECT o_orderkey, CAST(1 AS BIGINT) AS n, true AS one_side FROM orders")
+def hash_split_whole(spark, sf_dir):
+    """Both sides of the hashed split together: every order once, on one side, also after other partitions."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    train, test = L.hash_split(o, ["o_orderkey"])
+    again, _ = L.hash_split(o.repartition(7), ["o_orderkey"])
+    sides = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    moved = again.withColumn("side", F.lit("train")).withColumn("new", F.lit(0))
+    both = sides.withColumn("new", F.lit(1)).unionByName(moved)
+    return both.groupBy("o_orderkey").agg(F.sum("new").alias("n"), (F.count_distinct("side") == 1).alias("one_side"))
+
+
+@query("one_hot_index", """SELECT p_partkey, p_name, dense_rank() OVER (ORDER BY p_name) - 1 AS place FROM part""")
+def one_hot_index(spark, sf_dir):
+    from obsledger.operators.clean import one_hot_index as index
+    return index(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", "place")
+
+
+@query("dedup_columns", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def dedup_columns(spark, sf_dir):
+    from obsledger.operators.clean import dedup_columns as dedup
+    s = table(spark, sf_dir, "supplier")
+    return dedup(s.select("s_suppkey", "s_name", "s_acctbal", F.lit(0).alias("s_name"), F.lit("x").alias("s_suppkey")))
+
+
+@query("params_roundtrip", """SELECT CAST(o_orderstatus = 'F' AS INTEGER) AS class, count(*) AS n,
+  round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1""")
+def params_roundtrip(spark, sf_dir):
+    """Fit naive Bayes, store its parameters, load them and return them."""
+    from obsledger.models.bayes import fit_bayes
+    from obsledger.session import checkpoint_dir
+    from obsledger.sources.files import load_params, save_model
+    path = f"{checkpoint_dir(spark)}/bayes-{uuid.uuid4()}"
+    o = table(spark, sf_dir, "orders").select("o_totalprice", (F.col("o_orderstatus") == "F").cast("int").alias("late"))
+    save_model(fit_bayes(o, ["o_totalprice"], "late"), path)
+    return load_params(spark, path).select("class", "n", F.round(F.col("mean")[0], 4).alias("mean"))
