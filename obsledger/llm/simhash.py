@@ -12,6 +12,9 @@ back a spanning forest of the verified links and never the pairs. Part values sh
 nodes are split: for distances up to 2 their fingerprints write down all values within one bit of themselves and
 meet there (two fingerprints within 2 bits always do, and such a midpoint has at most 65 neighbours, so the work
 stays in proportion to the rows); for larger distances the bucket becomes a grid of blocks, each a group of its own.
+
+With a least Jaccard similarity (``least``) the plan is fixed instead, whatever the rows are: all bits of all words are
+dealt twice into parts of 12, and nodes that share one part's value meet. A pair's fate depends on no other row.
 """
 
 from __future__ import annotations
@@ -65,6 +68,29 @@ def fingerprint(text: bytes | None, shingle: int = 3, words: int = 1) -> list[in
     return [int.from_bytes(bits[8 * w:8 * w + 8], "big") for w in range(words)]
 
 
+def apart(least: float) -> float:
+    """Chance that a bit of two texts' fingerprints differs at a Jaccard similarity of ``least``, at most."""
+    return math.acos(2 * least / (1 + least)) / math.pi
+
+
+def bit_limit(least: float, words: int) -> int:
+    """Bits apart that a pair at ``least`` stays within, but for 3.5 standard deviations."""
+    q, n = apart(least), BITS * words
+    return min(n, math.ceil(n * q + 3.5 * math.sqrt(n * q * (1 - q))))
+
+
+def fixed_parts(words: int, width: int = 12, deals: int = 2) -> np.ndarray:
+    """Bit numbers of each part: ``deals`` dealings of all bits, each in another order."""
+    n = BITS * words
+    orders = [np.arange(n) * step % n for step in (1, 37, 83, 155)[:deals]]  # odd steps reach every bit
+    return np.concatenate([order[:n // width * width].reshape(-1, width) for order in orders])
+
+
+def recall(least: float, parts: np.ndarray) -> float:
+    """Estimated share of pairs at a Jaccard similarity of ``least`` that share a part's value, bits independent."""
+    return 1 - (1 - (1 - apart(least)) ** parts.shape[1]) ** len(parts)
+
+
 def names(words: int) -> list[str]:
     return [f"f{w}" for w in range(words)]
 
@@ -176,14 +202,10 @@ def forest(words: np.ndarray, probes: np.ndarray, homes: np.ndarray, most: int,
     left, right = [], []
     for at in range(0, len(probes), block):
         some = words[probes[at:at + block]]
-        apart = np.bitwise_count(some[:, :1] ^ words[homes, 0][None, :])
-        i, j = np.nonzero(apart <= most)
-        if words.shape[1] > 1:
-            total = apart[i, j].astype(np.int64)
-            for w in range(1, words.shape[1]):
-                total += np.bitwise_count(some[i, w] ^ words[homes[j], w])
-            near = total <= most
-            i, j = i[near], j[near]
+        total = np.bitwise_count(some[:, :1] ^ words[homes, 0][None, :]).astype(np.uint16)
+        for w in range(1, words.shape[1]):
+            total += np.bitwise_count(some[:, w:w + 1] ^ words[homes, w][None, :])
+        i, j = np.nonzero(total <= most)
         i, j = probes[at + i], homes[j]
         other = i != j
         left.append(i[other])
@@ -276,8 +298,40 @@ def near_links(nodes: DataFrame, words: int, distance: int, most: int, bucket_ro
             pairs = first.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y")).where(
                 F.bit_count(F.col("x.f0").bitwiseXOR(F.col("y.f0"))) <= most).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         return links.union(pairs.where("a != b"))
+    return bucket_links(gridded(keyed, crowded, words, bucket_rows), words, most)
+
+
+def fixed_keys(nodes: DataFrame, words: int) -> DataFrame:
+    """key, node, role, f0, ... for every node and part of ``fixed_parts``."""
+    parts = fixed_parts(words)
+    worth = 1 << np.arange(parts.shape[1])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                some = batch.slice(at, 1000)
+                raw = np.stack([some.column(n).to_numpy() for n in names(words)], axis=1)
+                bits = np.unpackbits(raw.astype(">i8").view(np.uint8).reshape(len(some), -1), axis=1)
+                keys = (bits[:, parts] @ worth + np.arange(len(parts)) * (1 << parts.shape[1])).ravel()
+                each = np.repeat(np.arange(len(some)), len(parts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.astype(np.int64)), pa.array(some.column("node").to_numpy()[each]), pa.array(np.full(len(keys), 2, np.int8)),
+                     *[pa.array(raw[each, w]) for w in range(words)]], ["key", "node", "role", *names(words)])
+
+    return nodes.select("node", *names(words)).mapInArrow(deal, "key long, node long, role byte, " + ", ".join(f"{n} long" for n in names(words)))
+
+
+def fixed_links(nodes: DataFrame, words: int, most: int, bucket_rows: int) -> DataFrame:
+    """Links (a, b) that connect the nodes which share a part of ``fixed_parts`` and differ in at most ``most`` bits."""
+    keyed = fixed_keys(nodes, words)
+    crowded = cut_lineage(keyed.groupBy("key").count().where(F.col("count") > bucket_rows))
+    return bucket_links(keyed if crowded.isEmpty() else gridded(keyed, crowded, words, bucket_rows), words, most)
+
+
+def gridded(keyed: DataFrame, crowded: DataFrame, words: int, bucket_rows: int) -> DataFrame:
+    """``keyed`` with the keys of ``crowded`` (key, count) as grids of blocks."""
     # AQE keeps this join's skew apart: one side has a row for each crowded key
-    grid = keyed.join(crowded, "key").withColumn("n", F.ceil(F.col("count") / bucket_rows).cast("int"))
+    calm, grid = keyed.join(crowded, "key", "left_anti"), keyed.join(crowded, "key").withColumn("n", F.ceil(F.col("count") / bucket_rows).cast("int"))
     every, columns = F.explode(F.sequence(F.lit(0), F.col("n") - 1)), ["node", "role", *names(words)]
     as_home = grid.where("role = 2").withColumn("role", F.lit(0).cast("byte")).withColumn(
         "h", F.pmod(F.xxhash64("node", F.lit(1)), "n").cast("int")).withColumn("p", every)
@@ -285,17 +339,18 @@ def near_links(nodes: DataFrame, words: int, distance: int, most: int, bucket_ro
         "p", F.pmod(F.xxhash64("node", F.lit(2)), "n").cast("int")).withColumn("h", every)
     cells = as_home.select(F.xxhash64("key", "h", "p").alias("key"), *columns).union(
         as_probe.select(F.xxhash64("key", "h", "p").alias("key"), *columns))
-    return bucket_links(calm.union(cells), words, most)
+    return calm.union(cells)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, words: int = 1,
-                    distance: int = 2, most: int | None = None, bucket_rows: int = 4000) -> DataFrame:
+                    distance: int = 2, most: int | None = None, bucket_rows: int = 4000, least: float | None = None) -> DataFrame:
     """(doc_id, text_hash, f0, ..., component_id, first): one row for each row of ``docs``.
 
     Documents are linked if some word of their fingerprints differs in at most ``distance`` bits and all words together in
     at most ``most`` (default: ``distance``). component_id is the least doc_id reachable by links, the row's own
     included (null only if all ids of the component are null). Texts without words, null ones too, have fingerprint 0 and
-    are linked like any other. Repeated rows give repeated results. ``first`` holds for rows with the component's
+    are linked like any other. With ``least`` (a Jaccard similarity of shingles), documents are linked by the fixed plan
+    for it instead. Repeated rows give repeated results. ``first`` holds for rows with the component's
     least (doc_id, text_hash), the one document that stays. No rows give no rows.
     """
     columns = names(words)
@@ -304,7 +359,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = prints.groupBy(*columns).agg(F.min(ranked).alias("least"))
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()) if words > 1
                           else classes.withColumn("node", F.col("f0")))
-    links = near_links(classes.select("node", *columns), words, distance, distance if most is None else most, bucket_rows)
+    nodes = classes.select("node", *columns)
+    links = (near_links(nodes, words, distance, distance if most is None else most, bucket_rows) if least is None
+             else fixed_links(nodes, words, bit_limit(least, words) if most is None else most, bucket_rows))
     roots = components(links, "a", "b").toDF("linked", "root")
     rooted = classes.join(roots, classes["node"] == roots["linked"], "left").select(
         *columns, "least", F.coalesce("root", "node").alias("root"))

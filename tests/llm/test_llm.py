@@ -174,6 +174,23 @@ def test_near_copies_go_and_others_stay(spark):
     assert set(range(40)) <= kept and len(kept) <= 41
 
 
+def planted_prints(pairs, seed=0):
+    """Fingerprints of ``pairs`` pairs with bits apart as at Jaccard 0.8, signed; row k belongs to row pairs + k."""
+    rng = np.random.default_rng(seed)
+    one = rng.random((pairs, 256)) < 0.5
+    both = np.concatenate([one, one ^ (rng.random((pairs, 256)) < simhash.apart(0.8))])
+    return np.packbits(both, axis=1).view(">i8").astype(np.int64)
+
+
+def test_parts_reach_pairs_at_the_threshold(spark):
+    parts = simhash.fixed_parts(4)
+    assert simhash.recall(0.8, parts) >= 0.99 and all(len(set(p)) == 12 for p in parts.tolist())
+    rows = planted_prints(1500).tolist()
+    nodes = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "node long, f0 long, f1 long, f2 long, f3 long")
+    links = {(min(r), max(r)) for r in simhash.fixed_links(nodes, 4, simhash.bit_limit(0.8, 4), 4000).collect()}
+    assert len(links) >= 0.99 * 1500 and all(b == a + 1500 for a, b in links)
+
+
 def test_lattice_points_are_nearest():
     rng = np.random.default_rng(0)
     x = rng.normal(0, 2, (400, 8))
