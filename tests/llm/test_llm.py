@@ -191,6 +191,16 @@ def test_parts_reach_pairs_at_the_threshold(spark):
     assert len(links) >= 0.99 * 1500 and all(b == a + 1500 for a, b in links)
 
 
+def test_a_pair_meets_whatever_the_other_rows_are(spark):
+    rows, names = planted_prints(400).tolist(), "node long, f0 long, f1 long, f2 long, f3 long"
+    rng = np.random.default_rng(9)
+    skewed = np.packbits(rng.random((6000, 256)) < 0.2, axis=1).view(">i8").astype(np.int64).tolist()
+    few = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], names)
+    many = spark.createDataFrame([(k, *r) for k, r in enumerate(rows + skewed)], names)
+    found = [{(min(r), max(r)) for r in simhash.fixed_links(f, 4, 42, b).collect() if max(r) < 800 and r.a != r.b} for f, b in ((few, 4000), (many, 4000), (many, 30))]
+    assert found[0] and found[0] == found[1] == found[2]
+
+
 def test_lattice_points_are_nearest():
     rng = np.random.default_rng(0)
     x = rng.normal(0, 2, (400, 8))
