@@ -20,7 +20,7 @@ dealt twice into parts of 12, and nodes that share one part's value meet. A pair
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -46,28 +46,48 @@ def mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def fingerprint(text: bytes | None, shingle: int = 3, words: int = 1) -> list[int]:
-    """SimHash of ASCII-lower-cased words' shingles, repeats included; fewer words than a shingle: all as one.
-
-    A bit is 1 if it is set in over half of the shingles' hashes (XXH64, seed 42). No words: all bits 0.
-    """
+def shingle_hashes(text: bytes | None, shingle: int = 3) -> Iterator[np.ndarray]:
+    """XXH64 (seed 42) of ASCII-lower-cased words' shingles, some at a time; fewer words than a shingle: all as one."""
     from itertools import repeat
 
     import xxhash
     split = (text or b"").lower().split()
-    if not split:
-        return [0] * words
-    counts, n = np.zeros(BITS * words, np.int64), max(1, len(split) - shingle + 1)
+    n = max(1, len(split) - shingle + 1) if split else 0
     for at in range(0, n, 1 << 18):
         stop = min(at + (1 << 18), n)
         some = [b" ".join(split)] if n == 1 else map(b" ".join, zip(*(split[at + k:stop + k] for k in range(shingle))))
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, some, repeat(42)), np.uint64, stop - at)
-        raw = np.stack([mixed(hashes, w) for w in range(words)], axis=1).astype(">u8").view(np.uint8)
-        counts += np.unpackbits(raw.reshape(-1, 8 * words), axis=1).sum(axis=0, dtype=np.int64)
+        yield np.fromiter(map(xxhash.xxh64_intdigest, some, repeat(42)), np.uint64, stop - at)
+
+
+def distinct_shingles(text: bytes | None, shingle: int = 3) -> np.ndarray:
+    """Hashes of the different shingles, ascending."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, shingle)]))
+
+
+def majority(parts: Iterable[np.ndarray], words: int) -> list[int]:
+    """Words whose bits are 1 if set in over half of the hashes; none: all bits 0."""
+    counts, n = np.zeros(BITS * words, np.int64), 0
+    for hashes in parts:
+        for at in range(0, len(hashes), 1 << 18):
+            some = hashes[at:at + (1 << 18)]
+            raw = np.stack([mixed(some, w) for w in range(words)], axis=1).astype(">u8").view(np.uint8)
+            counts += np.unpackbits(raw.reshape(-1, 8 * words), axis=1).sum(axis=0, dtype=np.int64)
+            n += len(some)
     bits = np.packbits(counts * 2 > n).tobytes()
     return [int.from_bytes(bits[8 * w:8 * w + 8], "big") for w in range(words)]
 
 
+def fingerprint(text: bytes | None, shingle: int = 3, words: int = 1) -> list[int]:
+    """SimHash of the shingles, repeats included. A bit is 1 if it is set in over half of their hashes."""
+    return majority(shingle_hashes(text, shingle), words)
+
+
+def set_fingerprint(text: bytes | None, shingle: int, words: int) -> list[int]:
+    """SimHash of the different shingles, and behind it a number for their set (0 if there are none)."""
+    hashes = distinct_shingles(text, shingle)
+    return [*majority([hashes], words), int(mixed(hashes, 7).sum(dtype=np.uint64))]
+
+
 def apart(least: float) -> float:
     """Chance that a bit of two texts' fingerprints differs at a Jaccard similarity of ``least``, at most."""
     return math.acos(2 * least / (1 + least)) / math.pi
@@ -95,20 +115,24 @@ def names(words: int) -> list[str]:
     return [f"f{w}" for w in range(words)]
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, words: int = 1) -> DataFrame:
-    """(doc_id, text_hash, f0, f1, ...) of every row; text_hash is Spark's hash of the text, to name rows by."""
-    kind = docs.schema[doc_id].dataType.simpleString()
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, words: int = 1,
+                 sets: bool = False) -> DataFrame:
+    """(doc_id, text_hash, f0, f1, ...) of every row; text_hash is Spark's hash of the text, to name rows by.
+
+    ``sets``: of the different shingles, with a column shingles that numbers their set.
+    """
+    kind, made = docs.schema[doc_id].dataType.simpleString(), names(words) + ["shingles"] * sets
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(t, shingle, words) for t in utf8(batch.column(2))], np.uint64).reshape(-1, words)
-            columns = [pa.array(np.ascontiguousarray(prints[:, w]).view(np.int64)) for w in range(words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns],
-                                             ["doc_id", "text_hash", *names(words)])
+            prints = np.array([set_fingerprint(t, shingle, words) if sets else fingerprint(t, shingle, words)
+                               for t in utf8(batch.column(2))], np.uint64).reshape(-1, len(made))
+            columns = [pa.array(np.ascontiguousarray(prints[:, w]).view(np.int64)) for w in range(len(made))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "text_hash", *made])
 
     value = docs[text].cast("string")
     return docs.select(docs[doc_id], text_hash(value).alias("text_hash"), value).mapInArrow(
-        hashed, f"doc_id {kind}, text_hash long, " + ", ".join(f"{n} long" for n in names(words)))
+        hashed, f"doc_id {kind}, text_hash long, " + ", ".join(f"{n} long" for n in made))
 
 
 def bit_pairs(prints: DataFrame) -> np.ndarray:
@@ -223,8 +247,66 @@ def forest(words: np.ndarray, probes: np.ndarray, homes: np.ndarray, most: int,
     return linked, label[linked]
 
 
-def bucket_links(rows: DataFrame, words: int, most: int) -> DataFrame:
-    """(a, b): a spanning forest of the links inside each key; rows: key, node, role (0 home, 1 probe, 2 both), f0, ..."""
+def meetings(words: np.ndarray, node: np.ndarray, probes: np.ndarray, homes: np.ndarray, most: int,
+             block: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, sort) node by node: sort 0 connects the rows within ``most`` bits, 1 to 4 are some of those pairs.
+
+    Of each probe's near homes these are the nearest, that of the least node, and two drawn by a hash of the pair.
+    """
+    root, out = np.arange(len(words)), []
+    mark = [mixed(node.astype(np.uint64), w) for w in (1, 2)]
+    for at in range(0, len(probes), block):
+        rows = probes[at:at + block]
+        total = np.zeros((len(rows), len(homes)), np.uint16)
+        for w in range(words.shape[1]):
+            total += np.bitwise_count(words[rows, w][:, None] ^ words[homes, w][None, :])
+        near = (total <= most) & (node[rows][:, None] != node[homes][None, :])
+        some = near.any(axis=1)
+        if not some.any():
+            continue
+        rows, near, total = rows[some], near[some], total[some]
+        scores = [total.astype(np.uint64), np.broadcast_to(node[homes].astype(np.uint64), near.shape)]
+        for k, score in enumerate(scores + [(m[rows][:, None] ^ m[homes][None, :]) * np.uint64(GOLDEN) for m in mark]):
+            to = homes[np.where(near, score, np.uint64((1 << 64) - 1)).argmin(axis=1)]
+            out.append((node[rows], node[to], np.full(len(rows), k + 1)))
+        i, j = np.nonzero(near)
+        i, j = rows[i], homes[j]
+        while True:
+            a, b = root[i], root[j]
+            other = a != b
+            if not other.any():
+                break
+            i, j, a, b = i[other], j[other], a[other], b[other]
+            up = np.arange(len(words))
+            np.minimum.at(up, np.maximum(a, b), np.minimum(a, b))
+            while (up[up] != up).any():
+                up = up[up]
+            root = up[root]
+    moved = np.flatnonzero(root != np.arange(len(words)))
+    out.append((node[moved], node[root[moved]], np.zeros(len(moved), np.int64)))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def across(words: np.ndarray, node: np.ndarray, label: np.ndarray, probes: np.ndarray, homes: np.ndarray, most: int,
+           block: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, 5): all pairs of a probe and a home within ``most`` bits whose labels differ."""
+    out = [(np.zeros(0, np.int64),) * 2]
+    for at in range(0, len(probes), block):
+        rows = probes[at:at + block]
+        total = np.zeros((len(rows), len(homes)), np.uint16)
+        for w in range(words.shape[1]):
+            total += np.bitwise_count(words[rows, w][:, None] ^ words[homes, w][None, :])
+        i, j = np.nonzero((total <= most) & (label[rows][:, None] != label[homes][None, :]) & (node[rows][:, None] < node[homes][None, :]))
+        out.append((node[rows[i]], node[homes[j]]))
+    a, b = (np.concatenate(x) for x in zip(*out))
+    return a, b, np.full(len(a), 5)
+
+
+def bucket_links(rows: DataFrame, words: int, most: int, how: str = "forest") -> DataFrame:
+    """(a, b): a spanning forest of the links inside each key; rows: key, node, role (0 home, 1 probe, 2 both), f0, ...
+
+    ``how``: "meetings" or "across" (by a column label) give (a, b, sort) of those functions instead.
+    """
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settled(part: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -232,17 +314,29 @@ def bucket_links(rows: DataFrame, words: int, most: int) -> DataFrame:
             key, node, role = (part.column(c).to_numpy() for c in ("key", "node", "role"))
             prints = np.stack([part.column(n).to_numpy() for n in names(words)], axis=1).view(np.uint64)
             cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
-            a, b = [], []
+            label = part.column("label").to_numpy() if how == "across" else None
+            a, b, sort = [], [], []
             for g in np.flatnonzero(np.diff(cuts) > 1):
                 lo, hi = cuts[g], cuts[g + 1]
                 probes, homes = np.flatnonzero(role[lo:hi] > 0), np.flatnonzero(role[lo:hi] != 1)
-                if len(probes) and len(homes):
-                    linked, label = forest(prints[lo:hi], probes, homes, most)
-                    other = linked != label
+                if not (len(probes) and len(homes)):
+                    continue
+                if how == "forest":
+                    linked, least = forest(prints[lo:hi], probes, homes, most)
+                    other = linked != least
                     a.append(node[lo + linked[other]])
-                    b.append(node[lo + label[other]])
+                    b.append(node[lo + least[other]])
+                    continue
+                found = (meetings(prints[lo:hi], node[lo:hi], probes, homes, most) if how == "meetings"
+                         else across(prints[lo:hi], node[lo:hi], label[lo:hi], probes, homes, most))
+                for to, what in zip((a, b, sort), found):
+                    to.append(what)
+                if sum(map(len, a)) > 500_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b, sort)], ["a", "b", "sort"])
+                    a, b, sort = [], [], []
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b, sort) if x],
+                                                 ["a", "b", "sort"][:2 if how == "forest" else 3])
 
         waiting: list[pa.RecordBatch] = []
         size = 0
@@ -263,7 +357,8 @@ def bucket_links(rows: DataFrame, words: int, most: int) -> DataFrame:
         if waiting:
             yield from settled(pa.Table.from_batches(waiting))
 
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(match, "a long, b long")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(
+        match, "a long, b long" if how == "forest" else "a long, b long, sort long")
 
 
 def near_links(nodes: DataFrame, words: int, distance: int, most: int, bucket_rows: int) -> DataFrame:
@@ -302,8 +397,8 @@ def near_links(nodes: DataFrame, words: int, distance: int, most: int, bucket_ro
 
 
 def fixed_keys(nodes: DataFrame, words: int) -> DataFrame:
-    """key, node, role, f0, ... for every node and part of ``fixed_parts``."""
-    parts = fixed_parts(words)
+    """key, node, role, f0, ... (and label, if there is one) for every node and part of ``fixed_parts``."""
+    parts, more = fixed_parts(words), names(words) + ["label"] * ("label" in nodes.columns)
     worth = 1 << np.arange(parts.shape[1])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,23 +411,76 @@ def fixed_keys(nodes: DataFrame, words: int) -> DataFrame:
                 each = np.repeat(np.arange(len(some)), len(parts))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.astype(np.int64)), pa.array(some.column("node").to_numpy()[each]), pa.array(np.full(len(keys), 2, np.int8)),
-                     *[pa.array(raw[each, w]) for w in range(words)]], ["key", "node", "role", *names(words)])
+                     *[pa.array(some.column(n).to_numpy()[each]) for n in more]], ["key", "node", "role", *more])
 
-    return nodes.select("node", *names(words)).mapInArrow(deal, "key long, node long, role byte, " + ", ".join(f"{n} long" for n in names(words)))
+    return nodes.select("node", *more).mapInArrow(deal, "key long, node long, role byte, " + ", ".join(f"{n} long" for n in more))
 
 
-def fixed_links(nodes: DataFrame, words: int, most: int, bucket_rows: int) -> DataFrame:
+def fixed_links(nodes: DataFrame, words: int, most: int, bucket_rows: int, how: str = "forest") -> DataFrame:
     """Links (a, b) that connect the nodes which share a part of ``fixed_parts`` and differ in at most ``most`` bits."""
     keyed = fixed_keys(nodes, words)
     crowded = cut_lineage(keyed.groupBy("key").count().where(F.col("count") > bucket_rows))
-    return bucket_links(keyed if crowded.isEmpty() else gridded(keyed, crowded, words, bucket_rows), words, most)
+    return bucket_links(keyed if crowded.isEmpty() else gridded(keyed, crowded, words, bucket_rows), words, most, how)
+
+
+def alike(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs (a, b) whose texts' sets of shingles have a Jaccard similarity of ``least`` or more; texts: node, text."""
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets: dict[int, np.ndarray] = {}
+
+            def of(node: int, text: bytes | None, sets: dict[int, np.ndarray] = sets) -> np.ndarray:
+                if node not in sets:
+                    if len(sets) >= 500:
+                        sets.clear()
+                    sets[node] = distinct_shingles(text, shingle)
+                return sets[node]
+
+            good = []
+            for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), utf8(batch.column(3))):
+                one, two = of(a, x), of(b, y)
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                good.append(both >= least * (len(one) + len(two) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    joined = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    return joined.mapInArrow(verified, "a long, b long")
+
+
+def verified_links(docs: DataFrame, doc_id: str, text: str, classes: DataFrame, words: int, shingle: int, least: float,
+                   most: int, bucket_rows: int) -> DataFrame:
+    """Links (a, b) with the components of all pairs that meet, differ in at most ``most`` bits and are ``least`` alike.
+
+    First up to four pairs a node are verified; their components become labels. Where nodes connected by meeting have
+    more than one label, all their pairs of different labels are verified, too. classes: node, f0, ..., least (of ids).
+    """
+    columns = names(words)
+    met = cut_lineage(fixed_links(classes.select("node", *columns), words, most, bucket_rows, "meetings").groupBy("a", "sort").agg(
+        F.collect_set(F.when(F.col("sort") == 0, F.col("b"))).alias("to"),
+        F.min_by("b", F.when(F.col("sort") != 2, F.xxhash64(F.least("a", "b"), F.greatest("a", "b"), F.col("sort"))).otherwise(F.col("b"))).alias("b")))
+    group = components(met.where("sort = 0").select("a", F.explode("to").alias("b")), "a", "b")
+    h, i, j, n = (f"_{x}_of_node" for x in "hijn")
+    named = classes.join(group, "node", "left_semi").select(
+        F.col("least.d").alias(i), F.col("least.h").alias(j), F.col("node").alias(n))
+    hashed = docs.select(docs[doc_id].alias("d"), text_hash(docs[text].cast("string")).alias(h), docs[text].cast("string").alias("t"))
+    texts = cut_lineage(hashed.join(named, hashed["d"].eqNullSafe(named[i]) & (hashed[h] == named[j]))
+                        .dropDuplicates(["d", h, n]).select(F.col(n).alias("node"), F.col("t").alias("text")))
+    pairs = met.where("sort > 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = cut_lineage(alike(pairs, texts, shingle, least))
+    label = components(links, "a", "b").toDF("node", "own")
+    labelled = cut_lineage(group.join(label, "node", "left").select("node", F.col("root").alias("met"), F.coalesce("own", "node").alias("label")))
+    open_ = labelled.groupBy("met").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("met")
+    left = cut_lineage(classes.select("node", *columns).join(labelled.join(open_, "met", "left_semi"), "node").select("node", *columns, "label"))
+    rest = fixed_links(left, words, most, bucket_rows, "across").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    return links.union(cut_lineage(alike(rest, texts, shingle, least)))
 
 
 def gridded(keyed: DataFrame, crowded: DataFrame, words: int, bucket_rows: int) -> DataFrame:
     """``keyed`` with the keys of ``crowded`` (key, count) as grids of blocks."""
     # AQE keeps this join's skew apart: one side has a row for each crowded key
     calm, grid = keyed.join(crowded, "key", "left_anti"), keyed.join(crowded, "key").withColumn("n", F.ceil(F.col("count") / bucket_rows).cast("int"))
-    every, columns = F.explode(F.sequence(F.lit(0), F.col("n") - 1)), ["node", "role", *names(words)]
+    every, columns = F.explode(F.sequence(F.lit(0), F.col("n") - 1)), [c for c in keyed.columns if c != "key"]
     as_home = grid.where("role = 2").withColumn("role", F.lit(0).cast("byte")).withColumn(
         "h", F.pmod(F.xxhash64("node", F.lit(1)), "n").cast("int")).withColumn("p", every)
     as_probe = grid.withColumn("role", F.lit(1).cast("byte")).withColumn(
@@ -349,25 +497,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Documents are linked if some word of their fingerprints differs in at most ``distance`` bits and all words together in
     at most ``most`` (default: ``distance``). component_id is the least doc_id reachable by links, the row's own
     included (null only if all ids of the component are null). Texts without words, null ones too, have fingerprint 0 and
-    are linked like any other. With ``least`` (a Jaccard similarity of shingles), documents are linked by the fixed plan
-    for it instead. Repeated rows give repeated results. ``first`` holds for rows with the component's
+    are linked like any other. With ``least`` (a Jaccard similarity), fingerprints are of the different shingles, and
+    documents that meet by the fixed plan are linked if their sets of shingles are that alike. Repeated rows give repeated results. ``first`` holds for rows with the component's
     least (doc_id, text_hash), the one document that stays. No rows give no rows.
     """
     columns = names(words)
-    prints = cut_lineage(fingerprints(docs, doc_id, text, shingle, words))
+    keys = columns + ["shingles"] * (least is not None)
+    prints = cut_lineage(fingerprints(docs, doc_id, text, shingle, words, least is not None))
     ranked = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
-    classes = prints.groupBy(*columns).agg(F.min(ranked).alias("least"))
+    classes = prints.groupBy(*keys).agg(F.min(ranked).alias("least"))
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()) if words > 1
                           else classes.withColumn("node", F.col("f0")))
-    nodes = classes.select("node", *columns)
-    links = (near_links(nodes, words, distance, distance if most is None else most, bucket_rows) if least is None
-             else fixed_links(nodes, words, bit_limit(least, words) if most is None else most, bucket_rows))
+    if least is None:
+        links = near_links(classes.select("node", *columns), words, distance, distance if most is None else most, bucket_rows)
+    else:
+        links = verified_links(docs, doc_id, text, classes, words, shingle, least, bit_limit(least, words) if most is None else most, bucket_rows)
     roots = components(links, "a", "b").toDF("linked", "root")
     rooted = classes.join(roots, classes["node"] == roots["linked"], "left").select(
-        *columns, "least", F.coalesce("root", "node").alias("root"))
+        *keys, "least", F.coalesce("root", "node").alias("root"))
     best = rooted.groupBy("root").agg(F.min("least").alias("best"))
-    named = rooted.join(best, "root").select(*columns, "best")
-    joined = prints.join(named, columns)
+    named = rooted.join(best, "root").select(*keys, "best")
+    joined = prints.join(named, keys)
     return joined.select("doc_id", "text_hash", *columns, F.col("best.d").alias("component_id"),
                          (ranked == F.col("best")).alias("first"))
 

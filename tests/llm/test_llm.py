@@ -201,6 +201,25 @@ def test_a_pair_meets_whatever_the_other_rows_are(spark):
     assert found[0] and found[0] == found[1] == found[2]
 
 
+def shingle_sets(texts, k=5):
+    def of(t):
+        w = t.lower().split()
+        return {" ".join(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+    return [of(t) for t in texts]
+
+
+def test_repeated_lines_do_not_link(spark):
+    import corpus_pipeline as pipeline
+    random.seed(11)
+    texts, line = [], " ".join(f"line{k}" for k in range(12))
+    for times in (10, 20, 40):
+        texts += [" ".join([f"w{random.getrandbits(40)}" for _ in range(200)] + [line] * times) for _ in range(4)]
+    sets = shingle_sets(texts)
+    assert all(len(a & b) < 0.1 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    docs = docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    assert {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, "").collect()} == set(range(len(texts)))
+
+
 def test_lattice_points_are_nearest():
     rng = np.random.default_rng(0)
     x = rng.normal(0, 2, (400, 8))
