@@ -220,6 +220,37 @@ def test_repeated_lines_do_not_link(spark):
     assert {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, "").collect()} == set(range(len(texts)))
 
 
+@pytest.mark.parametrize("bucket, others", [(4000, 0), (8, 3000)])
+def test_near_duplicate_stage_by_exact_jaccard(spark, bucket, others):
+    import corpus_pipeline as pipeline
+    random.seed(21)
+    fresh, line = lambda n: [f"w{random.getrandbits(40)}" for _ in range(n)], " ".join(f"line{k}" for k in range(12))
+    texts = []
+    for share in np.linspace(0.6, 0.95, 71):  # one changed tail each; shared shingles c of 300 make c / (600 - c)
+        one, common = fresh(304), round(600 * share / (1 + share))
+        texts += [one, one[:common + 4] + fresh(300 - common)]
+    for _ in range(10):  # chains: neighbours near, ends far
+        chain = [fresh(304)]
+        for k in range(3):
+            chain.append(chain[-1][28:] + fresh(28))
+        texts += chain
+    hot = fresh(304)
+    texts += [hot[:k] + fresh(1) + hot[k + 1:] for k in range(5, 300, 6)]
+    texts += [fresh(150) + line.split() * 20 for _ in range(10)] + [fresh(200) for _ in range(10)]
+    texts = [" ".join(t) for t in texts]
+    sets = shingle_sets(texts)
+    linked = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if len(a & b) >= 0.8 * len(a | b)]
+    want = roots(range(len(texts)), linked)
+    docs = docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts + [" ".join(fresh(30)) for _ in range(others)])])
+    rows = simhash.near_duplicates(docs, shingle=5, words=4, least=0.8, bucket_rows=bucket).collect()
+    got = {r.doc_id: r.component_id for r in rows}
+    assert len(got) == len(texts) + others and all(got[i] == i for i in range(len(texts), len(got)))
+    assert all(got[got[i]] == got[i] and want[got[i]] == want[i] for i in want)  # no false merge
+    assert sum(got[i] != want[i] for i in want) <= 1  # 99.8 % of pairs at 0.8 meet
+    if bucket == 4000:
+        assert {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, "").collect()} == set(got.values())
+
+
 def test_lattice_points_are_nearest():
     rng = np.random.default_rng(0)
     x = rng.normal(0, 2, (400, 8))
