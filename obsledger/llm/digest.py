@@ -3,7 +3,8 @@
 Every 64-byte window of a text has an entropy; over all windows of all texts, rare entropies are counted out and rank
 highest. A window that is the rarest within 32 places on either side (the leftmost of equals) is a feature. Features go, in
 order, into chained Bloom filters of 2048 bits, five bits each, 128 features to a filter. The chain of
-filters in hex is the fingerprint. Likeness is the overlap of bits beyond what chance gives, as a share of the most
+filters in hex is the fingerprint. Short texts have more features, so that a part of them keeps some: below 512 bytes the
+rarest 16-byte windows within 8 places (equals by hash), below 96 bytes all 8-byte windows, below 24 all of 3 bytes. Likeness is the overlap of bits beyond what chance gives, as a share of the most
 that is possible, between each filter and its best partner.
 
 Entropies are sums of whole numbers, so equal texts have equal fingerprints wherever they are computed.
@@ -24,6 +25,7 @@ from obsledger.llm.common import text_hash, utf8
 
 WINDOW, REACH, LEVELS = 64, 32, 1000
 BITS, HASHES, PER_FILTER = 2048, 5, 128
+SHORT = ((16, 8, 512), (8, 0, 96), (3, 0, 24))  # window, reach (0: every window) and the size texts stay below
 TILE = 128 << 10
 ONE = 1 << 20
 _F = np.array([0] + [round(c * math.log2(c) * ONE) for c in range(1, WINDOW + 1)], np.int64)
@@ -32,20 +34,20 @@ ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6
                 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
-def levels(raw: np.ndarray) -> np.ndarray:
-    """Entropy level, 0 to LEVELS, of the window at every place but the last WINDOW - 1."""
+def levels(raw: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Entropy level, 0 to LEVELS, of the window at every place but the last ``window`` - 1."""
     n = len(raw)
-    if n < WINDOW:
+    if n < window:
         return np.zeros(0, np.int64)
-    before, after = np.zeros(n, np.uint8), np.zeros(n, np.uint8)  # equal bytes up to WINDOW - 1 places away
-    for d in range(1, WINDOW):
+    before, after = np.zeros(n, np.uint8), np.zeros(n, np.uint8)  # equal bytes up to window - 1 places away
+    for d in range(1, window):
         same = (raw[d:] == raw[:-d]).view(np.uint8)
         before[d:] += same
         after[:-d] += same
     change = GAIN[before]
-    change[WINDOW:] -= GAIN[after[:n - WINDOW]]
-    sums = np.cumsum(change)[WINDOW - 1:]
-    whole = WINDOW * ONE * int(math.log2(WINDOW))
+    change[window:] -= GAIN[after[:n - window]]
+    sums = np.cumsum(change)[window - 1:]
+    whole = window * ONE * int(math.log2(window))
     return (whole - sums) * LEVELS // whole
 
 
@@ -62,11 +64,47 @@ def streams(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         at = stop
 
 
-def _inside(n: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _inside(n: int, start: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """For each window place: text (index into ``start``), and whether the window lies in one text."""
     ends = np.append(start[1:], n)
-    owner = np.repeat(np.arange(len(start)), ends - start)[:max(0, n - WINDOW + 1)]
-    return owner, np.arange(len(owner)) + WINDOW <= ends[owner]
+    owner = np.repeat(np.arange(len(start)), ends - start)[:max(0, n - window + 1)]
+    return owner, np.arange(len(owner)) + window <= ends[owner]
+
+
+def _peaks(ranks: np.ndarray, reach: int) -> np.ndarray:
+    """Places above 0 with the most within ``reach`` on either side, the leftmost of equals."""
+    padded = np.concatenate([np.zeros(reach, np.int64), ranks, np.zeros(reach, np.int64)])
+    most = padded
+    for k in range(int(math.log2(reach))):
+        half = 1 << k
+        most = np.maximum(most[:-half], most[half:])  # over 2 * half places from here on
+    return np.flatnonzero((ranks > most[:len(ranks)]) & (ranks >= most[reach + 1:reach + 1 + len(ranks)]) & (ranks > 0))
+
+
+def _short_features(texts: list[bytes], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the features that SHORT adds, and the number of the text of each."""
+    hashes, text = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for window, reach, below in SHORT:
+        some = np.array([k for k, t in enumerate(texts) if window <= len(t) < below], np.int64)
+        if not len(some):
+            continue
+        sizes = np.array([len(texts[k]) for k in some])
+        raw = np.frombuffer(b"".join(texts[k] for k in some), np.uint8)
+        owner, valid = _inside(len(raw), np.cumsum(sizes) - sizes, window)
+        words = np.zeros((len(owner), 16), np.uint8)
+        words[:, :window] = np.lib.stride_tricks.sliding_window_view(raw, window)
+        words = words.view(np.uint64) + np.uint64(window)
+        words = (words ^ (words >> np.uint64(31))) * ODD[:2]
+        made = (words ^ (words >> np.uint64(29))).sum(axis=1, dtype=np.uint64)
+        if reach:
+            level = levels(raw, window)
+            ties = ((made * ODD[2]) >> np.uint64(32)).astype(np.int64)
+            chosen = _peaks(np.where(valid & (level > 0), (rank[level] + 1 << 32) + ties, 0), reach)
+        else:
+            chosen = np.flatnonzero(valid)
+        hashes.append(made[chosen])
+        text.append(some[owner[chosen]])
+    return np.concatenate(hashes), np.concatenate(text)
 
 
 def fingerprints(texts: list[bytes], rank: np.ndarray) -> list[bytes]:
@@ -81,17 +119,17 @@ def fingerprints(texts: list[bytes], rank: np.ndarray) -> list[bytes]:
         ranks = np.where(valid & (level > 0), rank[level] + 1, 0) if len(level) else level
         chosen = np.zeros(0, np.int64)
         if len(ranks):
-            padded = np.concatenate([np.zeros(REACH, np.int64), ranks, np.zeros(REACH, np.int64)])
-            most = padded
-            for _ in range(int(math.log2(REACH))):
-                half = 1 << _
-                most = np.maximum(most[:-half], most[half:])  # over 2 * half places from here on
-            chosen = np.flatnonzero((ranks > most[:len(ranks)]) & (ranks >= most[REACH + 1:REACH + 1 + len(ranks)]) & (ranks > 0))
+            chosen = _peaks(ranks, REACH)
         hashes, text = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         if len(chosen):
             words = raw[chosen[:, None] + np.arange(WINDOW)].view(np.uint64)
             words = (words ^ (words >> np.uint64(31))) * ODD
             hashes, text = (words ^ (words >> np.uint64(29))).sum(axis=1), owner[chosen]
+        more, whose = _short_features([texts[k] for k in number], rank)
+        if len(more):
+            hashes, text = np.concatenate([hashes, more]), np.concatenate([text, whose])
+            order = np.argsort(text, kind="stable")
+            hashes, text = hashes[order], text[order]
         bare = np.setdiff1d(np.arange(len(number)), text)
         bare = [b for b in bare.tolist() if texts[number[b]]]
         if bare:

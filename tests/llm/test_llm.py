@@ -465,6 +465,17 @@ def test_digest_awkward(spark, awkward, nothing):
     assert len(long[0]) > 256 and digest.likeness(long[:1], long[1:])[0] > 0.7
 
 
+def test_short_texts_keep_features():
+    random.seed(8)
+    rank = np.arange(digest.LEVELS + 1)
+    for size in (8, 12, 20, 30, 50, 63, 64, 80, 95, 96, 150, 300, 511, 530):
+        texts = ["".join(random.choice("abcdefghijklmnopqrstuvwxyz  ") for _ in range(size)).encode() for _ in range(60)]
+        edited = [a[:size - size // 3] + b[:size // 3] for a, b in zip(texts, texts[1:] + texts[:1])]
+        one, two = digest.fingerprints(texts, rank), digest.fingerprints(edited, rank)
+        near, other = digest.likeness(one, two), digest.likeness(one, one[2:] + one[:2])
+        assert min(near) > 0.1 and np.mean(near) > 0.35 and np.mean(other) < 0.1, (size, min(near), np.mean(near), np.mean(other))
+
+
 # --- mixing and the pipeline -----------------------------------------------------------
 
 def brute_targets(sizes, weights, share, most):
