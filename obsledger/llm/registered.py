@@ -107,3 +107,12 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), ids="ids").drop("text")
     return decode(found, vocabulary()).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.col("ids")).alias("ids_sha256"),
                                               F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and then repaired: its faults, the cheapest edits and a digest of the result."""
+    from obsledger.llm.dialogue import damage, plan, with_digest
+    rows = table(spark, sf_dir, "conversations")
+    damaged = damage(rows)
+    return with_digest(damaged, plan(damaged, rows.select("conv_id")))
