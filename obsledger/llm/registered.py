@@ -116,3 +116,10 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     damaged = damage(rows)
     return with_digest(damaged, plan(damaged, rows.select("conv_id")))
+
+
+@query("op11_phrase_collocations")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language over all documents."""
+    from obsledger.llm.phrases import collocations
+    return collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
