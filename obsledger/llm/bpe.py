@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from obsledger.llm.common import fresh, process_cache
 from obsledger.llm.tokens import Memory
 
-WORDS = 600_000  # distinct words that a worker remembers between texts
+WORDS = 400_000  # distinct words that a worker remembers between texts
 STEP = 1 << 20  # characters worked on at once
 LOW = (1 << 32) - 1
 UNUSUAL = re.compile("[^\t\n\r\x20-~\xa1-įı-ſ]")
@@ -177,39 +177,45 @@ def vocabulary(path: str) -> Vocabulary:
     return cache[path]
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have about STEP bytes together, or one row of more."""
     start = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
+    for k, own in enumerate(sizes):
+        size += own
         if size >= STEP:
             yield start, k + 1
             start, size = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str | None = None) -> DataFrame:
-    """``docs`` with the ids of each text in a further column ``ids`` (array of int; default: a free name, the last column).
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str | None = None, decoded: str | None = None) -> DataFrame:
+    """``docs`` with the ids of each text in a further column ``ids`` (array of int; default: a free name).
 
-    A null or empty text has no ids. Rows are kept as they are: repeated rows, null keys and columns of any name stay.
-    No rows give no rows. Special tokens in a text give their own id; truncation and padding are not applied.
+    ``decoded`` names one more column for the text decoded from these ids, made in the same pass. A null or empty text has
+    no ids. Rows are kept as they are: repeated rows, null keys and columns of any name stay. No rows give no rows. Special
+    tokens in a text give their own id; truncation and padding are not applied.
     """
-    name = ids or fresh(docs, "ids")[0]
-    if name in docs.columns:
-        raise ValueError(f"there is a column {name} already")
+    more = [ids or fresh(docs, "ids")[0], *([decoded] if decoded else [])]
+    if taken := set(more) & set(docs.columns):
+        raise ValueError(f"there are columns {sorted(taken)} already")
     place = docs.columns.index(text)
-    schema = StructType([*docs.schema.fields, StructField(name, ArrayType(IntegerType()))])
+    fields = [StructField(more[0], ArrayType(IntegerType())), *[StructField(n, StringType()) for n in more[1:]]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(place).to_pylist()]
-            for a, b in _slices(texts):
-                found, starts = words.encode(texts[a:b])
-                lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(found.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, lists], [*batch.schema.names, name])
-
-    return docs.mapInArrow(run, schema)
+            sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()
+            for a, b in _slices(sizes):
+                part = batch.slice(a, b - a)
+                found, starts = words.encode([t or "" for t in part.column(place).to_pylist()])
+                numbers = pa.array(found.astype(np.int32))
+                out = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), numbers)]
+                if decoded:
+                    out.append(words.decode(numbers, starts))
+                yield pa.RecordBatch.from_arrays([*part.columns, *out], [*part.schema.names, *more])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *fields]))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

@@ -103,10 +103,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_byte_pair_queue")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids and the text decoded from them, as digests."""
-    from obsledger.llm.bpe import decode, digest, encode
-    found = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), ids="ids").drop("text")
-    return decode(found, vocabulary()).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.col("ids")).alias("ids_sha256"),
-                                              F.sha2("decoded", 256).alias("decoded_sha256"))
+    from obsledger.llm.bpe import digest, encode
+    found = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), ids="ids", decoded="decoded")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.col("ids")).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op13_conversation_repair")
