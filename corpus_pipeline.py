@@ -23,12 +23,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each group of near duplicates.
 
-    Near are two texts whose sets of five-word shingles have a similarity (Jaccard) of 0.8 or more; groups are connected
-    by such pairs. They are found by 256 bits over the shingles, of which 0.8 makes about 39 differ: documents meet if any of
-    42 parts of 12 bits is equal, which holds for 99.8 % of pairs at 0.8 (bits independent), however many rows there are.
-    Those within 59 bits are verified by their sets.
+    Near are two texts whose 64-bit SimHash fingerprints over three-word shingles differ in at most 2 bits; groups are
+    connected by such pairs. All of them are found, however many rows there are.
     """
-    return simhash.deduplicate(docs, shingle=5, words=4, least=0.8)
+    return simhash.deduplicate(docs, shingle=3, distance=2)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
