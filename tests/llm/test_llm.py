@@ -209,7 +209,6 @@ def shingle_sets(texts, k=5):
 
 
 def test_repeated_lines_do_not_link(spark):
-    import corpus_pipeline as pipeline
     random.seed(11)
     texts, line = [], " ".join(f"line{k}" for k in range(12))
     for times in (10, 20, 40):
@@ -217,12 +216,11 @@ def test_repeated_lines_do_not_link(spark):
     sets = shingle_sets(texts)
     assert all(len(a & b) < 0.1 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
     docs = docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
-    assert {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, "").collect()} == set(range(len(texts)))
+    assert {r.doc_id for r in simhash.deduplicate(docs, shingle=5, words=4, least=0.8).collect()} == set(range(len(texts)))
 
 
 @pytest.mark.parametrize("bucket, others", [(4000, 0), (8, 3000)])
-def test_near_duplicate_stage_by_exact_jaccard(spark, bucket, others):
-    import corpus_pipeline as pipeline
+def test_near_duplicates_by_exact_jaccard(spark, bucket, others):
     random.seed(21)
     fresh, line = lambda n: [f"w{random.getrandbits(40)}" for _ in range(n)], " ".join(f"line{k}" for k in range(12))
     texts = []
@@ -248,7 +246,23 @@ def test_near_duplicate_stage_by_exact_jaccard(spark, bucket, others):
     assert all(got[got[i]] == got[i] and want[got[i]] == want[i] for i in want)  # no false merge
     assert sum(got[i] != want[i] for i in want) <= 1  # 99.8 % of pairs at 0.8 meet
     if bucket == 4000:
-        assert {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, "").collect()} == set(got.values())
+        assert {r.doc_id for r in simhash.deduplicate(docs, shingle=5, words=4, least=0.8).collect()} == set(got.values())
+
+
+def test_near_duplicate_stage_by_brute_force(spark):
+    import corpus_pipeline as pipeline
+    random.seed(31)
+    texts = [" ".join(random.choice("the of and sea cat dog sky".split()) for _ in range(random.randrange(0, 60))) for _ in range(150)]
+    for text in texts[:60]:
+        words = text.split() + ["tail"]
+        at = random.randrange(len(words))
+        texts += [" ".join(words[:at] + ["changed"] + words[at + 1:]), text.upper(), f" {text}\n"]
+    prints = [simhash.fingerprint(t.encode())[0] for t in texts]
+    linked = [(i, j) for i, f in enumerate(prints) for j in range(i) if (f ^ prints[j]).bit_count() <= 2]
+    want = roots(range(len(texts)), linked)
+    docs = docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    kept = pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
 def test_lattice_points_are_nearest():
