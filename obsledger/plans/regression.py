@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from obsledger.models import margin, regress
+from obsledger.models import margin, regress, trees
 from obsledger.operators.evaluate import regression_metrics
 from obsledger.operators.reshape import metrics_long
 from obsledger.operators.timeline import hash_split, sample_rows
@@ -30,8 +30,11 @@ def run_regressions(df: DataFrame, features: Sequence[str], target: str, keys: S
             pool = sample_rows(train, keys, svr_share) if svr_share < 1 else train
             weights = margin.fit_svr(pool, features, target, **extra)
             scored = margin.predict_margin(test, weights, "_hat").withColumnRenamed(f"{target}_hat", "prediction")
+        elif kind in ("tree", "forest"):  # of any depth
+            model = trees.fit_forest(train, features, target, keys, **{"trees": 1 if kind == "tree" else 100, **extra})
+            scored = trees.predict(model, test)
         else:
-            model = regress.fit_regressor(train, features, target, "ols" if kind == "multiple" else kind, **extra)
+            model = regress.fit_regressor(train, features, target, "ols", **extra)
             scored = regress.predict(model, test)
         part = metrics_long(regression_metrics(scored, target, "prediction"), run_id, MODEL_NAMES[kind], SCORES)
         out = part if out is None else out.unionByName(part)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import yesno_to_int
-from obsledger.models import bayes, regress
+from obsledger.models import bayes, regress, trees
 from obsledger.models.scale import fit_scaler, scale
 from obsledger.operators.aggregate import risk_index
 from obsledger.operators.clean import drop_missing, impute_coerced_mean
@@ -21,17 +21,17 @@ SCORES = ("accuracy", "precision", "recall", "f1")
 
 
 def forest_risk(features: DataFrame, roles: Roles, measures: Sequence[str], run_id: str, **forest):
-    """(metric rows, risk index) of the label forest on prepared rows."""
+    """(metric rows, risk index, forest) of the label forest, 100 trees of any depth unless told otherwise, on prepared rows."""
     label = f"{roles.label}_01"
     rows = features.withColumn(label, yesno_to_int(roles.label))
     keys = [roles.entity, roles.date, *roles.key]
     ready = regress.prepare_inference(rows, roles.entity, measures, roles.today, keys=[*keys, label])
     train, test = hash_split(drop_missing(ready, [label]), keys)
-    model = regress.fit_label_forest(train, roles.entity, [*measures, roles.today, *regress.CALENDAR], label, **forest)
-    scored = regress.batch_predict(model, test, roles.entity, [label])
+    model = trees.fit_forest(train, [*measures, roles.today, *regress.CALENDAR], label, keys, entity=roles.entity, draw="sqrt", **forest)
+    scored = trees.predict_label(model, test, "PredictedRainTomorrow")
     long = metrics_long(classification_metrics(scored, label, "PredictedRainTomorrow"), run_id,
                         "RandomForestClassifier", SCORES)
-    predicted = regress.batch_predict(model, ready, roles.entity, keys)
+    predicted = trees.predict_label(model, ready, "PredictedRainTomorrow")
     return long, risk_index(predicted, roles.entity, "PredictedRainTomorrow", run_id), model
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import yesno_to_int
-from obsledger.models import bayes, clusters, density, isolation, margin, regress
+from obsledger.models import bayes, clusters, density, isolation, margin, regress, trees
 from obsledger.models.scale import fit_scaler, scale
 from obsledger.operators import clean as C
 from obsledger.operators.evaluate import regression_metrics
@@ -18,6 +18,7 @@ from obsledger.queries.frames import DAILY, OBS, daily, observations, rounded, t
 
 KEY = "orderkey, linenumber, partkey, supplier, d"
 _KEYS = KEY.split(", ")
+_DAY = ["station", "d"]
 
 
 @query("standardize", f"""WITH {OBS}, i AS (SELECT {KEY}, coalesce(quantity, (SELECT median(quantity) FROM obs)) AS quantity, discount, tax FROM obs),
@@ -149,14 +150,39 @@ def tree_group_means(spark, sf_dir):
     return rounded(rounded(out, "mse"), "r2", digits=6).select("n", "mse", "r2")
 
 
+@query("tree_any_depth", f"""WITH {DAILY} SELECT station, d, round(avg(total) OVER (PARTITION BY top, n_events), 4) AS prediction FROM daily""")
+def tree_any_depth(spark, sf_dir):
+    """A tree without a depth limit predicts, on its own rows, the mean of all rows with the same features."""
+    rows = daily(spark, sf_dir)
+    model = trees.fit_forest(rows, ["top", "n_events"], "total", _DAY, trees=1)
+    return rounded(trees.predict(model, rows).select("station", "d", "prediction"), "prediction")
+
+
+@query("tree_node_counts", f"""WITH {DAILY}
+SELECT CAST(1 AS BIGINT) AS trees, CAST(count(*) AS DOUBLE) AS rows_in_leaves FROM daily""")
+def tree_node_counts(spark, sf_dir):
+    """The leaves of a tree hold every row once."""
+    model = trees.fit_forest(daily(spark, sf_dir), ["top", "n_events"], "total", _DAY, trees=1)
+    return model.nodes.agg(F.count_distinct("tree").alias("trees"), F.sum(F.when(F.col("feature") < 0, F.col("n"))).alias("rows_in_leaves"))
+
+
 @query("tree_regression")
 def tree_regression(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    return regression_metrics(regress.predict(regress.fit_regressor(train, ["top", "n_events"], "total", "tree"), test), "total", "prediction")
+    model = trees.fit_forest(train, ["top", "n_events"], "total", _DAY, trees=1)
+    return regression_metrics(trees.predict(model, test), "total", "prediction")
 
 
 @query("forest_regression")
 def forest_regression(spark, sf_dir):
+    """100 trees without a depth limit."""
+    train, test = _split(spark, sf_dir)
+    model = trees.fit_forest(train, ["top", "n_events"], "total", _DAY)
+    return regression_metrics(trees.predict(model, test), "total", "prediction")
+
+
+@query("forest_depth10")
+def forest_depth10(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     model = regress.fit_regressor(train, ["top", "n_events"], "total", "forest", maxDepth=10)
     return regression_metrics(regress.predict(model, test), "total", "prediction")
@@ -165,7 +191,7 @@ def forest_regression(spark, sf_dir):
 @query("forest_from_params")
 def forest_from_params(spark, sf_dir):
     rows = daily(spark, sf_dir).select("total", "top", "n_events")
-    params = {"model_type": "RandomForestRegressor", "n_estimators": 20, "max_depth": 10, "random_state": 42}
+    params = {"model_type": "RandomForestRegressor", "n_estimators": 100, "max_depth": 10, "random_state": 42}
     return regression_metrics(regress.predict(regress.fit_from_params(rows, "total", params), rows), "total", "prediction")
 
 
@@ -192,9 +218,19 @@ def label_classifier(spark, sf_dir):
 
 @query("label_forest")
 def label_forest(spark, sf_dir):
+    """100 trees without a depth limit over measures and the one-hot entity."""
+    rows = _nb_rows(spark, sf_dir)
+    model = trees.fit_forest(rows, _F, "y", _DAY, entity="station", draw="sqrt")
+    return trees.predict_label(model, rows, "PredictedRainTomorrow").select("station", "d", "PredictedRainTomorrow")
+
+
+@query("label_tree", f"""WITH {_NB_ROWS}, m AS (SELECT station, d, avg(y) OVER (PARTITION BY total, top, n_events, station) AS p FROM r)
+SELECT station, d, round(p, 6) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction FROM m""")
+def label_tree(spark, sf_dir):
+    """One unpruned tree over measures and entity gives back the share of each distinct feature row."""
     rows = _nb_rows(spark, sf_dir)
-    model = regress.fit_label_forest(rows, "station", _F, "y", numTrees=20, maxDepth=8)
-    return regress.batch_predict(model, rows, "station", ["station", "d"])
+    model = trees.fit_forest(rows, _F, "y", _DAY, trees=1, entity="station")
+    return rounded(trees.predict_label(model, rows, probability="probability").select("station", "d", "probability", "prediction"), "probability", digits=6)
 
 
 # ---- clusters, components, isolation ----------------------------------------------

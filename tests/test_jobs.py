@@ -189,7 +189,7 @@ def test_sequences_start_today_by_default(spark, sf):
 def test_regression_family(spark, sf):
     rows = daily(spark, sf)
     out = regression.run_regressions(rows, ["top", "n_events"], "total", ["station", "d"], "r1",
-                                     params={"forest": {"numTrees": 5, "maxDepth": 5}, "tree": {"maxDepth": 6}})
+                                     params={"forest": {"trees": 5}, "tree": {"max_depth": 6}})
     r2 = {r["model_name"]: r["value"] for r in out.where("metric = 'r2'").collect()}
     assert set(r2) == {"LinearRegression", "DecisionTreeRegressor", "RandomForestRegressor", "SVM"}
     assert all(v > 0.5 for v in r2.values())
@@ -198,7 +198,7 @@ def test_regression_family(spark, sf):
 def test_forest_risk_and_bayes(spark, sf):
     rows = daily(spark, sf).withColumn("rain_tomorrow", F.when(F.col("total") > 150, "Yes").otherwise("No"))
     ready = regress.with_calendar(rows, "d")
-    metrics, index, model = risk.forest_risk(ready, _HISTORY, ["total", "top"], "r1", numTrees=5, maxDepth=5)
+    metrics, index, model = risk.forest_risk(ready, _HISTORY, ["total", "top"], "r1", trees=5)
     assert {r["metric"] for r in metrics.collect()} == {"accuracy", "precision", "recall", "f1"}
     assert index.count() == rows.select("station").distinct().count()
     assert index.agg(F.min("climate_risk_index"), F.max("climate_risk_index")).first()[0] >= 0

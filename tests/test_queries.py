@@ -10,7 +10,7 @@ from obsledger import queries as Q
 
 Q.load_all()
 # these fit models for several seconds each; their parts have their own tests
-SLOW = {"predict_wide", "forecast_on_demand", "kernel_svr", "kmeans_fit", "forest_regression"}
+SLOW = {"predict_wide", "forecast_on_demand", "kernel_svr", "kmeans_fit"}
 
 
 @pytest.fixture(scope="module")
