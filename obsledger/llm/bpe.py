@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from obsledger.llm.common import fresh, process_cache
+from obsledger.llm.common import fresh, process_cache, trimmed
 from obsledger.llm.tokens import Memory
 
 WORDS = 400_000  # distinct words that a worker remembers between texts
@@ -215,7 +215,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str | None = Non
                     out.append(words.decode(numbers, starts))
                 yield pa.RecordBatch.from_arrays([*part.columns, *out], [*part.schema.names, *more])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *fields]))
+    return docs.mapInArrow(trimmed(run), StructType([*docs.schema.fields, *fields]))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsledger.llm.common import utf8
+from obsledger.llm.common import trimmed, utf8
 from obsledger.session import cut_lineage
 
 LEXICON = 1 << 18  # words whose numbers are sent to the workers
@@ -85,7 +85,7 @@ def count_words(docs: DataFrame, lang: str = "lang", text: str = "text", most: i
                     yield from emptied()
         yield from emptied()
 
-    return _plain(docs, lang, text).mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return _plain(docs, lang, text).mapInArrow(trimmed(run), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 class Inner(dict):
@@ -309,7 +309,7 @@ def count_phrases(docs: DataFrame, least: int = 100, lang: str = "lang", text: s
             counts.append(sums)
         return pa.table([pa.array(keys, pa.binary()), pa.array(np.concatenate(counts), pa.int64())], ["key", "f"])
 
-    runs = _plain(docs, lang, text).mapInArrow(collect, "at int, size long, run binary").repartition(ranges, "at")
+    runs = _plain(docs, lang, text).mapInArrow(trimmed(collect), "at int, size long, run binary").repartition(ranges, "at")
     sums = runs.groupBy("at").applyInArrow(merge, "key binary, f long")
     phrases = sums.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
     return cut_lineage(words), cut_lineage(phrases), width

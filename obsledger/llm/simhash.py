@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsledger.llm.common import text_hash, utf8
+from obsledger.llm.common import text_hash, trimmed, utf8
 from obsledger.llm.components import components
 from obsledger.session import cut_lineage
 
@@ -132,7 +132,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
 
     value = docs[text].cast("string")
     return docs.select(docs[doc_id], text_hash(value).alias("text_hash"), value).mapInArrow(
-        hashed, f"doc_id {kind}, text_hash long, " + ", ".join(f"{n} long" for n in made))
+        trimmed(hashed), f"doc_id {kind}, text_hash long, " + ", ".join(f"{n} long" for n in made))
 
 
 def bit_pairs(prints: DataFrame) -> np.ndarray:

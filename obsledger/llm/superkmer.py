@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsledger.llm.common import process_cache, text_hash, utf8
+from obsledger.llm.common import give_back, process_cache, text_hash, trimmed, utf8
 from obsledger.session import cut_lineage
 
 TILE = 1 << 20  # bytes of text that are hashed at a time
@@ -258,7 +258,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, hot_share: float =
         counts = np.concatenate([np.array([heavy.total, size], np.int64), heavy.counts[often]])
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(counts)], ["gram", "n"])
 
-    counted = cut_lineage(base.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    counted = cut_lineage(base.select("text").mapInArrow(trimmed(count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
     totals = {r[0]: r[1] for r in counted.where("gram < 0").collect()}
     least = max(64, hot_share * totals.get(-1, 0) / 2)
     hot = counted.where((F.col("gram") >= 0) & (F.col("n") >= least)).select("gram").collect()
@@ -348,6 +348,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, hot_share: float =
             blobs.append(squeeze(_pack([(place[row[part]], np.uint64), (h[row[part]], np.uint32),
                                         (start[part], np.uint32), (count[part], np.uint32)])))
         yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), pa.array(blobs, pa.binary())], ["shard", "blob"])
+        give_back()
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
         import zstandard
@@ -369,11 +370,12 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, hot_share: float =
             texts.append(t if len(kept) == len(words) else rest)
         kind = left.schema.field("text").type
         raw = pa.array(texts, pa.large_binary() if pa.types.is_large_string(kind) else pa.binary())
+        give_back()
         return pa.table([left.column("other"), raw.cast(kind), pa.array(n_words, pa.int64()),
                          pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())],
                         names=["other", "text", "n_words", "n_removed", "kept_sha256"])
 
-    firsts = (base.select("doc_id", "text_hash", "text").mapInArrow(send, "bucket long, blob binary")
+    firsts = (base.select("doc_id", "text_hash", "text").mapInArrow(trimmed(send), "bucket long, blob binary")
               .groupBy("bucket").applyInArrow(sort_bucket, "shard long, blob binary"))
     # the same number as shard_of gives
     mixed = F.coalesce("doc_id", F.lit((1 << 63) - 1)).bitwiseXOR(

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from obsledger.llm.common import process_cache
+from obsledger.llm.common import process_cache, trimmed
 
 CHUNKS = 600_000  # entries that a worker remembers, unless told otherwise
 # Below U+0250 all Unicode versions agree on letters, and (but for U+0130) lower-casing maps letters to single letters.
@@ -197,4 +197,4 @@ def pieces(docs: DataFrame, path: str, most: int, end_id: int = 0, doc_id: str =
                 names += [part.split()[0] for part in more[0].split(", ")]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(docs[doc_id], docs[text].cast("string")).mapInArrow(cut, schema)
+    return docs.select(docs[doc_id], docs[text].cast("string")).mapInArrow(trimmed(cut), schema)

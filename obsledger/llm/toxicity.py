@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsledger.llm.common import process_cache, text_hash
+from obsledger.llm.common import process_cache, text_hash, trimmed
 from obsledger.session import cut_lineage
 
 EDGE = " .,;:!?|\"'`()[]{}<>-–—…*_«»“”‘’¡¿/\\#"
@@ -125,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_featu
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([toxic_docs[f] for f in names], pa.int64()),
                                           pa.array([other[f] for f in names], pa.int64())], ["f", "a", "b"])
 
-    tallied = cut_lineage(sample.mapInArrow(tally, "f string, a long, b long").groupBy("f")
+    tallied = cut_lineage(sample.mapInArrow(trimmed(tally), "f string, a long, b long").groupBy("f")
                           .agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where("a >= 3 OR f = ''"))
     totals = tallied.where("f = ''").first()
     if totals is None or not totals.a or not totals.b:
@@ -204,4 +204,4 @@ def without_toxic(docs: DataFrame, model: Severity, text: str = "text", limit: f
                     or model.above(model.counts(t, cache))[0] < limit for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(passed, docs.schema)
+    return docs.mapInArrow(trimmed(passed), docs.schema)
