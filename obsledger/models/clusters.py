@@ -3,39 +3,169 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsledger.models.margin import _resident
+from obsledger.functions.scalars import uniform
+from obsledger.models.margin import _matrix, _resident, sum_batches
 from obsledger.operators.timeline import cumulative
+from obsledger.session import cut_lineage
 
 
 def _vectors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
 
 
-def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, restarts: int = 10, seed: int = 42):
-    """(centroids frame, inertia) of the best of ``restarts`` runs.
+@dataclass(frozen=True)
+class KMeansRuns:
+    """All restarts of one fit: centres (restart x cluster x column), inertia, rounds and whether each run came to rest."""
 
-    Clusters are numbered by ascending centroid, so their ids do not depend on
-    which restart won.
+    columns: tuple[str, ...]
+    centres: np.ndarray
+    inertia: np.ndarray
+    rounds: np.ndarray
+    converged: np.ndarray
+
+    @property
+    def best(self) -> int:
+        return int(self.inertia.argmin())
+
+    def centroids(self, spark) -> DataFrame:
+        """(cluster, columns...) of the best run, numbered by ascending centroid."""
+        schema = "cluster int, " + ", ".join(f"`{c}` double" for c in self.columns)
+        rows = sorted(self.centres[self.best].tolist())
+        return spark.createDataFrame([(i, *c) for i, c in enumerate(rows)], schema)
+
+
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, rows x restarts x clusters."""
+    runs, k, p = centres.shape
+    flat = centres.reshape(-1, p)
+    d2 = (x ** 2).sum(1)[:, None] + (flat ** 2).sum(1)[None, :] - 2 * x @ flat.T
+    return np.maximum(d2, 0.0).reshape(len(x), runs, k)
+
+
+def _seeds(rows: DataFrame, runs: Sequence[int], p: int, k: int, rounds: int = 4) -> list[np.ndarray]:
+    """First centres of each restart: a few rounds that draw far rows by hash, weighed, then chosen among on the driver.
+
+    Every restart holds about 2k candidates a round (their draws are independent hashes), so the driver sees a few dozen rows.
+    """
+    hashes = [F.xxhash64(F.lit(f"first {r}"), "x") for r in runs]
+    firsts = rows.agg(*[F.min_by("x", h).alias(f"x{i}") for i, h in enumerate(hashes)]).first()
+    found = [np.array([firsts[i]], float) for i in range(len(runs))]
+    for turn in range(rounds):
+        sizes = [len(c) for c in found]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        every = np.concatenate(found)
+
+        def far(x: np.ndarray, every=every, bounds=bounds) -> np.ndarray:
+            d2 = _squares(x, every[None])[:, 0]
+            return np.stack([d2[:, a:b].min(1) for a, b in zip(bounds, bounds[1:])], 1)
+
+        total = sum_batches(rows, lambda b, far=far: far(_matrix(b.column(0), p)).sum(0), len(runs))
+
+        def draw(batches, far=far, total=total, turn=turn):
+            for b in batches:
+                x = _matrix(b.column(0), p)
+                chance = 2 * k * far(x) / np.maximum(total, 1e-300)
+                for i, r in enumerate(runs):
+                    u = _uniform(b.column(1).to_numpy(), r * rounds + turn)
+                    hit = np.flatnonzero(u < chance[:, i])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), i), pa.int32()), b.column(0).take(pa.array(hit))], ["run", "x"])
+
+        keyed = rows.select("x", F.xxhash64("x"))
+        for r in keyed.mapInArrow(draw, "run int, x array<double>").distinct().collect():
+            found[r["run"]] = np.concatenate([found[r["run"]], [r["x"]]])
+    sizes = [len(c) for c in found]
+    bounds, every = np.concatenate([[0], np.cumsum(sizes)]), np.concatenate(found)
+
+    def weigh(b) -> np.ndarray:
+        d2 = _squares(_matrix(b.column(0), p), every[None])[:, 0]
+        return np.concatenate([np.bincount(d2[:, a:e].argmin(1), minlength=e - a) for a, e in zip(bounds, bounds[1:])]).astype(float)
+
+    weights, out = sum_batches(rows, weigh, len(every)), []
+    for r, a, e in zip(runs, bounds, bounds[1:]):
+        rng, points, w = np.random.default_rng(r), every[a:e], weights[a:e]
+        order = np.lexsort(points.T[::-1])
+        points, w = points[order], np.maximum(w[order], 1e-12)
+        chosen = [int(rng.choice(len(points), p=w / w.sum()))]
+        while len(chosen) < k:
+            cost = _squares(points, points[chosen][None])[:, 0].min(1) * w
+            left = cost.sum()
+            chosen.append(int(rng.choice(len(points), p=cost / left)) if left > 0 else chosen[len(chosen) % len(points)])
+        out.append(points[chosen])
+    return out
+
+
+def _uniform(keys: np.ndarray, salt: int) -> np.ndarray:
+    """Numbers in [0, 1) from 64-bit keys and a salt."""
+    with np.errstate(over="ignore"):
+        h = (keys.astype(np.int64).view(np.uint64) ^ np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return (h >> np.uint64(11)).astype(float) / (1 << 53)
+
+
+def fit_kmeans_runs(df: DataFrame, cols: Sequence[str], k: int = 4, restarts: int = 10, seed: int = 42, max_iter: int = 300,
+                    tol: float = 1e-4) -> KMeansRuns:
+    """All restarts side by side: each pass over the rows moves the centres of every run that has not come to rest.
+
+    A run rests when its centres move by at most ``tol`` of the mean variance. What a run does depends on its seed (``seed`` plus
+    its number) and the rows alone, not on the other runs. Rows with a missing measure are left out; no rows are refused.
     """
+    p, runs = len(cols), [seed + i for i in range(restarts)]
     complete = df.dropna(subset=list(cols))
-    rows = _resident(_vectors(complete, cols).select("features"), complete.count())
+    rows = _resident(complete.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("x")), complete.count())
     try:
-        fits = [KMeans(k=k, seed=seed + i).fit(rows) for i in range(restarts)]
+        spread = rows.agg(*[F.var_pop(F.col("x")[j]) for j in range(p)]).first()
+        if spread[0] is None:
+            raise ValueError("no complete rows to cluster")
+        rest = tol * float(np.mean(spread))
+        centres = np.stack(_seeds(rows, runs, p, k))
+        done, rounds, inertia = np.zeros(restarts, bool), np.zeros(restarts, int), np.zeros(restarts)
+
+        def passed(centres: np.ndarray) -> np.ndarray:
+            n = len(centres)
+
+            def per_batch(b) -> np.ndarray:
+                x = _matrix(b.column(0), p)
+                d2 = _squares(x, centres)
+                label, out = d2.argmin(2), np.zeros((n, k, p + 2))
+                for r in range(n):
+                    out[r, :, p] = np.bincount(label[:, r], minlength=k)
+                    out[r, :, p + 1] = np.bincount(label[:, r], d2[np.arange(len(x)), r, label[:, r]], k)
+                    for j in range(p):
+                        out[r, :, j] = np.bincount(label[:, r], x[:, j], k)
+                return out.ravel()
+
+            return sum_batches(rows, per_batch, n * k * (p + 2)).reshape(n, k, p + 2)
+
+        while not done.all() and rounds.max() < max_iter:
+            live = np.flatnonzero(~done)
+            sums = passed(centres[live])
+            moved = np.where(sums[:, :, p:p + 1] > 0, sums[:, :, :p] / np.maximum(sums[:, :, p:p + 1], 1), centres[live])
+            shift = ((moved - centres[live]) ** 2).sum((1, 2))
+            centres[live], rounds[live] = moved, rounds[live] + 1
+            done[live] = shift <= rest
+        inertia = passed(centres)[:, :, p + 1].sum(1)
     finally:
         rows.unpersist()
-    best = min(fits, key=lambda m: m.summary.trainingCost)
-    centres = sorted([float(v) for v in c] for c in best.clusterCenters())
-    schema = "cluster int, " + ", ".join(f"`{c}` double" for c in cols)
-    return (df.sparkSession.createDataFrame([(i, *c) for i, c in enumerate(centres)], schema),
-            float(best.summary.trainingCost))
+    return KMeansRuns(tuple(cols), centres, inertia, rounds, done)
+
+
+def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, restarts: int = 10, seed: int = 42):
+    """(centroids frame, inertia) of the best of ``restarts`` runs.
+
+    Clusters are numbered by ascending centroid, so their ids do not depend on
+    which restart won.
+    """
+    runs = fit_kmeans_runs(df, cols, k, restarts, seed)
+    return runs.centroids(df.sparkSession), float(runs.inertia[runs.best])
 
 
 # Above this many terms distances are written over arrays instead of one long expression.
@@ -85,14 +215,70 @@ def inertia(assigned: DataFrame, distance: str = "distance2") -> DataFrame:
     return assigned.agg(F.sum(distance).alias("inertia"))
 
 
-def silhouette(df: DataFrame, cluster: str, cols: Sequence[str]) -> float:
-    """Mean silhouette with squared distances (linear in the rows); 0 with a single cluster."""
+def silhouette(df: DataFrame, cluster: str, cols: Sequence[str], distance: str = "squared", share: float = 1.0) -> float:
+    """Mean silhouette; 0 with a single cluster. ``distance``: "squared" (linear in the rows) or "euclidean".
+
+    Plain distances are summed exactly from a ``share`` of the rows, drawn by hash, to all rows: blocks of distinct, weighted
+    points meet in tasks that give back one sum for each point and cluster. The mean over n drawn rows is within about
+    2 / sqrt(n) of that over all.
+    """
     if df.select(cluster).distinct().limit(2).count() < 2:
         return 0.0
+    if distance == "euclidean":
+        return _plain_silhouette(df, cluster, list(cols), share)
     rows = _vectors(df, cols).select("features", F.col(cluster).cast("double").alias("prediction"))
     return ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(rows)
 
 
+# Points of one side that meet in a task.
+QUERY_ROWS, POINT_ROWS = 2_000, 20_000
+
+
+def _plain_silhouette(df: DataFrame, cluster: str, cols: list[str], share: float) -> float:
+    p = len(cols)
+    x = F.array(*[F.col(c).cast("double") for c in cols])
+    points = cut_lineage(df.dropna(subset=cols).groupBy(x.alias("x"), F.col(cluster).alias("g")).agg(F.count(F.lit(1)).cast("double").alias("w")))
+    asked = points if share >= 1 else points.where(uniform("silhouette", F.col("x")) < share)
+    n, m = points.count(), asked.count()
+    lp, rp = max(1, -(-m // QUERY_ROWS)), max(1, -(-n // POINT_ROWS))
+    left = (asked.withColumn("l", F.pmod(F.xxhash64("x", "g"), F.lit(lp)).cast("int"))
+            .withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(rp - 1)))))
+    right = (points.withColumn("r", F.pmod(F.xxhash64("x", "g"), F.lit(rp)).cast("int"))
+             .withColumn("l", F.explode(F.sequence(F.lit(0), F.lit(lp - 1)))).toDF("x", "g", "w", "r", "l"))
+    kind = points.schema["g"].dataType.simpleString()
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        names = b.column("g").combine_chunks().dictionary_encode()
+        xa, xb, w = _matrix(a.column("x"), p), _matrix(b.column("x"), p), b.column("w").to_numpy()
+        group, k = names.indices.to_numpy(), len(names.dictionary)
+        sums = np.zeros((len(xa), k))
+        for at in range(0, len(xa), 200):
+            part, total = xa[at:at + 200], 0.0
+            for j in range(p):  # differences, not products: near points keep their digits
+                gap = part[:, j, None] - xb[None, :, j]
+                total = total + gap * gap
+            far = np.sqrt(total) * w
+            for g in range(k):
+                sums[at:at + 200, g] = far[:, group == g].sum(1)
+        i = np.repeat(np.arange(len(xa)), k)
+        take = pa.array(i)
+        return pa.table([a.column("x").take(take), a.column("g").take(take), a.column("w").take(take),
+                         names.dictionary.take(pa.array(np.tile(np.arange(k), len(xa)))), pa.array(sums.ravel())], ["x", "g", "w", "other", "s"])
+
+    met = left.groupBy("l", "r").cogroup(right.groupBy("l", "r")).applyInArrow(
+        lambda a, b: meet(a, b) if a.num_rows and b.num_rows else pa.table(
+            [pa.array([], t) for t in (a.schema.field("x").type, a.schema.field("g").type, pa.float64(), a.schema.field("g").type, pa.float64())],
+            ["x", "g", "w", "other", "s"]), f"x array<double>, g {kind}, w double, other {kind}, s double")
+    sizes = points.groupBy(F.col("g").alias("other")).agg(F.sum("w").alias("size"))
+    sums = met.groupBy("x", "g", "w", "other").agg(F.sum("s").alias("s")).join(F.broadcast(sizes), "other")  # one row a cluster
+    own = F.col("g") == F.col("other")
+    scored = sums.groupBy("x", "g", "w").agg(
+        F.max(F.when(own, F.col("size"))).alias("size"), F.max(F.when(own, F.try_divide(F.col("s"), F.col("size") - 1))).alias("a"),
+        F.min(F.when(~own, F.col("s") / F.col("size"))).alias("b"))
+    value = F.when(F.col("size") > 1, F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))).otherwise(0.0)
+    return float(scored.agg(F.sum(value * F.col("w")) / F.sum("w")).first()[0])
+
+
 def fit_pca(df: DataFrame, cols: Sequence[str], k: int = 3):
     """(loadings, variance) frames: (component, feature, loading, mean) and
     (component, explained_ratio, cumulative_ratio).

@@ -5,7 +5,8 @@ of copies is one point. A fine grid whose cell diagonal is at most eps gives
 *dense* cells: with at least ``min_samples`` points in it, every point of the
 cell is a core point and all belong together. Dense cells enter the neighbour
 search as one unit, so no pairs inside them are ever formed; the remaining
-cells hold fewer than ``min_samples`` points each.
+cells hold fewer than ``min_samples`` points each. More than three columns are searched by pivots (``pivots``), which
+keep neighbours apart from the rest in any number of dimensions.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsledger.models import pivots
 from obsledger.operators.timeline import rank_by
 from obsledger.session import cut_lineage
 
@@ -196,8 +198,15 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float = 0.5, min_s
     core key; a border point takes the smallest number among its core neighbours.
     """
     p = len(cols)
-    dims = dims or min(p, 3)
-    pts, near = neighbourhoods(df, key, cols, eps, min_samples, dims)
+    if p > 3 and dims is None:  # a grid of 3 dimensions would not part the points
+        coordinates = F.array(*[F.col(c).cast("double") for c in cols])
+        distinct = df.select(F.col(key).alias("key"), coordinates.alias("x")).groupBy("x").agg(F.min("key").alias("pid"), F.count(F.lit(1)).alias("w"))
+        pts, near, centres = pivots.neighbourhoods(distinct, eps, min_samples, p)
+        links = pivots.unit_links(pts, centres, eps)
+    else:
+        dims = dims or min(p, 3)
+        pts, near = neighbourhoods(df, key, cols, eps, min_samples, dims)
+        links = _dense_links(pts, eps, p, dims)
     core = cut_lineage(neighbour_counts(pts, near, min_samples).where("is_core").select("pid"))
     # units that are core: dense cells and core points
     units = pts.where("dense").select(F.col("unit").alias("node")).union(
@@ -205,7 +214,7 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float = 0.5, min_s
     near_core = near.join(units.select(F.col("node").alias("unit")), "unit", "left_semi")
     edges = (near_core.join(core.select(F.col("pid").alias("a")), "a", "left_semi")
              .select(F.col("a").alias("u"), F.col("unit").alias("v"))
-             .unionByName(_dense_links(pts, eps, p, dims).select(F.col("u1").alias("u"), F.col("u2").alias("v"))))
+             .unionByName(links.select(F.col("u1").alias("u"), F.col("u2").alias("v"))))
     roots = components(edges, units)
     numbers = roots.select("root").distinct()
     numbers = rank_by(numbers, "root", "number", desc=False).select("root", (F.col("number") - 1).cast("int").alias("number"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import yesno_to_int
-from obsledger.models import bayes, clusters, density, isolation, margin, regress, trees
+from obsledger.models import bayes, clusters, density, isolation, kernel, margin, regress, trees
 from obsledger.models.scale import fit_scaler, scale
 from obsledger.operators import clean as C
 from obsledger.operators.evaluate import regression_metrics
@@ -204,9 +204,27 @@ def linear_svr(spark, sf_dir):
 
 @query("kernel_svr")
 def kernel_svr(spark, sf_dir):
+    """The exact dual at C = 100, gamma = 0.1, scored on held-out rows."""
     train, test = _split(spark, sf_dir)
-    score = margin.fit_kernel_svr(train, ["top", "n_events"], "total", n_features=32, max_iter=10)
-    return regression_metrics(score(test), "total", "prediction")
+    model = kernel.fit_kernel_svr(train, ["top", "n_events"], "total")
+    return regression_metrics(kernel.predict_kernel(model, test), "total", "prediction")
+
+
+@query("kernel_svr_certificate", f"""WITH {DAILY} SELECT count(*) AS n, true AS gap_within_a_thousandth, true AS sum_of_duals_is_0 FROM daily""")
+def kernel_svr_certificate(spark, sf_dir):
+    """The duality gap of a fit on all rows proves it to be within a thousandth of the optimum."""
+    rows = daily(spark, sf_dir)
+    model = kernel.fit_kernel_svr(rows, ["top", "n_events"], "total")
+    total = model.vectors.agg(F.abs(F.sum("beta")) < 1e-6).first()[0]
+    return kernel.predict_kernel(model, rows).agg(F.count("prediction").alias("n"), F.lit(0 <= model.gap <= 1e-3).alias("gap_within_a_thousandth"),
+                                                  F.lit(total).alias("sum_of_duals_is_0"))
+
+
+@query("kernel_svr_fourier")
+def kernel_svr_fourier(spark, sf_dir):
+    """The approximation by 64 random Fourier features, for very many rows."""
+    train, test = _split(spark, sf_dir)
+    return regression_metrics(margin.fit_kernel_svr(train, ["top", "n_events"], "total")(test), "total", "prediction")
 
 
 @query("label_classifier")
@@ -272,6 +290,27 @@ def kmeans_fit(spark, sf_dir):
     return clusters.assign(rows, centres, _F).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("distance2").alias("inertia"))
 
 
+@query("kmeans_two_means", f"""WITH {DAILY}, s AS (SELECT station, d, total, row_number() OVER (ORDER BY total) AS i, count(*) OVER () AS n,
+  sum(total) OVER (ORDER BY total ROWS UNBOUNDED PRECEDING) AS below, sum(total * total) OVER (ORDER BY total ROWS UNBOUNDED PRECEDING) AS below2,
+  sum(total) OVER () AS s1, sum(total * total) OVER () AS s2 FROM daily),
+c AS (SELECT *, below2 - below * below / i + (s2 - below2) - (s1 - below) * (s1 - below) / (n - i) AS cost FROM s WHERE i < n)
+SELECT round(min(cost) / max(s2 - s1 * s1 / n), 3) AS unexplained FROM c""")
+def kmeans_two_means(spark, sf_dir):
+    """Two clusters of one measure against the best cut of its sorted values."""
+    rows = daily(spark, sf_dir).select("total")
+    runs = clusters.fit_kmeans_runs(rows, ["total"], 2, tol=0.0)
+    return rows.agg(F.round(F.lit(float(runs.inertia[runs.best])) / (F.var_pop("total") * F.count("total")), 3).alias("unexplained"))
+
+
+@query("silhouette_euclidean", """WITH v AS (SELECT vec_id AS i, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+d AS (SELECT a.i, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x)) AS s, count(*) AS n FROM v a, v b GROUP BY ALL),
+p AS (SELECT i, max(s / (n - 1)) FILTER (own = other AND n > 1) AS a, min(s / n) FILTER (own <> other) AS b FROM d GROUP BY 1)
+SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM p""")
+def silhouette_euclidean(spark, sf_dir):
+    e, names = clusters.embedding_columns(table(spark, sf_dir, "embeddings"), "embedding")
+    return spark.createDataFrame([(round(clusters.silhouette(e, "label", names, "euclidean"), 6),)], "silhouette double")
+
+
 @query("silhouette", """WITH x AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
 c AS (SELECT label AS cluster, i, avg(v) AS m FROM x GROUP BY 1, 2),
 d AS (SELECT vec_id, label, cluster, sum((v - m) * (v - m)) AS d2 FROM x JOIN c USING (i) GROUP BY 1, 2, 3),
@@ -324,6 +363,22 @@ def dbscan_line(spark, sf_dir):
     return out.select("event_id", "dbscan_cluster")
 
 
+@query("dbscan_vectors", """WITH RECURSIVE v AS (SELECT vec_id AS i, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+n AS (SELECT a.i AS i, b.i AS j FROM v a, v b WHERE list_distance(a.x, b.x) <= 1.17),
+core AS (SELECT i FROM n GROUP BY i HAVING count(*) >= 5),
+e AS (SELECT i, j FROM n WHERE i IN (FROM core) AND j IN (FROM core)),
+r(i, j) AS (SELECT i, j FROM e UNION SELECT r.i, e.j FROM r JOIN e ON r.j = e.i),
+c AS (SELECT i, min(j) AS root FROM r GROUP BY i),
+k AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS number FROM (SELECT DISTINCT root FROM c)),
+m AS (SELECT n.i, min(number) AS number FROM n JOIN c ON c.i = n.j JOIN k USING (root) GROUP BY n.i)
+SELECT v.i AS vec_id, CAST(coalesce(m.number, -1) AS INTEGER) AS dbscan_cluster, CAST(m.number IS NULL AS INTEGER) AS is_anomaly
+FROM v LEFT JOIN m ON m.i = v.i""")
+def dbscan_vectors(spark, sf_dir):
+    """Density clusters over all dimensions of the vectors."""
+    e, names = clusters.embedding_columns(table(spark, sf_dir, "embeddings"), "embedding")
+    return density.dbscan(e, "vec_id", names, 1.17, 5).select("vec_id", "dbscan_cluster", "is_anomaly")
+
+
 @query("pca_two_measures", f"""WITH {DAILY}, r AS (SELECT abs(corr(top, n_events)) AS r FROM daily)
 SELECT 'PC1' AS component, round((1 + r) / 2, 6) AS explained_ratio, round((1 + r) / 2, 6) AS cumulative_ratio FROM r
 UNION ALL SELECT 'PC2', round((1 - r) / 2, 6), CAST(1 AS DOUBLE) FROM r""")
