@@ -86,7 +86,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: fl
     wanted = ["size", "source_size", "target", "taken", "copies", "shards"]
     free = [n if n.lower() not in {c.lower() for c in docs.columns} else fresh(docs, n)[0] for n in wanted]
     name = dict(zip(wanted, free))
-    u, part, no, run, start, block, shard = fresh(docs.toDF(*docs.columns), "u", "part", "no", "run", "start", "block", "shard")
+    copies = range(math.ceil(most))
+    u, part, no, run, start, block, shard, of, slot, *own = fresh(
+        docs.toDF(*docs.columns), "u", "part", "no", "run", "start", "block", "shard", "of", "slot",
+        *[f"{kind}{copy}" for copy in copies for kind in ("no", "block", "shard", "at")])
     size = name["size"]
     keyed = docs.withColumn(size, F.coalesce(F.regexp_count(docs[text].cast("string"), F.lit(WORD)), F.lit(0)).cast("long"))
     keyed = keyed.withColumn(u, F.xxhash64(docs[doc_id], text_hash(docs[text].cast("string")), F.lit(seed)).bitwiseAND((1 << 62) - 1))
@@ -109,9 +112,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: fl
     up_to = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select("source", "part", F.coalesce(F.sum("size").over(up_to), F.lit(0)).alias("before"))
     offsets = offsets.join(sources, offsets["source"].eqNullSafe(sources["source"])).select(
-        offsets["source"].alias("_s"), F.col("part").alias("_p"), F.col("before").alias(start),
+        offsets["source"].alias(of), F.col("part").alias(slot), F.col("before").alias(start),
         F.col("source_size").alias(name["source_size"]), F.col("target").alias(name["target"]), F.col("source_no").alias(no))
-    joined = keyed.join(offsets, keyed[source].eqNullSafe(offsets["_s"]) & (keyed[part] == offsets["_p"])).drop("_s", "_p")
+    joined = keyed.join(offsets, keyed[source].eqNullSafe(offsets[of]) & (keyed[part] == offsets[slot])).drop(of, slot)
     inside = Window.partitionBy(source, part).orderBy(u).rowsBetween(Window.unboundedPreceding, -1)
     placed = joined.withColumn(run, F.col(start) + F.coalesce(F.sum(size).over(inside), F.lit(0)))
     whole, goal = F.col(name["source_size"]), F.col(name["target"])
@@ -120,13 +123,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: fl
     placed = placed.withColumn(name["copies"], (passes + extra).cast("int"))
     placed = placed.withColumn(name["taken"], F.col(size) * F.col(name["copies"]))
     held = []
-    for copy in range(math.ceil(most)):
-        own = f"{block}{copy}"
+    for copy in copies:
+        of_no, of_block, of_shard, drawn_at = own[4 * copy:4 * copy + 4]
         at = F.least(F.floor((F.lit(copy) * whole + F.col(run)) / words), F.ceil(goal / words) - 1).cast("long")
-        looked_up = drawn.select(F.col(no).alias(f"{no}{copy}"), F.col(block).alias(own), F.col(shard).alias(f"{shard}{copy}"))
-        placed = placed.withColumn(f"{own}b", F.when(F.col(name["copies"]) > copy, at))
-        placed = placed.join(looked_up, (F.col(no) == F.col(f"{no}{copy}")) & (F.col(f"{own}b") == F.col(own)), "left")
-        held.append(f"{shard}{copy}")
+        looked_up = drawn.select(F.col(no).alias(of_no), F.col(block).alias(of_block), F.col(shard).alias(of_shard))
+        placed = placed.withColumn(drawn_at, F.when(F.col(name["copies"]) > copy, at))
+        placed = placed.join(looked_up, (F.col(no) == F.col(of_no)) & (F.col(drawn_at) == F.col(of_block)), "left")
+        held.append(of_shard)
     placed = placed.withColumn(name["shards"], F.filter(F.array(*held), lambda s: s.isNotNull()))
     return placed.select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"`{name[n]}`") for n in wanted]), name
 

@@ -541,6 +541,16 @@ def test_mixing_awkward(awkward, nothing):
     assert mixing.mix(nothing)[0].count() == mixing.mixed_rows(nothing).count() == 0
 
 
+def test_mixing_keeps_columns_of_any_name(awkward):
+    names = ["_s", "_p", "_no0", "_block0", "_shard0", "_at1", "_of", "_slot", "_u", "_run"]
+    odd = awkward.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names) if n not in awkward.columns])
+    found, name = mixing.mix(odd)
+    plain, other = mixing.mix(awkward)
+    assert found.columns[:len(odd.columns)] == odd.columns
+    assert sorted(r[0] for r in found.select(name["taken"]).collect()) == sorted(r[0] for r in plain.select(other["taken"]).collect())
+    assert mixing.mixed_rows(odd).columns == odd.columns
+
+
 def test_pipeline(spark, sf, awkward, nothing):
     import corpus_pipeline as pipeline
     rows = pipeline.run(spark, sf).collect()
