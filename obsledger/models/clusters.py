@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import uniform
-from obsledger.models.margin import _matrix, _resident, sum_batches
+from obsledger.models.margin import NUMBERS, _matrix, _resident, numbers, sum_batches
 from obsledger.operators.timeline import cumulative
 from obsledger.session import cut_lineage
 
@@ -77,7 +77,7 @@ def _seeds(rows: DataFrame, runs: Sequence[int], p: int, k: int, rounds: int = 4
                 for i, r in enumerate(runs):
                     u = _uniform(b.column(1).to_numpy(), r * rounds + turn)
                     hit = np.flatnonzero(u < chance[:, i])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), i), pa.int32()), b.column(0).take(pa.array(hit))], ["run", "x"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), i), pa.int32()), numbers(b.column(0).take(pa.array(hit)))], ["run", "x"])
 
         keyed = rows.select("x", F.xxhash64("x"))
         for r in keyed.mapInArrow(draw, "run int, x array<double>").distinct().collect():
@@ -262,12 +262,12 @@ def _plain_silhouette(df: DataFrame, cluster: str, cols: list[str], share: float
                 sums[at:at + 200, g] = far[:, group == g].sum(1)
         i = np.repeat(np.arange(len(xa)), k)
         take = pa.array(i)
-        return pa.table([a.column("x").take(take), a.column("g").take(take), a.column("w").take(take),
+        return pa.table([numbers(a.column("x")).take(take), a.column("g").take(take), a.column("w").take(take),
                          names.dictionary.take(pa.array(np.tile(np.arange(k), len(xa)))), pa.array(sums.ravel())], ["x", "g", "w", "other", "s"])
 
     met = left.groupBy("l", "r").cogroup(right.groupBy("l", "r")).applyInArrow(
         lambda a, b: meet(a, b) if a.num_rows and b.num_rows else pa.table(
-            [pa.array([], t) for t in (a.schema.field("x").type, a.schema.field("g").type, pa.float64(), a.schema.field("g").type, pa.float64())],
+            [pa.array([], t) for t in (NUMBERS, a.schema.field("g").type, pa.float64(), a.schema.field("g").type, pa.float64())],
             ["x", "g", "w", "other", "s"]), f"x array<double>, g {kind}, w double, other {kind}, s double")
     sizes = points.groupBy(F.col("g").alias("other")).agg(F.sum("w").alias("size"))
     sums = met.groupBy("x", "g", "w", "other").agg(F.sum("s").alias("s")).join(F.broadcast(sizes), "other")  # one row a cluster

@@ -228,3 +228,11 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float = 0.5, min_s
     x = F.array(*[F.col(c).cast("double") for c in cols])
     return (df.withColumn("_point", x).join(labels, "_point").drop("_point")
               .withColumn("is_anomaly", (F.col("dbscan_cluster") == -1).cast("int")))
+
+
+def measures(labelled: DataFrame, label: str = "dbscan_cluster") -> dict[str, float]:
+    """Numbers of clusters and noise rows, and the noise in percent of all rows."""
+    row = labelled.agg(F.count_distinct(F.when(F.col(label) >= 0, F.col(label))).alias("n_clusters"),
+                       F.count_if(F.col(label) == -1).alias("n_noise_points"),
+                       (100 * F.avg((F.col(label) == -1).cast("double"))).alias("noise_percentage")).first()
+    return row.asDict()

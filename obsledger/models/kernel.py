@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsledger.models.margin import numbers
 from obsledger.models.scale import fit_scaler, scale
 from obsledger.session import cut_lineage
 
@@ -140,7 +141,7 @@ def fit_kernel_svr(df: DataFrame, features: Sequence[str], target: str, C: float
                 for a in range(0, len(own), 2000):
                     score[a:a + 2000] += kernel(own[a:a + 2000], at, gamma) @ by
                 beta = [now.get(k, b) for k, b in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist())]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(beta, pa.float64()), pa.array(score)], ["k", "x", "y", "beta", "f"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), numbers(batch.column(1)), batch.column(2), pa.array(beta, pa.float64()), pa.array(score)], ["k", "x", "y", "beta", "f"])
 
         rows = cut_lineage(rows.mapInArrow(add, SCHEMA))
         rounds += 1
@@ -174,7 +175,7 @@ def predict_kernel(model: KernelModel, df: DataFrame, out: str = "prediction") -
             x, beta = b.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, p), b.column("beta").to_numpy()
             for at in range(0, len(z), 2000):
                 sums[at:at + 2000] = kernel(z[at:at + 2000], x, gamma) @ beta
-        return pa.table([a.column("_x"), pa.array(sums)], ["_x", "s"])
+        return pa.table([numbers(a.column("_x")), pa.array(sums)], ["_x", "s"])
 
     sums = left.groupBy("part", "block").cogroup(right.groupBy("part", "block")).applyInArrow(meet, "_x array<double>, s double")
     scores = sums.groupBy("_x").agg(F.sum("s").alias("_s"))

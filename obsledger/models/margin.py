@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.models.scale import fit_scaler, scale, scaler_values
+from obsledger.session import cut_lineage
 
 ROWS_PER_TASK = 50_000
 SMALL_PARTS = 64
@@ -25,6 +26,14 @@ SMOOTHING = (2.0, 0.8, 0.3, 0.1, 0.03)
 WEIGHT_SCHEMA = "target string, kind string, feature string, weight double, mean double, std double"
 
 
+NUMBERS = pa.list_(pa.field("element", pa.float64()))
+
+
+def numbers(column):
+    """An Arrow list column whose elements may be missing, as schemas written as text have it."""
+    return column.cast(NUMBERS)
+
+
 def _matrix(column, width: int) -> np.ndarray:
     """Arrow list column to a rows x width matrix, missing numbers as nan."""
     chunk = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -301,14 +310,37 @@ def platt_column(margin, ab: tuple[float, float]):
     return 1 / (1 + F.exp(F.least(F.greatest(margin * ab[0] + ab[1], F.lit(-35.0)), F.lit(35.0))))
 
 
-def fit_classifier(df: DataFrame, features: Sequence[str], labels: Sequence[str], C: float = 1.0, **kw):
-    """(weights, platt) of linear classifiers with probabilities for one or more 0/1 labels."""
-    weights = fit_margin(df, features, labels, "hinge", C, scaled=True, **kw)
-    models = weights_of(weights)
+def fit_classifier(df: DataFrame, features: Sequence[str], labels: Sequence[str], C: float = 1.0, folds: int = 5, **kw):
+    """(weights, platt) of linear classifiers with probabilities for one or more 0/1 labels.
+
+    The sigmoid is fitted on margins of rows that the model behind them has not seen: rows are dealt into ``folds`` by a hash of
+    their features, and one joint fit serves the whole models and those without each fold. A fold whose other rows have
+    one class only takes the whole model; ``folds`` of 1 takes it for all rows.
+    """
+    rows = df.dropna(subset=list(features))
+    fold = F.pmod(F.xxhash64(*[F.col(c).cast("double") for c in features]), F.lit(folds))
+    taken, without = {c.lower() for c in df.columns}, {}
+    for label in labels:
+        for k in range(folds if folds > 1 else 0):
+            name = f"{label}_without_{k}"
+            while name.lower() in taken:
+                name = f"_{name}"
+            without[label, k] = name
+    masked = rows.select("*", *[F.when(fold != k, F.col(label)).alias(name) for (label, k), name in without.items()])
+    fitted = cut_lineage(fit_margin(masked, features, [*labels, *without.values()], "hinge", C, scaled=True, **kw))
+    weights = fitted.where(F.col("target").isin(*labels))
+    every = weights_of(fitted)
+    models = {t: every[t] for t in labels if t in every}
     if not models:
         return weights, {}
-    rows = df.dropna(subset=list(features))
-    scored = rows.select(*models, *[margin_column(m).alias(f"_m_{t}") for t, m in models.items()])
+    unseen = []
+    for t, model in models.items():
+        margin = margin_column(model)
+        for k in range(folds if folds > 1 else 0):
+            if without[t, k] in every:
+                margin = F.when(fold == k, margin_column(every[without[t, k]])).otherwise(margin)
+        unseen.append(margin.alias(f"_m_{t}"))
+    scored = rows.select(*models, *unseen)
     platt = fit_platt(scored, [(f"_m_{t}", t) for t in models])
     return weights, {t: platt[f"_m_{t}"] for t in models}
 

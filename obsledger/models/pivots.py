@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsledger.models.margin import _matrix, numbers
 from obsledger.session import cut_lineage
 
 PIVOTS = 4096
@@ -25,11 +26,6 @@ SAMPLED = 32  # points of a unit that stand for it before all of them are compar
 SLACK = 1e-9
 
 
-def _matrix(column, p: int) -> np.ndarray:
-    chunk = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return chunk.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, p)
-
-
 def within(a: np.ndarray, b: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of rows at most eps apart. Products find the candidates, sums in column order decide."""
     middle = b.mean(0) if len(b) else 0.0
@@ -73,7 +69,7 @@ def in_cells(points: DataFrame, pivots: np.ndarray) -> DataFrame:
             for part in _slices(batch, len(pivots)):
                 far = _distances(_matrix(part.column(2), p), pivots)
                 cell = far.argmin(1)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell, pa.int32()), pa.array(far[np.arange(len(cell)), cell])],
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], numbers(part.column(2)), pa.array(cell, pa.int32()), pa.array(far[np.arange(len(cell)), cell])],
                                                  ["pid", "w", "x", "cell", "far"])
 
     return points.select("pid", "w", "x").mapInArrow(run, f"pid {kind}, w long, x array<double>, cell int, far double")
@@ -99,7 +95,7 @@ def visits(points: DataFrame, pivots: np.ndarray, reach: np.ndarray, eps: float)
                 slack = SLACK * (1 + far ** 2)
                 near = (far ** 2 - own ** 2 <= 2 * eps * apart + slack) & (far <= reach[None, :] + eps + SLACK * (1 + far))
                 i, j = np.nonzero(near)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(i)), part.column(1).take(pa.array(i)), pa.array(j, pa.int32())],
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(i)), numbers(part.column(1).take(pa.array(i))), pa.array(j, pa.int32())],
                                                  ["a", "xa", "cell"])
 
     return points.select("pid", "x").mapInArrow(run, f"a {kind}, xa array<double>, cell int")

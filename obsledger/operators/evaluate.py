@@ -51,7 +51,11 @@ def confusion(df: DataFrame, y: str, p: str) -> DataFrame:
 
 def class_report(df: DataFrame, y: str, p: str) -> DataFrame:
     """precision, recall, f1 and support for every class, from the confusion counts."""
-    cells = confusion(df, y, p)
+    return report_of_cells(confusion(df, y, p))
+
+
+def report_of_cells(cells: DataFrame) -> DataFrame:
+    """The class report of confusion counts (actual, predicted, n)."""
     sides = F.explode(F.array(
         F.struct(F.col("actual").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("said")),
         F.struct(F.col("predicted").alias("class"), F.lit(0).cast("long").alias("support"), F.col("n").alias("said"))))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from obsledger.functions.scalars import normal
+from obsledger.functions.scalars import normal, uniform
 from obsledger.operators.clean import filter_month, filter_month_or_all
 from obsledger.operators.stats import scalar_row
 from obsledger.operators.timeline import diff_stats
@@ -23,31 +23,40 @@ ROW_NOISE = 0.1
 STEP_NOISE = 0.8
 
 
+# Parts of an entity whose smallest hashes are found first.
+PARTS = 64
+
+
 def _pick(df: DataFrame, keys: Sequence[str], cols: Sequence[str], days: int, seed: int,
           by: Sequence[str] = ()) -> DataFrame:
-    """One hashed row of history per (.., day): the row with the smallest hash, found by a plain aggregate.
+    """One hashed row of history per (.., day): of the ``days`` rows with the smallest hashes, each day draws one.
 
-    The day with the smallest hash is kept per task before the shuffle, so a
-    large entity is never gathered.
+    The smallest are found within parts of an entity first, so a large entity is never gathered, and the plan is the
+    same for any number of days.
     """
-    draws = [
-        F.min_by(F.struct(*cols), F.xxhash64(*keys, F.lit(seed), F.lit(d))).alias(f"d{d}") for d in range(days)
-    ]
-    wide = df.groupBy(*by).agg(*draws)
-    rows = F.explode(F.array(*[F.struct(F.lit(d).alias("day"), F.col(f"d{d}").alias("r")) for d in range(days)]))
-    return wide.select(*by, rows.alias("x")).select(*by, "x.day", "x.r.*")
+    order = F.xxhash64(*keys, F.lit(seed))
+    rows = df.select(*by, F.struct(*cols).alias("_r"), order.alias("_h"), F.pmod(F.xxhash64(*keys, F.lit("part")), F.lit(PARTS)).alias("_part"))
+    for groups in ([*by, "_part"], list(by)):
+        place = F.row_number().over(W.partitionBy(*groups).orderBy("_h"))
+        rows = rows.withColumn("_place", place).where(F.col("_place") <= days)
+    kept = rows.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy(*by)))  # at most ``days`` rows an entity
+    first = kept.where("_place = 1").withColumn("day", F.explode(F.sequence(F.lit(0), F.lit(days - 1))))
+    turn = F.floor(uniform(seed, *[F.col(c) for c in by], F.col("day"), "draw") * F.col("_n")) + 1
+    wanted = first.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], "day", turn.alias("_turn"))
+    same = F.col("_turn") == F.col("_place")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    return kept.join(wanted, same).select(*by, "day", "_r.*")
 
 
 def _category_fill(df: DataFrame, keys: Sequence[str], categories: Sequence[str], days: int, seed: int) -> dict:
-    """Per category one observed value for every day, drawn by the smallest hash over rows that have it."""
-    if not categories:
-        return {}
-    out = df.agg(*[
-        F.array(*[
-            F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.xxhash64(*keys, F.lit(seed), F.lit(d), F.lit(c))))
-            for d in range(days)
-        ]).alias(c) for c in categories])
-    return scalar_row(out)
+    """Per category observed values drawn by the smallest hashes over rows that have it, one for each day (in turn if fewer)."""
+    out: dict = {}
+    for c in categories:
+        drawn = df.where(F.col(c).isNotNull()).select(F.xxhash64(*keys, F.lit(seed), F.lit(c)).alias("h"), F.col(c).alias("v")).orderBy("h", "v").limit(days)
+        one = drawn.agg(F.transform(F.array_sort(F.collect_list(F.struct("h", "v"))), lambda p: p["v"]).alias(c))
+        out |= scalar_row(one)
+    return out
 
 
 def synthetic_days(df: DataFrame, roles: Roles, n: int = 10, start: str = "2025-01-01", seed: int = 42) -> DataFrame:
@@ -63,7 +72,7 @@ def synthetic_days(df: DataFrame, roles: Roles, n: int = 10, start: str = "2025-
     fills = _category_fill(df, keys, roles.categoricals, n, seed)
     rows = _pick(pool, keys, carried, n, seed)
     noisy = {m: (F.col(m) + normal(F.col("day"), m, seed) * stds[m] * ROW_NOISE) for m in roles.measures}
-    filled = {c: F.coalesce(F.col(c), fills[c][F.col("day")]) for c in roles.categoricals}
+    filled = {c: F.coalesce(F.col(c), F.get(fills[c], F.when(F.size(fills[c]) > 0, F.col("day") % F.size(fills[c])))) for c in roles.categoricals}
     out = rows.withColumns({**noisy, **filled, roles.date: F.date_add(F.lit(start).cast("date"), F.col("day"))})
     return out.select(roles.entity, roles.date, *roles.measures, *roles.categoricals)
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsledger.models.horizons import (
-    HorizonModels, entity_codes, fit_horizons, forecast_features, horizon_targets, sequence_forecast,
+    HorizonModels, entity_codes, fit_horizons, forecast_features, horizon_targets, predict_wide, sequence_forecast,
 )
+from obsledger.operators.metering import Meter
 from obsledger.operators.reshape import nest_forecast
 from obsledger.operators.timeline import first_n
 from obsledger.roles import HORIZONS, Roles
@@ -24,6 +25,18 @@ def train(df: DataFrame, roles: Roles, variables: Sequence[str], entities: Seque
     return fit_horizons(rows, features, targets, labels, **kw), featured, features, codes
 
 
+def metered_train(df: DataFrame, roles: Roles, variables: Sequence[str], run_id: str, **how):
+    """(what ``train`` returns, metric rows): training seconds, then seconds and rows of one prediction of all rows, and model bytes."""
+    meter, name = Meter(df.sparkSession, run_id), "ThreeDayForecast"
+    trained = meter.step(name, "training_time_seconds", lambda: train(df, roles, variables, **how))
+    models, featured, _, _ = trained
+    watched = meter.watch(predict_wide(featured, models, [roles.entity]), name)
+    meter.step(name, "prediction_time_seconds", lambda: watched.write.format("noop").mode("overwrite").save())
+    meter.value(name, "n_models", models.weights.select("target").distinct().count())
+    meter.size(name, models.weights)
+    return trained, meter.rows()
+
+
 def latest_rows(df: DataFrame, roles: Roles) -> DataFrame:
     """Last row of every entity: the starting point of its forecast."""
     return first_n(df, roles.entity, [F.desc(c) for c in roles.order()], 1)

@@ -18,7 +18,7 @@ from obsledger.plans import forecast, patterns, prepare, regression, report, ris
 from obsledger.queries.forecasts import _HISTORY, STATION
 from obsledger.queries.frames import daily, metric_rows
 from obsledger.roles import METRIC_SCHEMA, OBSERVATION_SCHEMA, WEATHER
-from obsledger.sources import files, tables
+from obsledger.sources import commits, files, tables
 
 
 # ---- files and tables -----------------------------------------------------------------
@@ -193,17 +193,26 @@ def test_regression_family(spark, sf):
     r2 = {r["model_name"]: r["value"] for r in out.where("metric = 'r2'").collect()}
     assert set(r2) == {"LinearRegression", "DecisionTreeRegressor", "RandomForestRegressor", "SVM"}
     assert all(v > 0.5 for v in r2.values())
+    names = {(r["model_name"], r["metric"]): r["value"] for r in out.collect()}
+    for model in r2:
+        assert names[model, "rows_scored"] > 0 and names[model, "model_size"] > 0
+        assert names[model, "training_time_seconds"] > 0 and names[model, "prediction_time_seconds"] > 0
+    assert len(names) == out.count() == 4 * 8
 
 
 def test_forest_risk_and_bayes(spark, sf):
     rows = daily(spark, sf).withColumn("rain_tomorrow", F.when(F.col("total") > 150, "Yes").otherwise("No"))
     ready = regress.with_calendar(rows, "d")
     metrics, index, model = risk.forest_risk(ready, _HISTORY, ["total", "top"], "r1", trees=5)
-    assert {r["metric"] for r in metrics.collect()} == {"accuracy", "precision", "recall", "f1"}
+    timing = {"training_time_seconds", "prediction_time_seconds", "rows_scored", "model_size"}
+    assert {r["metric"] for r in metrics.collect()} == {"accuracy", "precision", "recall", "f1"} | timing
     assert index.count() == rows.select("station").distinct().count()
     assert index.agg(F.min("climate_risk_index"), F.max("climate_risk_index")).first()[0] >= 0
     params, scores, scored = risk.bayes_next_day(daily(spark, sf).withColumn("k", F.lit(1)), STATION, "r1", "k")
-    assert params.count() == 2 and scores.count() == 4 and not scored.isEmpty()
+    assert params.count() == 2 and not scored.isEmpty()
+    found = {r["metric"]: r["value"] for r in scores.collect()}
+    assert {"accuracy", "precision_rain", "recall_no_rain", "f1_rain", "f1"} | timing <= set(found)
+    assert found["rows_scored"] == scored.count() and found["f1"] == found["f1_rain"]
 
 
 def test_bayes_on_the_weather_table(spark, weather):
@@ -222,6 +231,14 @@ def test_patterns_job(spark, sf):
     assert all(found[x].count() == n for x in ("kmeans", "dbscan", "pca", "isolation"))
     assert found["kmeans_insights"].count() == 4 and found["cross_insights"].count() == 2
     assert found["pca_insights"].count() == 4
+    metrics = {(r["model_name"], r["metric"]): r["value"] for r in found["metrics"].collect()}
+    noise = found["dbscan"].where("dbscan_cluster = -1").count()
+    assert metrics["DBSCAN", "n_noise_points"] == noise and abs(metrics["DBSCAN", "noise_percentage"] - 100 * noise / n) < 1e-9
+    assert metrics["DBSCAN", "n_clusters"] == found["dbscan"].where("dbscan_cluster >= 0").select("dbscan_cluster").distinct().count()
+    assert metrics["IsolationForest", "n_anomalies"] == found["isolation"].where("is_anomaly = 1").count()
+    assert metrics["KMeans", "inertia"] > 0 and -1 <= metrics["KMeans", "silhouette_score"] <= 1
+    assert abs(metrics["KMeans", "inertia"] - found["kmeans"].agg(F.sum("distance2")).first()[0]) < 1e-6 * metrics["KMeans", "inertia"]
+    assert {m for m, name in metrics if name == "training_time_seconds"} == {"KMeans", "DBSCAN", "PCA", "IsolationForest"}
 
 
 def test_report_job(spark, sf):
@@ -254,3 +271,41 @@ def test_stream_scores_new_files_once(spark, sf, tmp_path):
         q = score_arriving(arriving(spark, str(tmp_path / "in"), rows.schema), params, ["total", "top"], str(tmp_path / "out"))
         q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+
+
+def test_forecast_job_is_metered(spark, sf):
+    rows = daily(spark, sf)
+    (models, featured, features, codes), metrics = forecast.metered_train(rows, STATION, ["total"], "r9")
+    found = {r["metric"]: r["value"] for r in metrics.collect()}
+    assert set(found) == {"training_time_seconds", "prediction_time_seconds", "rows_scored", "n_models", "model_size"}
+    assert found["rows_scored"] == featured.count() and found["n_models"] == 3
+
+
+def test_rows_are_stored_once(spark, tmp_path):
+    path, schema = str(tmp_path / "results"), "a int, b string"
+    rows = spark.createDataFrame([(1, "x"), (2, None)], schema)
+    assert commits.read_committed(spark, path, schema).count() == 0
+    assert commits.append_once(rows, path, "run 1") and not commits.append_once(rows, path, "run 1")
+    assert commits.append_once(rows.limit(1), path, "run 2")
+    read = lambda: sorted(map(tuple, commits.read_committed(spark, path, schema).collect()), key=str)
+    want = [(1, "x", "run 1"), (1, "x", "run 2"), (2, None, "run 1")]
+    assert read() == want
+    lost = commits.stage(rows, path)  # a step that ended before it was published
+    assert read() == want
+    late = commits.stage(rows, path)  # two attempts of one key, side by side
+    commits.publish(spark, path, "run 3", lost)
+    commits.publish(spark, path, "run 3", late)
+    assert read() == sorted([*want, (1, "x", "run 3"), (2, None, "run 3")], key=str)
+    assert commits.commits(spark, path).where("key = 'run 3'").first()["attempt"] == lost
+
+
+def test_draws_have_one_plan_for_any_length(spark, sf):
+    rows = daily(spark, sf).withColumn("rain_tomorrow", F.lit("No"))
+    short, long = (Y.coherent_sequences(rows, _HISTORY, ["total"], start="2024-01-01", length=n) for n in (3, 40))
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert size(short) == size(long)
+    counts = long.groupBy("station").count().collect()
+    assert all(r["count"] == 40 for r in counts)
+    again = Y.coherent_sequences(rows.repartition(7), _HISTORY, ["total"], start="2024-01-01", length=40)
+    same = lambda df: df.withColumns({c: F.round(c, 6) for c in ("total", "top")})
+    assert same(long).exceptAll(same(again)).isEmpty()
