@@ -25,5 +25,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module once."""
     from obsledger.queries import (  # noqa: F401
-        aggregates, catalogue, cleaning, forecasts, learned, profiling, timelines,
+        aggregates, catalogue, cleaning, forecasts, jobs, learned, profiling, timelines,
     )
