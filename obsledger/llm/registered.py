@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsledger.llm import oracles
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -109,7 +111,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query("op13_conversation_repair")
+@query("op13_conversation_repair", oracles.CONVERSATIONS)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged and then repaired: its faults, the cheapest edits and a digest of the result."""
     from obsledger.llm.dialogue import damage, plan, with_digest
@@ -118,7 +120,7 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_digest(damaged, plan(damaged, rows.select("conv_id")))
 
 
-@query("op11_phrase_collocations")
+@query("op11_phrase_collocations", oracles.COLLOCATIONS)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 collocations of each language over all documents."""
     from obsledger.llm.phrases import collocations

@@ -261,3 +261,15 @@ def test_conversations_without_rows(spark):
 def test_decoding_empty_lists():
     words = bpe.Vocabulary(registered.vocabulary())
     assert words.decode(pa.array([], pa.int32()), [0, 0]).to_pylist() == [""]
+
+
+@pytest.mark.parametrize("name", sorted(registered.ORACLES))
+def test_same_as_sql(spark, sf, name):
+    import duckdb
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
+    want = con.sql(registered.ORACLES[name])
+    got = registered.QUERIES[name](spark, sf)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
