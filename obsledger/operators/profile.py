@@ -92,6 +92,28 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     )
 
 
+def histograms(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
+    """(column, bin, lo, hi, n) of equal-width bins for all columns in two scans: one for the ends, one for the counts.
+
+    Missing values and NaN are left out; a column without values has no bins, a constant one has all its rows in bin 0.
+    """
+    values = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    ends = df.agg(*[F.struct(F.min(v).alias("lo"), F.max(v).alias("hi")).alias(f"{i}") for i, v in enumerate(values.values())]).first()
+    cells = []
+    for i, (c, v) in enumerate(values.items()):
+        lo, hi = ends[i]
+        if lo is not None:
+            at = F.floor((v - lo) / ((hi - lo) / bins)).cast("int") if hi > lo else F.when(v.isNotNull(), 0)
+            cells.append(F.struct(F.lit(c).alias("column"), F.when(v.isNotNull(), F.least(at, F.lit(bins - 1))).alias("bin"),
+                                  F.lit(float(lo)).alias("from"), F.lit((hi - lo) / bins).alias("width")))
+    if not cells:
+        return df.sparkSession.createDataFrame([], "column string, bin int, lo double, hi double, n long")
+    counted = (df.select(F.explode(F.array(*cells)).alias("x")).select("x.*").where(F.col("bin").isNotNull())
+               .groupBy("column", "bin", "from", "width").agg(F.count(F.lit(1)).alias("n")))
+    return counted.select("column", "bin", (F.col("from") + F.col("bin") * F.col("width")).alias("lo"),
+                          (F.col("from") + (F.col("bin") + 1) * F.col("width")).alias("hi"), "n")
+
+
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair over rows where both are present; one pass."""
     pairs = list(combinations_with_replacement(cols, 2))

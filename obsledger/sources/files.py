@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from obsledger.operators.reshape import latest_version
@@ -48,8 +50,21 @@ def read_doc(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
 
 
 def read_latest(spark: SparkSession, path: str, version: str = "version", fmt: str = "parquet") -> DataFrame:
-    """Newest version of a table partitioned by ``version``."""
-    return latest_version(spark.read.format(fmt).load(path), version)
+    """Newest version of a table partitioned by ``version``: versions are read off the folders' names, only one folder's files are opened.
+
+    Versions are compared as Spark types them (numbers, dates or text). A table without such folders is searched by value.
+    """
+    table = spark.read.format(fmt).load(path)
+    mark = f"{version}="
+    folders = {part[len(mark):] for file in table.inputFiles() for part in file.split("/") if part.startswith(mark)}
+    folders.discard("__HIVE_DEFAULT_PARTITION__")
+    if not folders:
+        return latest_version(table, version)
+    kind = table.schema[version].dataType
+    named = spark.createDataFrame([(f, unquote(f)) for f in sorted(folders)], "folder string, name string")
+    newest = named.orderBy(F.col("name").cast(kind).desc(), "name").first()["folder"]
+    rows = spark.read.format(fmt).schema(table.schema).option("basePath", path).load(f"{path}/{mark}{unquote(newest)}")
+    return rows.select(*table.columns)
 
 
 def save_model(model, path: str) -> None:

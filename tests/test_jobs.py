@@ -37,6 +37,9 @@ def test_parquet_json_and_versions(spark, tmp_path):
     files.write_table(df, str(tmp_path / "p"), partition_by=["version"])
     latest = files.read_latest(spark, str(tmp_path / "p"))
     assert sorted(r["id"] for r in latest.collect()) == [2, 3]
+    assert latest.columns == df.columns and len(latest.inputFiles()) < len(spark.read.parquet(str(tmp_path / "p")).inputFiles())
+    files.write_table(df.withColumn("version", F.concat(F.lit("v 0"), F.col("version"))), str(tmp_path / "q"), partition_by=["version"])
+    assert {r["version"] for r in files.read_latest(spark, str(tmp_path / "q")).collect()} == {"v 07"}
     files.write_doc(df, str(tmp_path / "j"))
     assert files.read_doc(spark, str(tmp_path / "j"), df.schema).exceptAll(df).isEmpty()
     files.write_table(df, str(tmp_path / "c"), "csv")
