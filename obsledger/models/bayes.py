@@ -80,6 +80,17 @@ def predict_next_day(df: DataFrame, params: DataFrame, features: Sequence[str],
         F.col("probability").alias("RainTomorrow_Probability"))
 
 
+def next_day_or_error(df: DataFrame, params: DataFrame, features: Sequence[str], roles: Roles, date: str | None = None) -> DataFrame:
+    """``predict_next_day`` with a column ``error``; a date without rows gives one row that says so."""
+    found = predict_next_day(df, params, features, roles, date)
+    d = F.col(roles.date).cast("date")
+    asked = F.lit(date).cast("date") if date else df.agg(F.max(d).alias("m")).scalar()
+    none = df.where(d == asked).agg(F.count(F.lit(1)).alias("n")).where("n = 0")
+    text = F.concat(F.lit("No hay datos para la fecha "), F.coalesce(F.date_format(asked, "yyyy-MM-dd"), F.lit("")))
+    missing = none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema.fields], text.alias("error"))
+    return found.withColumn("error", F.lit(None).cast("string")).unionByName(missing)
+
+
 def predict_rows(df: DataFrame, params: DataFrame, features: Sequence[str]) -> DataFrame:
     """Add label and probability to any rows (such as synthetic ones), filling gaps with the batch mean."""
     from obsledger.operators.clean import impute

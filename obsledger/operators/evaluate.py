@@ -84,6 +84,18 @@ def forecast_error(forecast: DataFrame, actual: DataFrame, keys: Sequence[str],
                  F.sqrt(F.avg(F.col("err") * F.col("err"))).alias("rmse")))
 
 
+def label_agreement(forecast: DataFrame, actual: DataFrame, keys: Sequence[str], label: str, horizon: str | None = None,
+                    positive: str = "Yes") -> DataFrame:
+    """n, accuracy, precision, recall and f1 of a forecast's label (such as rain) per horizon, joined to what happened.
+
+    Days without a label on either side are left out.
+    """
+    truth = actual.select(*keys, F.col(label).alias("_truth"))
+    both = forecast.join(truth, list(keys)).where(F.col(label).isNotNull() & F.col("_truth").isNotNull())
+    coded = both.withColumns({"_y": (F.col("_truth") == positive).cast("int"), "_p": (F.col(label) == positive).cast("int")})
+    return classification_metrics(coded, "_y", "_p", [horizon] if horizon else [])
+
+
 def forecast_status(forecast: DataFrame, actual: DataFrame, date: str) -> DataFrame:
     """Forecast days, actual days and whether the forecast can be checked."""
     fc = scalar_row(forecast.agg(F.count_distinct(date).alias("n")))["n"]

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from obsledger.functions.scalars import default_run_id
 from obsledger.models import bayes, density
-from obsledger.operators import catalogue, insight, publish
+from obsledger.operators import catalogue, evaluate, insight, publish
 from obsledger.operators.reshape import nest_forecast
 from obsledger.plans import regression
 from obsledger.queries import query
+from obsledger.queries.forecasts import STATION
 from obsledger.queries.frames import DAILY, METRICS, daily, metric_rows, rounded, table
 from obsledger.queries.learned import _F, _nb_params, _nb_rows, _nb_score, _NB_ROWS
 from obsledger.session import checkpoint_dir
@@ -123,3 +124,27 @@ def dashboard_extracts(spark, sf_dir):
         one = rows.agg(F.lit(path.rsplit("/", 1)[1]).alias("extract"), F.count(F.lit(1)).alias("n"), F.round(F.sum("value") / 1e6, 2).alias("total"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query("next_day_or_error", f"""WITH {_NB_ROWS}, {_nb_params("r", _F, "y")}, t AS (SELECT * FROM r WHERE d = (SELECT max(d) FROM r)), {_nb_score("t", _F, "station, d")}
+SELECT station, d, strftime(d + INTERVAL 1 DAY, '%Y-%m-%d') AS "NextDate", CASE WHEN probability > 0.5 THEN 'Yes' ELSE 'No' END AS "RainTomorrow_Prediction",
+  round(probability, 6) AS "RainTomorrow_Probability", CAST(NULL AS VARCHAR) AS error FROM pr
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 'No hay datos para la fecha 1900-01-01' WHERE NOT EXISTS (SELECT 1 FROM daily WHERE d = DATE '1900-01-01')""")
+def next_day_or_error(spark, sf_dir):
+    """The latest date's predictions, and what a date without rows gives."""
+    rows = _nb_rows(spark, sf_dir)
+    params = bayes.fit_bayes(rows, _F, "y")
+    latest, none = (bayes.next_day_or_error(rows, params, _F, STATION, date) for date in (None, "1900-01-01"))
+    return rounded(latest.unionByName(none), "RainTomorrow_Probability", digits=6)
+
+
+@query("forecast_label_agreement", f"""WITH {DAILY}, s AS (SELECT n_events, rain_today = 'Yes' AS y, top > 50 AS p FROM daily),
+k AS (SELECT n_events, count(*) AS n, count(*) FILTER (y = p) AS hit, count(*) FILTER (y AND p) AS tp, count(*) FILTER (p AND NOT y) AS fp, count(*) FILTER (y AND NOT p) AS fn FROM s GROUP BY 1)
+SELECT n_events, n, round(hit / n, 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS "precision", round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
+  round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1 FROM k""")
+def forecast_label_agreement(spark, sf_dir):
+    """A label forecast against what happened, per group of days."""
+    rows = daily(spark, sf_dir)
+    forecast = rows.select("station", "d", "n_events", F.when(F.col("top") > 50, "Yes").otherwise("No").alias("rain_today"))
+    out = evaluate.label_agreement(forecast, rows, ["station", "d"], "rain_today", "n_events")
+    return rounded(out, "accuracy", "precision", "recall", "f1", digits=6)
