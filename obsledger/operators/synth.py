@@ -23,7 +23,9 @@ ROW_NOISE = 0.1
 STEP_NOISE = 0.8
 
 
-# Parts of an entity whose smallest hashes are found first.
+# Up to so many rows a group, Spark itself keeps only the first of each task before it shuffles them for a ranking.
+RANKED = 1000
+# Beyond, the smallest hashes are found within so many parts of an entity first.
 PARTS = 64
 
 
@@ -31,22 +33,17 @@ def _pick(df: DataFrame, keys: Sequence[str], cols: Sequence[str], days: int, se
           by: Sequence[str] = ()) -> DataFrame:
     """One hashed row of history per (.., day): of the ``days`` rows with the smallest hashes, each day draws one.
 
-    The smallest are found within parts of an entity first, so a large entity is never gathered, and the plan is the
-    same for any number of days.
+    A large entity is never gathered, only its ``days`` rows, and the plan is the same for any number of days.
     """
-    order = F.xxhash64(*keys, F.lit(seed))
-    rows = df.select(*by, F.struct(*cols).alias("_r"), order.alias("_h"), F.pmod(F.xxhash64(*keys, F.lit("part")), F.lit(PARTS)).alias("_part"))
-    for groups in ([*by, "_part"], list(by)):
-        place = F.row_number().over(W.partitionBy(*groups).orderBy("_h"))
+    rows = df.select(*by, F.struct(F.xxhash64(*keys, F.lit(seed)).alias("h"), F.struct(*cols).alias("r")).alias("_s"),
+                     *([F.pmod(F.xxhash64(*keys, F.lit("part")), F.lit(PARTS)).alias("_part")] if days > RANKED else []))
+    for groups in ([[*by, "_part"]] if days > RANKED else []) + [list(by)]:
+        place = F.row_number().over(W.partitionBy(*groups).orderBy("_s.h"))
         rows = rows.withColumn("_place", place).where(F.col("_place") <= days)
-    kept = rows.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy(*by)))  # at most ``days`` rows an entity
-    first = kept.where("_place = 1").withColumn("day", F.explode(F.sequence(F.lit(0), F.lit(days - 1))))
-    turn = F.floor(uniform(seed, *[F.col(c) for c in by], F.col("day"), "draw") * F.col("_n")) + 1
-    wanted = first.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], "day", turn.alias("_turn"))
-    same = F.col("_turn") == F.col("_place")
-    for i, c in enumerate(by):
-        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
-    return kept.join(wanted, same).select(*by, "day", "_r.*")
+    held = rows.groupBy(*by).agg(F.array_sort(F.collect_list("_s")).alias("_all"))
+    draws = F.transform(F.sequence(F.lit(0), F.lit(days - 1)), lambda day: F.struct(day.alias("day"), F.element_at(
+        "_all", (F.floor(uniform(seed, *[F.col(c) for c in by], day, "draw") * F.size("_all")) + 1).cast("int"))["r"].alias("r")))
+    return held.select(*by, F.explode(draws).alias("_x")).select(*by, "_x.day", "_x.r.*")
 
 
 def _category_fill(df: DataFrame, keys: Sequence[str], categories: Sequence[str], days: int, seed: int) -> dict:

@@ -40,9 +40,11 @@ def shapes():
     yield "five dimensions", rng.normal(size=(600, 5)) * 0.6
 
 
-@pytest.mark.parametrize("name, x", list(shapes()), ids=[n for n, _ in shapes()])
-@pytest.mark.parametrize("small", [False, True])
-def test_labels_equal_the_sequential_ones(spark, monkeypatch, name, x, small):
+CASES = [(x, True) for _, x in shapes()] + [(next(shapes())[1], False)]
+
+
+@pytest.mark.parametrize("x, small", CASES, ids=[*(n for n, _ in shapes()), "blobs, few pivots"])
+def test_labels_equal_the_sequential_ones(spark, monkeypatch, x, small):
     if small:  # many pivots, and blocks that part every cell
         for key, value in (("POINTS_PER_PIVOT", 20), ("BLOCK", 40), ("SAMPLED", 2)):
             monkeypatch.setattr(pivots, key, value)
