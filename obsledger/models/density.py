@@ -195,38 +195,53 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float = 0.5, min_s
     """Add ``dbscan_cluster`` (-1 for noise) and ``is_anomaly``.
 
     ``key`` is a unique number per row. Clusters are numbered by their smallest
-    core key; a border point takes the smallest number among its core neighbours.
+    core key; a border point takes the smallest number among its core neighbours. In more than three columns rows with a missing
+    or infinite number are noise.
     """
     p = len(cols)
-    if p > 3 and dims is None:  # a grid of 3 dimensions would not part the points
+    wide = p > 3 and dims is None  # a grid of 3 dimensions would not part the points
+    if wide:
         coordinates = F.array(*[F.col(c).cast("double") for c in cols])
         distinct = df.select(F.col(key).alias("key"), coordinates.alias("x")).groupBy("x").agg(F.min("key").alias("pid"), F.count(F.lit(1)).alias("w"))
-        pts, near, centres = pivots.neighbourhoods(distinct, eps, min_samples, p)
-        links = pivots.unit_links(pts, centres, eps)
+        known = distinct.where(F.forall("x", lambda v: F.coalesce(F.abs(v) < math.inf, F.lit(False))))  # the others are near nothing
+        placed = pivots.place(known, eps, min_samples, p)
+        pts, links = placed.points, pivots.unit_links(placed.points, placed.pivots, eps)
+        core = cut_lineage(pivots.core_points(placed, min_samples).union(pts.where("dense").select("pid")))
     else:
         dims = dims or min(p, 3)
         pts, near = neighbourhoods(df, key, cols, eps, min_samples, dims)
         links = _dense_links(pts, eps, p, dims)
-    core = cut_lineage(neighbour_counts(pts, near, min_samples).where("is_core").select("pid"))
+        core = cut_lineage(neighbour_counts(pts, near, min_samples).where("is_core").select("pid"))
     # units that are core: dense cells and core points
     units = pts.where("dense").select(F.col("unit").alias("node")).union(
         pts.where(~F.col("dense")).join(core, "pid", "left_semi").select(F.col("pid").alias("node"))).distinct()
-    near_core = near.join(units.select(F.col("node").alias("unit")), "unit", "left_semi")
-    edges = (near_core.join(core.select(F.col("pid").alias("a")), "a", "left_semi")
-             .select(F.col("a").alias("u"), F.col("unit").alias("v"))
-             .unionByName(links.select(F.col("u1").alias("u"), F.col("u2").alias("v"))))
+    linked = links.select(F.col("u1").alias("u"), F.col("u2").alias("v"))
+    if wide:
+        core_pts = cut_lineage(pts.join(core, "pid", "left_semi"))
+        edges = pivots.core_links(placed, core_pts).unionByName(linked)
+    else:
+        near_core = near.join(units.select(F.col("node").alias("unit")), "unit", "left_semi")
+        edges = (near_core.join(core.select(F.col("pid").alias("a")), "a", "left_semi")
+                 .select(F.col("a").alias("u"), F.col("unit").alias("v")).unionByName(linked))
     roots = components(edges, units)
     numbers = roots.select("root").distinct()
     numbers = rank_by(numbers, "root", "number", desc=False).select("root", (F.col("number") - 1).cast("int").alias("number"))
     unit_number = roots.join(numbers, "root").select(F.col("node").alias("unit"), "number")
-    border = (near_core.join(core.select(F.col("pid").alias("a")), "a", "left_anti")
-              .join(unit_number, "unit").groupBy(F.col("a").alias("pid")).agg(F.min("number").alias("border")))
+    if wide:
+        unit_number = cut_lineage(unit_number)
+        border = pivots.border_numbers(placed, pts.join(core, "pid", "left_anti"), core_pts.join(unit_number, "unit"))
+    else:
+        border = (near_core.join(core.select(F.col("pid").alias("a")), "a", "left_anti")
+                  .join(unit_number, "unit").groupBy(F.col("a").alias("pid")).agg(F.min("number").alias("border")))
     labels = (
         pts.select("pid", "x", "unit").join(unit_number, "unit", "left").join(border, "pid", "left")
         .select(F.col("x").alias("_point"), F.coalesce("number", "border", F.lit(-1)).alias("dbscan_cluster"))
     )
     x = F.array(*[F.col(c).cast("double") for c in cols])
-    return (df.withColumn("_point", x).join(labels, "_point").drop("_point")
+    labelled = df.withColumn("_point", x).join(labels, "_point", "left" if wide else "inner").drop("_point")
+    if wide:
+        labelled = labelled.withColumn("dbscan_cluster", F.coalesce("dbscan_cluster", F.lit(-1)))
+    return (labelled
               .withColumn("is_anomaly", (F.col("dbscan_cluster") == -1).cast("int")))
 
 

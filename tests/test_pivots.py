@@ -62,6 +62,33 @@ def test_within_decides_ties_exactly():
     assert list(pivots.within(a, np.array([[1e8 + 3, 1e8 + 4]]), 5.0)[0]) == [1]
 
 
+def test_unparted_points_give_back_less_than_their_pairs(spark, monkeypatch):
+    """Directions in 40 dimensions, where no cell is out of reach: tasks give back a number or a link a point, never visits or pairs."""
+    monkeypatch.setattr(pivots, "POINTS_PER_PIVOT", 20)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 40))
+    x /= np.sqrt((x ** 2).sum(1))[:, None]
+    points = spark.createDataFrame([(i, 1, r.tolist()) for i, r in enumerate(x)], "pid long, w long, x array<double>")
+    placed = pivots.place(points, 1.3, 5, 40)
+    blocks = placed.points.select("block").distinct().count()
+    near = (((x[:, None] - x[None]) ** 2).sum(2) <= 1.3 ** 2)
+    assert near.sum() > 50 * len(x) and len(placed.pivots) == 45
+    core = pivots.core_points(placed, 5)
+    assert {r["pid"] for r in core.collect()} == set(np.flatnonzero(near.sum(1) >= 5).tolist())
+    links = pivots.core_links(placed, placed.points.join(core, "pid", "left_semi"))
+    assert placed.n_pairs <= blocks * (blocks + 1) / 2 and links.count() <= len(x) * blocks
+
+
+def test_missing_numbers_are_noise_and_leave_the_others_alone(spark):
+    x = next(shapes())[1]
+    cols = [f"c{k}" for k in range(x.shape[1])]
+    rows = [(i, *map(float, r)) for i, r in enumerate(x)]
+    odd = [(1000, *[None] * x.shape[1]), (1001, float("nan"), *[0.0] * (x.shape[1] - 1)), (1002, float("inf"), *[0.0] * (x.shape[1] - 1))]
+    df = spark.createDataFrame(rows + odd, "id long, " + ", ".join(f"{c} double" for c in cols))
+    got = density.dbscan(df, "id", cols, 0.5, 5).orderBy("id").toPandas()["dbscan_cluster"].to_numpy()
+    assert (got == np.append(sequential(x, 0.5, 5), [-1] * 3)).all()
+
+
 def test_no_rows(spark):
     cols = [f"c{k}" for k in range(5)]
     empty = spark.createDataFrame([], "id long, " + ", ".join(f"{c} double" for c in cols))
