@@ -231,7 +231,35 @@ def silhouette(df: DataFrame, cluster: str, cols: Sequence[str], distance: str =
 
 
 # Points of one side that meet in a task.
-QUERY_ROWS, POINT_ROWS = 2_000, 20_000
+QUERY_ROWS, POINT_ROWS = 20_000, 20_000
+ASKED = 8  # queries are dealt into this many blocks at least, of LEAST points at least
+LEAST = 500
+PRODUCTS = 500_000  # pairs compared at once
+
+
+def distances_to(b: np.ndarray):
+    """Function of rows that gives their plain distances to ``b``: by a product of matrices or, where that leaves few digits (near points), by differences."""
+    middle = np.median(b, axis=0)
+    with np.errstate(invalid="ignore"):
+        b0 = b - middle
+        sb = (b0 ** 2).sum(1)
+        cols, most = np.ascontiguousarray(np.column_stack([b0, sb, np.ones(len(b))]).T), sb.max()
+
+    def distances(a: np.ndarray) -> np.ndarray:
+        with np.errstate(invalid="ignore"):
+            a0 = a - middle
+            sa = (a0 ** 2).sum(1)
+            total = np.column_stack([-2 * a0, np.ones(len(a)), sa]) @ cols
+            near = np.flatnonzero(~(total > 1e-6 * (sa.max() + most)))
+            i, j = np.divmod(near, len(b))
+            exact = np.zeros(len(i))
+            for k in range(a.shape[1]):
+                gap = a[i, k] - b[j, k]
+                exact += gap * gap
+            total.ravel()[near] = exact
+            return np.sqrt(total, out=total)
+
+    return distances
 
 
 def _plain_silhouette(df: DataFrame, cluster: str, cols: list[str], share: float) -> float:
@@ -240,7 +268,7 @@ def _plain_silhouette(df: DataFrame, cluster: str, cols: list[str], share: float
     points = cut_lineage(df.dropna(subset=cols).groupBy(x.alias("x"), F.col(cluster).alias("g")).agg(F.count(F.lit(1)).cast("double").alias("w")))
     asked = points if share >= 1 else points.where(uniform("silhouette", F.col("x")) < share)
     n, m = points.count(), asked.count()
-    lp, rp = max(1, -(-m // QUERY_ROWS)), max(1, -(-n // POINT_ROWS))
+    lp, rp = max(1, -(-m // QUERY_ROWS), min(ASKED, m // LEAST)), max(1, -(-n // POINT_ROWS))
     left = (asked.withColumn("l", F.pmod(F.xxhash64("x", "g"), F.lit(lp)).cast("int"))
             .withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(rp - 1)))))
     right = (points.withColumn("r", F.pmod(F.xxhash64("x", "g"), F.lit(rp)).cast("int"))
@@ -252,19 +280,20 @@ def _plain_silhouette(df: DataFrame, cluster: str, cols: list[str], share: float
         xa, xb, w = _matrix(a.column("x"), p), _matrix(b.column("x"), p), b.column("w").to_numpy()
         group, k = names.indices.to_numpy(), len(names.dictionary)
         sums = np.zeros((len(xa), k))
-        for at in range(0, len(xa), 200):
-            part, total = xa[at:at + 200], 0.0
-            for j in range(p):  # differences, not products: near points keep their digits
-                gap = part[:, j, None] - xb[None, :, j]
-                total = total + gap * gap
-            far = np.sqrt(total) * w
+        order = np.argsort(group, kind="stable")
+        xb, w, heads = xb[order], w[order], np.concatenate([[0], np.cumsum(np.bincount(group, minlength=k))])
+        step, distances = max(1, PRODUCTS // len(xb)), distances_to(xb)
+        for at in range(0, len(xa), step):
+            far = distances(xa[at:at + step])
             for g in range(k):
-                sums[at:at + 200, g] = far[:, group == g].sum(1)
+                sums[at:at + step, g] = far[:, heads[g]:heads[g + 1]] @ w[heads[g]:heads[g + 1]]
         i = np.repeat(np.arange(len(xa)), k)
         take = pa.array(i)
         return pa.table([numbers(a.column("x")).take(take), a.column("g").take(take), a.column("w").take(take),
                          names.dictionary.take(pa.array(np.tile(np.arange(k), len(xa)))), pa.array(sums.ravel())], ["x", "g", "w", "other", "s"])
 
+    tasks = min(lp * rp, 1000)
+    left, right = (side.repartition(tasks, "l", "r") for side in (left, right))
     met = left.groupBy("l", "r").cogroup(right.groupBy("l", "r")).applyInArrow(
         lambda a, b: meet(a, b) if a.num_rows and b.num_rows else pa.table(
             [pa.array([], t) for t in (NUMBERS, a.schema.field("g").type, pa.float64(), a.schema.field("g").type, pa.float64())],

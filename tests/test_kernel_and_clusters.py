@@ -103,6 +103,18 @@ def test_silhouette_of_plain_distances(spark, monkeypatch, queries, points):
     assert abs(part - np.mean(s)) < 0.3
 
 
+def test_distances_by_products_keep_their_digits():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(60, 30)), rng.normal(size=(20, 30)) * 1e-9 + 1, np.zeros((2, 30))]) + 1e4
+    plain = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    assert np.allclose(clusters.distances_to(x)(x), plain, rtol=1e-9, atol=0)
+
+
+def test_both_sides_of_silhouettes_come_in_equal_blocks():
+    """Copies sent grow with the larger number of blocks: 300,000 points meet as 15 x 15 blocks, not 150 x 15."""
+    assert clusters.QUERY_ROWS >= clusters.POINT_ROWS
+
+
 def test_probabilities_hold_on_rows_not_seen(spark):
     """Many features and few rows: training margins are too sure of themselves, unseen ones are not."""
     rng = np.random.default_rng(5)
