@@ -41,6 +41,35 @@ def test_kernel_dual_is_optimal(spark, waves, working, C):
     assert np.allclose(scored, f + model.bias, atol=1e-8)
 
 
+def test_many_rows_of_few_features_are_solved_through_landmarks(spark):
+    """The steps do not grow with the support vectors; values are those of the whole kernel, also far from all rows."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2500, 2))
+    y = np.sin(2 * x[:, 0]) * 3 + x[:, 1] + rng.normal(size=2500)
+    df, cols = frame(spark, x, y=y)
+    model = kernel.fit_kernel_svr(df, cols, "y")
+    assert model.converged and model.rounds < 40 and 0 <= model.gap <= 1e-3
+    held = model.vectors.toPandas()
+    z, beta = np.stack(held["x"]), held["beta"].to_numpy()
+    assert len(z) == 2500 and abs(beta.sum()) < 1e-8 and abs(beta).max() <= 100.0
+    K = kernel.kernel(z, z, 0.1)
+    near = {tuple(np.round(v, 9)): t for v, t in zip((x - x.mean(0)) / x.std(0), y)}
+    target, f = np.array([near[tuple(np.round(v, 9))] for v in z]), K @ beta
+    primal = 0.5 * beta @ f + 100 * np.maximum(abs(target - f - model.bias) - 0.1, 0).sum()
+    dual = target @ beta - 0.1 * abs(beta).sum() - 0.5 * beta @ f
+    assert dual <= primal <= model.primal * (1 + 1e-9) and model.dual <= dual * (1 + 1e-9)
+    far = df.limit(3).unionByName(spark.createDataFrame([(-1, 9.0, -7.0, 0.0)], df.schema))
+    got = kernel.predict_kernel(model, far).toPandas()
+    own = (got[cols].to_numpy() - x.mean(0)) / x.std(0)
+    assert np.allclose(got["prediction"], kernel.kernel(own, z, 0.1) @ beta + model.bias, atol=1e-4)
+
+
+def test_small_solves():
+    a = np.random.default_rng(4).normal(size=(40, 40))
+    a = a @ a.T + np.eye(40)
+    assert np.allclose(a @ kernel._solve(kernel.lower(a), a[3]), a[3]) and kernel.lower(-a) is None
+
+
 def test_kernel_parts_and_missing_rows(spark, waves, monkeypatch):
     x, y = waves
     df, cols = frame(spark, x, y=y)
