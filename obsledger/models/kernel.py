@@ -5,7 +5,7 @@ Cholesky factor, complete up to rounding). Then the dual is solved by an interio
 slacks, a step sums landmarks x landmarks numbers over all rows, and the number of steps hardly depends on the rows. What the
 factor leaves out of each row's kernel is known; it is added to the primal value and taken off the dual one.
 
-Where too many landmarks are needed, the dual is solved by decomposition. Each round takes rows whose dual value is between its bounds
+Where too many landmarks are needed, or rows are few, the dual is solved by decomposition. Each round takes rows whose dual value is between its bounds
 and those that violate the optimum most, at most ``working`` in all, solves their part of the dual, and adds their kernel columns to
 the score of every row. Only these rows and their changes travel; the others stay in their partitions with their own dual value and
 score. A round costs rows times ``working`` kernel values and the number of rounds grows with the support vectors, so for
@@ -33,6 +33,7 @@ PART = 4_000  # support vectors that meet a block of rows
 BLOCK_ROWS = 50_000
 SCHEMA = "k long, x array<double>, y double, beta double, f double"
 MOST_MARKS = 500  # landmarks; where more are needed, or a tenth of the rows, the dual is solved by decomposition
+SMALL_ROWS = 5_000  # up to so many rows the decomposition is quick
 LEFT_OUT = 1e-12  # share of a row's kernel beyond the landmarks that makes it one
 NEAR = 1e-11  # rows with more beyond the landmarks are scored by all support vectors
 STEPS = 100
@@ -341,8 +342,8 @@ def fit_kernel_svr(df: DataFrame, features: Sequence[str], target: str, C: float
     """Fit on rows that have the target and all features, standardised first.
 
     Ends when no pair of rows violates the optimum by ``tol`` or the gap is at most ``gap`` of the primal value
-    (``converged``), or after ``most_rounds``. A table without rows gives a model of bias 0. Rows at least ten times the
-    landmarks are solved by the interior-point method, to ``gap``; the other parameters are the decomposition's.
+    (``converged``), or after ``most_rounds``. A table without rows gives a model of bias 0. More than ``SMALL_ROWS`` rows, at
+    least ten times the landmarks, are solved by the interior-point method, to ``gap``; the other parameters are the decomposition's.
     """
     features, p = tuple(features), len(features)
     complete = df.dropna(subset=[*features, target]).select(*[F.col(c).cast("double").alias(c) for c in (*features, target)])
@@ -351,9 +352,8 @@ def fit_kernel_svr(df: DataFrame, features: Sequence[str], target: str, C: float
         F.monotonically_increasing_id().alias("k"), F.array(*features).alias("x"), F.col(target).alias("y"), F.lit(0.0).alias("beta"), F.lit(0.0).alias("f")))
     n, mean, spread = rows.agg(F.count(F.lit(1)), F.avg("y"), F.stddev_pop("y")).first()
     most = min(MOST_MARKS, n // 10)
-    if most and spread and np.isfinite(spread):
-        data = rows.select("x", "y").repartition(max(1, -(-n // ROWS_PER_TASK)))
-        data = cut_lineage(data)
+    if n > SMALL_ROWS and spread and np.isfinite(spread):
+        data = cut_lineage(rows.select("x", "y").repartition(-(-n // ROWS_PER_TASK)))
         factor = find_factor(data, p, gamma, most)
         solved = fit_factored(data, factor, n, float(mean), float(spread), C, eps, gap) if factor else None
         if solved:

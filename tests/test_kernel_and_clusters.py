@@ -41,8 +41,9 @@ def test_kernel_dual_is_optimal(spark, waves, working, C):
     assert np.allclose(scored, f + model.bias, atol=1e-8)
 
 
-def test_many_rows_of_few_features_are_solved_through_landmarks(spark):
+def test_many_rows_of_few_features_are_solved_through_landmarks(spark, monkeypatch):
     """The steps do not grow with the support vectors; values are those of the whole kernel, also far from all rows."""
+    monkeypatch.setattr(kernel, "SMALL_ROWS", 1000)
     rng = np.random.default_rng(3)
     x = rng.normal(size=(2500, 2))
     y = np.sin(2 * x[:, 0]) * 3 + x[:, 1] + rng.normal(size=2500)
