@@ -108,6 +108,44 @@ def test_svr_reaches_the_minimum(spark, line):
     assert ours <= best * 1.01 and ours <= objective(start)
 
 
+def test_rounds_of_a_fit_pass_over_blocks(spark, line, monkeypatch):
+    x, y = line
+    df = frame(spark, np.tile(x, (20, 1)), y=np.tile(y, 20)).withColumn("flag", (F.col("y") > 1).cast("int"))
+    handed, add_up = [], margin.sum_batches
+
+    def counted(rows, *how):
+        handed.append(rows.count())
+        return add_up(rows, *how)
+
+    monkeypatch.setattr(margin, "sum_batches", counted)
+    margin.fit_svr(df, cols(x), "y", max_iter=2)
+    margin.fit_classifier(df, cols(x), ["flag"], max_iter=2)
+    assert len(handed) > 10 and max(handed) <= 12  # 12,000 rows
+
+
+def test_packed_blocks_give_back_the_rows(spark):
+    rows = [([float(i), -float(i)], [None if i % 3 == 0 else float(i % 2)]) for i in range(50)]
+    df = spark.createDataFrame(rows, "x array<double>, y array<double>").repartition(4)
+    for labels in (False, True):
+        got = []
+        for b in margin.packed(df, (2, 1), 50, labels).toArrow().to_batches():
+            got += [(*a, *c) for x, y in margin._blocks(b, (2, 1), labels) for a, c in zip(x.tolist(), y.tolist())]
+        got.sort()
+        assert [g[:2] for g in got] == [tuple(x) for x, _ in rows]
+        assert np.array_equal([g[2] for g in got], [np.nan if y[0] is None else y[0] for _, y in rows], equal_nan=True)
+
+
+def test_rounds_leave_out_settled_targets(spark):
+    df = spark.createDataFrame([([float(i)], [float(i % 5), None if i % 4 else 1.0]) for i in range(40)], "x array<double>, y array<double>")
+    obj = margin._Objective(margin.packed(df, (1, 2), 40), 1, 2, "eps", 1.0, 0.1)
+    W, n = np.array([[0.1, 1.0], [0.2, 0.0]]), np.array([40.0, 10.0])
+    every, one = obj.evaluate(W, n, 0.5), obj.evaluate(W, n, 0.5, np.array([False, True]))
+    assert all(np.allclose(a[1], b[1]) for a, b in zip(every, one)) and np.isinf(one[0][0])
+    r = W[1, 0] * np.arange(0, 40, 4) - 1
+    over = np.maximum(np.abs(r) - 0.1, 0)
+    assert np.isclose(every[0][1], (0.5 * 0.2 ** 2 + np.where(over < 0.5, over ** 2, over - 0.25).sum()) / 10)
+
+
 def test_margin_masks_missing_targets_and_skips_empty_ones(spark, line):
     x, y = line
     df = frame(spark, x, y=y).withColumn("half", F.when(F.col("id") % 2 == 0, F.col("y"))).withColumn(
