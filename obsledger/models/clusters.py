@@ -234,7 +234,8 @@ def silhouette(df: DataFrame, cluster: str, cols: Sequence[str], distance: str =
 QUERY_ROWS, POINT_ROWS = 20_000, 20_000
 ASKED = 8  # queries are dealt into this many blocks at least, of LEAST points at least
 LEAST = 500
-PRODUCTS = 500_000  # pairs compared at once
+TILE = 500, 1000  # pairs compared at once
+SUMS = 4_000_000  # sums of points to clusters that one task adds up
 
 
 def distances_to(b: np.ndarray):
@@ -262,50 +263,112 @@ def distances_to(b: np.ndarray):
     return distances
 
 
+def _blocks(points: DataFrame, parts: int, p: int) -> DataFrame:
+    """(b, x, g, w): about ``parts`` blocks of points by hash, a row each, ordered by cluster; numbers of single precision take 4 bytes."""
+    kind = points.schema["g"].dataType.simpleString()
+
+    def pack(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("g")
+        x = _matrix(rows.column("x"), p)
+        with np.errstate(over="ignore"):
+            short = x.astype(np.float32)
+        data = (short if (short == x).all() else x).tobytes()
+        g = pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column("g").combine_chunks())
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([data], pa.binary()), g, pa.array([rows.column("w").to_numpy().tobytes()], pa.binary())],
+                        ["b", "x", "g", "w"])
+
+    dealt = points.withColumn("b", F.pmod(F.xxhash64("x", "g"), F.lit(parts)).cast("int"))
+    return cut_lineage(dealt.groupBy("b").applyInArrow(pack, f"b int, x binary, g array<{kind}>, w binary"))
+
+
 def _plain_silhouette(df: DataFrame, cluster: str, cols: list[str], share: float) -> float:
+    """Blocks travel as bytes, and a pair of blocks gives back 8 bytes for each point and cluster. With all rows asked, a pair meets
+    once and serves both sides."""
     p = len(cols)
     x = F.array(*[F.col(c).cast("double") for c in cols])
     points = cut_lineage(df.dropna(subset=cols).groupBy(x.alias("x"), F.col(cluster).alias("g")).agg(F.count(F.lit(1)).cast("double").alias("w")))
-    asked = points if share >= 1 else points.where(uniform("silhouette", F.col("x")) < share)
+    both = share >= 1
+    asked = points if both else points.where(uniform("silhouette", F.col("x")) < share)
     n, m = points.count(), asked.count()
     lp, rp = max(1, -(-m // QUERY_ROWS), min(ASKED, m // LEAST)), max(1, -(-n // POINT_ROWS))
-    left = (asked.withColumn("l", F.pmod(F.xxhash64("x", "g"), F.lit(lp)).cast("int"))
-            .withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(rp - 1)))))
-    right = (points.withColumn("r", F.pmod(F.xxhash64("x", "g"), F.lit(rp)).cast("int"))
-             .withColumn("l", F.explode(F.sequence(F.lit(0), F.lit(lp - 1)))).toDF("x", "g", "w", "r", "l"))
+    sizes = points.groupBy(F.col("g").alias("other")).agg(F.sum("w").alias("size"))
+    lp, rp = (max(lp, rp),) * 2 if both else (lp, rp)
+    piece = max(1, SUMS // (rp * max(1, sizes.count())))  # points whose sums meet in a task
+    right = _blocks(points, rp, p)
+    left = right if both else _blocks(asked, lp, p)
     kind = points.schema["g"].dataType.simpleString()
-
-    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
-        names = b.column("g").combine_chunks().dictionary_encode()
-        xa, xb, w = _matrix(a.column("x"), p), _matrix(b.column("x"), p), b.column("w").to_numpy()
-        group, k = names.indices.to_numpy(), len(names.dictionary)
-        sums = np.zeros((len(xa), k))
-        order = np.argsort(group, kind="stable")
-        xb, w, heads = xb[order], w[order], np.concatenate([[0], np.cumsum(np.bincount(group, minlength=k))])
-        step, distances = max(1, PRODUCTS // len(xb)), distances_to(xb)
-        for at in range(0, len(xa), step):
-            far = distances(xa[at:at + step])
-            for g in range(k):
-                sums[at:at + step, g] = far[:, heads[g]:heads[g + 1]] @ w[heads[g]:heads[g + 1]]
-        i = np.repeat(np.arange(len(xa)), k)
-        take = pa.array(i)
-        return pa.table([numbers(a.column("x")).take(take), a.column("g").take(take), a.column("w").take(take),
-                         names.dictionary.take(pa.array(np.tile(np.arange(k), len(xa)))), pa.array(sums.ravel())], ["x", "g", "w", "other", "s"])
+    schema = f"l int, piece int, other {kind}, s binary"
+
+    def opened(table: pa.Table) -> tuple:
+        data, w = table.column("x")[0].as_buffer(), np.frombuffer(table.column("w")[0].as_buffer(), float)
+        rows = np.frombuffer(data, np.float32 if len(data) < 8 * p * len(w) else float).astype(float).reshape(-1, p)
+        names = table.column("g")[0].values.dictionary_encode()
+        group = names.indices.fill_null(-1).to_numpy()
+        heads = np.flatnonzero(np.diff(group, prepend=-2))
+        return rows, w, names.dictionary.take(pa.array([g if g >= 0 else None for g in group[heads]], pa.int32())), np.append(heads, len(w))
+
+    def told(l: int, sums: np.ndarray, names) -> pa.Table:
+        starts = range(0, len(sums), piece)
+        return pa.table([pa.array([l] * len(starts) * len(names), pa.int32()), pa.array(np.repeat(np.arange(len(starts)), len(names)), pa.int32()),
+                         names.take(pa.array(np.tile(np.arange(len(names)), len(starts)))),
+                         pa.array([sums[a:a + piece, g].tobytes() for a in starts for g in range(len(names))], pa.binary())], ["l", "piece", "other", "s"])
+
+    def meet(key: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
+        l, r = key[0].as_py(), key[1].as_py()
+        (xa, wa, names_a, heads_a), (xb, wb, names_b, heads_b) = opened(a), opened(b)
+        sums, back = np.zeros((len(xa), len(names_b))), np.zeros((len(xb), len(names_a)))
+        serves = both and l != r
+
+        def add(to: np.ndarray, far: np.ndarray, w: np.ndarray, heads: np.ndarray, at: int) -> None:
+            """Weighted sums of columns, which are points from ``at`` on, by cluster."""
+            end = at + far.shape[1]
+            for g in range(np.searchsorted(heads, at, side="right") - 1, np.searchsorted(heads, end)):
+                lo, hi = max(heads[g], at), min(heads[g + 1], end)
+                to[:, g] += far[:, lo - at:hi - at] @ w[lo:hi]
+
+        high, wide = TILE
+        for j in range(0, len(xb), wide):
+            distances = distances_to(xb[j:j + wide])
+            for i in range(0, len(xa), high):
+                far = distances(xa[i:i + high])
+                add(sums[i:i + high], far, wb, heads_b, j)
+                if serves:
+                    add(back[j:j + wide], far.T, wa, heads_a, i)
+        out = told(l, sums, names_b)
+        return pa.concat_tables([out, told(r, back, names_a)]) if serves else out
 
     tasks = min(lp * rp, 1000)
-    left, right = (side.repartition(tasks, "l", "r") for side in (left, right))
-    met = left.groupBy("l", "r").cogroup(right.groupBy("l", "r")).applyInArrow(
-        lambda a, b: meet(a, b) if a.num_rows and b.num_rows else pa.table(
-            [pa.array([], t) for t in (NUMBERS, a.schema.field("g").type, pa.float64(), a.schema.field("g").type, pa.float64())],
-            ["x", "g", "w", "other", "s"]), f"x array<double>, g {kind}, w double, other {kind}, s double")
-    sizes = points.groupBy(F.col("g").alias("other")).agg(F.sum("w").alias("size"))
-    sums = met.groupBy("x", "g", "w", "other").agg(F.sum("s").alias("s")).join(F.broadcast(sizes), "other")  # one row a cluster
-    own = F.col("g") == F.col("other")
-    scored = sums.groupBy("x", "g", "w").agg(
-        F.max(F.when(own, F.col("size"))).alias("size"), F.max(F.when(own, F.try_divide(F.col("s"), F.col("size") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("s") / F.col("size"))).alias("b"))
-    value = F.when(F.col("size") > 1, F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))).otherwise(0.0)
-    return float(scored.agg(F.sum(value * F.col("w")) / F.sum("w")).first()[0])
+    first = left.select(F.col("b").alias("l"), F.explode(F.sequence(F.col("b") if both else F.lit(0), F.lit(rp - 1))).alias("r"), "x", "g", "w")
+    second = right.select(F.explode(F.sequence(F.lit(0), F.col("b") if both else F.lit(lp - 1))).alias("l"), F.col("b").alias("r"), "x", "g", "w")
+    first, second = (side.toDF("l", "r", "x", "g", "w").repartition(tasks, "l", "r") for side in (first, second))
+    met = first.groupBy("l", "r").cogroup(second.groupBy("l", "r")).applyInArrow(
+        lambda key, a, b: meet(key, a, b) if a.num_rows and b.num_rows else pa.table(
+            [pa.array([], t) for t in (pa.int32(), pa.int32(), (a if a.num_rows else b).schema.field("g").type.value_type, pa.binary())],
+            ["l", "piece", "other", "s"]), schema)
+
+    def score(key: tuple, table: pa.Table, block: pa.Table) -> pa.Table:
+        at = slice(key[1].as_py() * piece, (key[1].as_py() + 1) * piece)
+        w, group = np.frombuffer(block.column("w")[0].as_buffer(), float)[at], block.column("g")[0].values
+        total, size = {}, {}
+        for other, n, s in zip(table.column("other").to_pylist(), table.column("size").to_pylist(), table.column("s")):
+            total[other] = total.get(other, 0) + np.frombuffer(s.as_buffer(), float)
+            size[other] = n
+        names = group.slice(at.start, len(w)).to_pylist()
+        a, b, count = np.full(len(w), np.nan), np.full(len(w), np.inf), np.ones(len(w))
+        for g, s in total.items():
+            own = np.fromiter((v == g for v in names), bool, len(w))
+            b = np.where(own, b, np.minimum(b, s / size[g]))
+            a, count = np.where(own, s / max(size[g] - 1, 1), a), np.where(own, size[g], count)
+        most = np.maximum(a, b)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            value = np.where((count > 1) & (most > 0) & np.isfinite(most), (b - a) / most, 0.0)
+        return pa.table([pa.array([float((value * w).sum())]), pa.array([float(w.sum())])], ["v", "w"])
+
+    sums = met.join(F.broadcast(sizes), "other")  # one row a cluster
+    whole = left.withColumnRenamed("b", "l").select("l", "g", "w", F.explode(F.sequence(F.lit(0), F.floor((F.size("g") - 1) / piece).cast("int"))).alias("piece"))
+    spread = min(1000, 4 * lp)
+    scored = sums.repartition(spread, "l", "piece").groupBy("l", "piece").cogroup(whole.repartition(spread, "l", "piece").groupBy("l", "piece")).applyInArrow(score, "v double, w double")
+    return float(scored.agg(F.sum("v") / F.sum("w")).first()[0])
 
 
 def fit_pca(df: DataFrame, cols: Sequence[str], k: int = 3):

@@ -133,6 +133,25 @@ def test_silhouette_of_plain_distances(spark, monkeypatch, queries, points):
     assert abs(part - np.mean(s)) < 0.3
 
 
+def test_silhouette_sends_bytes_of_blocks_and_sums(spark, monkeypatch):
+    """Points travel once a pair of blocks, sums without the numbers of their points: few rows, each a block of bytes."""
+    monkeypatch.setattr(clusters, "QUERY_ROWS", 100)
+    monkeypatch.setattr(clusters, "POINT_ROWS", 100)
+    monkeypatch.setattr(clusters, "SUMS", 200)
+    rng, kept = np.random.default_rng(4), []
+    x, g = rng.normal(size=(400, 5)).astype(np.float32).astype(float), rng.integers(0, 3, 400)
+    df, cols = frame(spark, x, g=g)
+    write = clusters.cut_lineage
+    monkeypatch.setattr(clusters, "cut_lineage", lambda d: kept.append(write(d)) or kept[-1])
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    means = np.stack([far[:, g == c].sum(1) / ((g == c).sum() - (g == c)) for c in range(3)], 1)
+    a, others = means[np.arange(400), g], np.where(np.arange(3) == g[:, None], np.inf, means)
+    b = others.min(1)
+    assert abs(clusters.silhouette(df, "g", cols, "euclidean") - ((b - a) / np.maximum(a, b)).mean()) < 1e-9
+    blocks = kept[-1].toPandas()
+    assert len(blocks) == 4 and sum(map(len, blocks["x"])) == 400 * 5 * 4
+
+
 def test_distances_by_products_keep_their_digits():
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(size=(60, 30)), rng.normal(size=(20, 30)) * 1e-9 + 1, np.zeros((2, 30))]) + 1e4
